@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlake import config as cfg
@@ -14,9 +14,14 @@ from leadlake.functions.text import clean_strings
 AUDIT_ORDER = ("_ingested_at", "_record_hash")
 
 
-def add_audit(df: DataFrame, batch_id: str, source: str | None = None) -> DataFrame:
-    """Batch, ingestion time, source file and record hash; a customer id when the file carries none."""
-    name = F.lit(source) if source is not None else F.element_at(F.split(F.input_file_name(), "/"), -1)
+def file_name() -> Column:
+    """Name of the file a row was read from; only for frames that come from one source."""
+    return F.element_at(F.split(F.input_file_name(), "/"), -1)
+
+
+def add_audit(df: DataFrame, batch_id: str, source: str | Column) -> DataFrame:
+    """Batch, ingestion time, source and record hash; a customer id when the batch carries none."""
+    name = F.lit(source) if isinstance(source, str) else source
     out = df.withColumns({
         "_batch_id": F.lit(batch_id),
         "_ingested_at": F.current_timestamp(),

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadlake.operators.profile import crosstab, melt_text
 from leadlake.operators.ranks import accumulate, cut_points, melt, range_of
@@ -34,13 +35,13 @@ def _chi_square_tail(x: float, dof: int) -> float:
     return min(1.0, tail)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi_square_p(x: pd.Series, dof: pd.Series) -> pd.Series:
     """Applied to one row per tested feature, never to data rows."""
     return pd.Series([_chi_square_tail(float(a), int(d)) for a, d in zip(x, dof)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def two_sided_normal_p(z: pd.Series) -> pd.Series:
     return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2.0)) if v == v else None)
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from leadlake.config import DEFAULT, Settings
@@ -24,7 +24,7 @@ from leadlake.operators.train import (
     LOGISTIC, TREES, TrainedModel, add_probability, labelled, train_model,
 )
 from leadlake.operators.prep import assign_split
-from leadlake.schemas import LEADS
+from leadlake.schemas import LEADS, as_text
 from leadlake.sources.readers import read_batch_file
 from leadlake.sources.sinks import overwrite_table, write_by_suffix
 
@@ -93,7 +93,7 @@ def cast_contract(df: DataFrame) -> DataFrame:
 
 
 def ingest_frame(df: DataFrame, layers: Layers, batch_id: str, settings: Settings = DEFAULT,
-                 source: str | None = None) -> dict:
+                 source: str | Column = "frame") -> dict:
     """Check one raw batch and add it to Bronze. Writing a batch id again replaces that batch."""
     named = normalise_names(df)
     contracts.require_columns(named)
@@ -114,10 +114,9 @@ def ingest_frame(df: DataFrame, layers: Layers, batch_id: str, settings: Setting
 
 
 def ingest_file(spark: SparkSession, path: str, layers: Layers, batch_id: str, settings: Settings = DEFAULT) -> dict:
-    from leadlake.schemas import as_text
-
+    """A delivered file. CSV is read as text, so that a bad cell quarantines its row and not the batch."""
     raw = read_batch_file(spark, path, as_text(LEADS))
-    return ingest_frame(raw, layers, batch_id, settings)
+    return ingest_frame(raw, layers, batch_id, settings, conform.file_name())
 
 
 def _write_checked(df: DataFrame, rules, path: str) -> int:
