@@ -52,7 +52,8 @@ def accumulate(
 
     ``counts`` has one row per key and ``order`` value; ``bucket`` must not decrease along ``order``.
     """
-    cut = counts.withColumn("_range", bucket)
+    # Never NULL: otherwise the join adds a filter to one side only and the grouped counts are made twice.
+    cut = counts.withColumn("_range", F.coalesce(bucket, F.lit(0)))
     per_range = cut.groupBy(*keys, "_range").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(*keys)
