@@ -7,16 +7,16 @@ path-dependent Shapley values of each tree (Lundberg et al., 2020), computed per
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import combinations
 from math import factorial
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlake.operators.train import LOGISTIC, TrainedModel
+from leadlake.session import shared_dir
 
 MAX_TREE_NODES = 2_000_000
 
@@ -40,27 +40,48 @@ def linear_attributions(trained: TrainedModel, df: DataFrame, name: str = "attri
 
 # --- Trees ----------------------------------------------------------------------
 
-def _tree_paths(trees, weights: Sequence[float]) -> list[tuple]:
+def _tree_nodes(spark: SparkSession, model) -> dict[int, dict[int, tuple]]:
+    """Nodes of every tree, read back from the saved form of the classifier:
+    {tree: {id: (prediction, cover, left, right, feature, low interval of the left child)}}."""
+    path = shared_dir(spark, "trees")
+    model.write().save(path)
+    rows = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
+    trees: dict[int, dict[int, tuple]] = {}
+    for r in rows:
+        low = None
+        if r.leftChild >= 0:
+            at = r.split.leftCategoriesOrThreshold
+            if r.split.numCategories < 0:
+                low = (-np.inf, at[0])
+            elif r.split.numCategories == 2 and len(at) == 1:  # a 0/1 input: the left side holds one of the two
+                low = (-np.inf, 0.5) if at[0] == 0.0 else (0.5, np.inf)
+            else:
+                raise ValueError("only numeric and 0/1 inputs can be attributed")
+        trees.setdefault(r.treeID, {})[r.id] = (
+            r.prediction, r.impurityStats[0], r.leftChild, r.rightChild, r.split.featureIndex, low)
+    return trees
+
+
+def _tree_paths(trees: dict[int, dict[int, tuple]], weights: Sequence[float]) -> list[tuple]:
     """One entry per leaf: (tree weight * leaf value, [(feature, cover share, lower, upper)...]).
 
     A feature met twice on the way down is merged: the shares multiply and the intervals intersect.
     """
     paths = []
-    for tree, weight in zip(trees, weights):
-        stack = [(tree._call_java("rootNode"), {})]
+    for tree, weight in enumerate(weights):
+        nodes = trees[tree]
+        stack = [(0, {})]
         while stack:
-            node, seen = stack.pop()
-            if node.subtreeDepth() == 0:
-                paths.append((weight * node.prediction(), [(f, *v) for f, v in seen.items()]))
+            here, seen = stack.pop()
+            prediction, cover, left, right, feature, low = nodes[here]
+            if left < 0:
+                paths.append((weight * prediction, [(f, *v) for f, v in seen.items()]))
                 continue
-            cut, at = node.split(), None
-            feature = cut.featureIndex()
-            at = cut.threshold()
-            cover = node.impurityStats().count()
-            for child, low, high in ((node.leftChild(), -np.inf, at), (node.rightChild(), at, np.inf)):
+            high = (low[1], np.inf) if low[0] == -np.inf else (-np.inf, low[0])
+            for child, (a, b) in ((left, low), (right, high)):
                 share, lo, hi = seen.get(feature, (1.0, -np.inf, np.inf))
-                part = child.impurityStats().count() / cover
-                stack.append((child, {**seen, feature: (share * part, max(lo, low), min(hi, high))}))
+                part = nodes[child][1] / cover
+                stack.append((child, {**seen, feature: (share * part, max(lo, a), min(hi, b))}))
     return paths
 
 
@@ -101,7 +122,7 @@ def tree_attributions(trained: TrainedModel, df: DataFrame, key: str, name: str
     if model.totalNumNodes > MAX_TREE_NODES:
         raise ValueError(f"{model.totalNumNodes} tree nodes are too many to ship to every task")
     # The classifier's probability is 1 / (1 + exp(-2 * raw)), so log-odds are twice the raw sum.
-    paths = [(2.0 * v, c) for v, c in _tree_paths(model.trees, model.treeWeights)]
+    paths = [(2.0 * v, c) for v, c in _tree_paths(_tree_nodes(df.sparkSession, model), model.treeWeights)]
     base = float(sum(v * np.prod([c[1] for c in conds]) if conds else v for v, conds in paths))
     shared = df.sparkSession.sparkContext.broadcast(paths)
     encoded = trained.model.transform(df).select(
@@ -148,21 +169,3 @@ def global_importance(df: DataFrame, names: Sequence[str], n: int = 10, column:
     ])
     listed = wide.select(F.explode(rows).alias("r")).select("r.*")
     return listed.orderBy(F.desc("importance"), "feature").limit(n)
-
-
-def brute_force_shap(row: np.ndarray, paths: list[tuple]) -> np.ndarray:
-    """The definition, coalition by coalition; for tests on small trees only."""
-    players = sorted({c[0] for _, conds in paths for c in conds})
-
-    def worth(known: set[int]) -> float:
-        return sum(v * np.prod([(float(lo < row[f] <= hi) if f in known else share) for f, share, lo, hi in conds])
-                   for v, conds in paths)
-
-    phi, size = np.zeros(len(row)), len(players)
-    for p in players:
-        others = [q for q in players if q != p]
-        for s in range(size):
-            for group in combinations(others, s):
-                weight = factorial(s) * factorial(size - s - 1) / factorial(size)
-                phi[p] += weight * (worth({*group, p}) - worth(set(group)))
-    return phi

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlake.config import DEFAULT, Settings
@@ -75,11 +75,9 @@ def read_side(spark: SparkSession, path: str, side: str = VALID) -> DataFrame:
     return df.drop(contracts.REASON) if side == VALID else df
 
 
-def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Row counts collected while the table is written."""
-    seen = Observation(name)
-    good = F.count(F.when(F.col(SIDE) == VALID, 1)).alias("valid")
-    return df.observe(seen, F.count(F.lit(1)).alias("rows"), good), seen
+def _written_counts(df: DataFrame) -> dict[str, int]:
+    """Rows per side of a written table. Only partition values are asked for, so no column is read."""
+    return {r[SIDE]: r["n"] for r in df.groupBy(SIDE).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
 def _sided(checked: DataFrame) -> DataFrame:
@@ -103,14 +101,17 @@ def ingest_frame(df: DataFrame, layers: Layers, batch_id: str, settings: Setting
         contracts.enforce_ratio(gate.total_rows, gate.quarantined_rows, settings.contracts)
     checked = _sided(contracts.check(named, rules))
     audited = conform.add_audit(cast_contract(checked), batch_id, source)
-    counted, seen = _counted(audited, f"ingest {batch_id}")
-    written = counted if settings.contracts.write_quarantine else counted.filter(F.col(SIDE) == VALID)
+    written = audited if settings.contracts.write_quarantine else audited.filter(F.col(SIDE) == VALID)
     (
         written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy").partitionBy(SIDE, "_batch_id").parquet(layers.bronze)
     )
-    rows, good = seen.get["rows"], seen.get["valid"]
-    return {"batch_id": batch_id, "ingested_records": good, "quarantined_records": rows - good}
+    if settings.contracts.write_quarantine:
+        batch = df.sparkSession.read.parquet(layers.bronze).filter(F.col("_batch_id") == batch_id)
+    else:
+        batch = _sided(contracts.check(named, rules))  # the bad rows are still counted, though not kept
+    sides = _written_counts(batch)
+    return {"batch_id": batch_id, "ingested_records": sides.get(VALID, 0), "quarantined_records": sides.get(BAD, 0)}
 
 
 def ingest_file(spark: SparkSession, path: str, layers: Layers, batch_id: str, settings: Settings = DEFAULT) -> dict:
@@ -120,9 +121,8 @@ def ingest_file(spark: SparkSession, path: str, layers: Layers, batch_id: str, s
 
 
 def _write_checked(df: DataFrame, rules, path: str) -> int:
-    counted, seen = _counted(_sided(contracts.check(df, rules)), path)
-    counted.write.mode("overwrite").option("compression", "snappy").partitionBy(SIDE).parquet(path)
-    return seen.get["valid"]
+    _sided(contracts.check(df, rules)).write.mode("overwrite").option("compression", "snappy").partitionBy(SIDE).parquet(path)
+    return _written_counts(df.sparkSession.read.parquet(path)).get(VALID, 0)
 
 
 def build_silver(spark: SparkSession, layers: Layers, order=conform.AUDIT_ORDER, settings: Settings = DEFAULT) -> dict:
