@@ -23,7 +23,7 @@ def inner_edges(baseline: DataFrame, columns: Sequence[str], buckets: int = 10)
     return {c: sorted(set(q)) for c, q in quants.items() if q}
 
 
-def _bin_counts(df: DataFrame, edges: dict[str, list[float]], name: str) -> DataFrame:
+def bin_counts(df: DataFrame, edges: dict[str, list[float]], name: str) -> DataFrame:
     binned = df.select(*[bucket_index(coerce_double(c), e).alias(c) for c, e in edges.items()])
     long = binned.unpivot([], list(edges), "feature", "bin").filter(F.col("bin").isNotNull())
     return long.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias(name))
@@ -31,11 +31,15 @@ def _bin_counts(df: DataFrame, edges: dict[str, list[float]], name: str) -> Data
 
 def psi_by_feature(
     baseline: DataFrame, incoming: DataFrame, columns: Sequence[str], buckets: int = 10, epsilon: float = EPSILON,
-    edges: dict[str, list[float]] | None = None,
+    edges: dict[str, list[float]] | None = None, expected: DataFrame | None = None,
 ) -> DataFrame:
-    """(feature, psi) for all columns in one grouped aggregate; columns empty on one side have no row."""
+    """(feature, psi) for all columns in one grouped aggregate; columns empty on one side have no row.
+
+    ``edges`` and ``expected`` take the place of the baseline when it was profiled before.
+    """
     edges = edges if edges is not None else inner_edges(baseline, columns, buckets)
-    spark = baseline.sparkSession
+    spark = incoming.sparkSession
+    expected = expected if expected is not None else bin_counts(baseline, edges, "e")
     if not edges:
         return spark.createDataFrame([], "feature string, psi double")
     frame = spark.createDataFrame(
@@ -43,8 +47,8 @@ def psi_by_feature(
     )
     # Columns x bins rows: everything below works on this small table.
     both = (
-        frame.join(_bin_counts(baseline, edges, "e"), ["feature", "bin"], "left")
-        .join(_bin_counts(incoming, edges, "a"), ["feature", "bin"], "left")
+        frame.join(expected, ["feature", "bin"], "left")
+        .join(bin_counts(incoming, edges, "a"), ["feature", "bin"], "left")
         .na.fill(0, ["e", "a"])
     )
     sides = both.groupBy("feature").agg(
@@ -67,17 +71,18 @@ def psi_by_feature(
 
 
 def drift_report(
-    baseline: DataFrame, incoming: DataFrame, columns: Sequence[str] = DRIFT_FEATURES, threshold: float = SIGNIFICANT,
-    edges: dict[str, list[float]] | None = None,
+    baseline: DataFrame | None, incoming: DataFrame, columns: Sequence[str] = DRIFT_FEATURES, threshold: float = SIGNIFICANT,
+    edges: dict[str, list[float]] | None = None, expected: DataFrame | None = None,
 ) -> DataFrame:
     """PSI, status and flag per feature, with the overall verdict on every row.
 
     ``features_evaluated`` counts the columns present on both sides, including one that is empty.
     """
-    common = [c for c in columns if c in baseline.columns and c in incoming.columns]
-    if edges is None and baseline.isEmpty():
+    if edges is None and (baseline is None or baseline.isEmpty()):
         raise ValueError("a non-empty baseline is required")
-    psi = psi_by_feature(baseline, incoming, common, edges=edges)
+    known = list(edges) if edges is not None else baseline.columns
+    common = [c for c in columns if c in known and c in incoming.columns]
+    psi = psi_by_feature(baseline, incoming, common, edges=edges, expected=expected)
     status = F.when(F.col("psi") >= threshold, "SIGNIFICANT_DRIFT").when(
         F.col("psi") >= MODERATE, "MODERATE_SHIFT").otherwise("STABLE")
     rated = psi.withColumns({"status": status, "is_drifted": F.col("psi") >= threshold})

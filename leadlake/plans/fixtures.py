@@ -77,8 +77,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    """The table as a file stream. The pattern lets it be one file or a folder of files."""
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
 
 
 def leads_from(orders: DataFrame, customer: DataFrame) -> DataFrame:
