@@ -5,11 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlake.functions.numeric import bucket_index
-from leadlake.operators.ranks import accumulate, cut_points, quantile_values, range_of
+from leadlake.operators.ranks import cut_points, quantile_values, range_of, row_ranks
 
 
 def fixed_bin(column: Column, edges: Sequence[float]) -> Column:
@@ -41,19 +41,12 @@ def rank_first_bins(df: DataFrame, column: str, key: str, q: int, name: str = "b
     A value shared by many rows is ranked by key ranges, so no task has to sort all its rows.
     """
     clean = df.filter(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
-    value_cuts = cut_points(clean, [column])
-    key_cuts = cut_points(clean, [key])
-    tagged = clean.withColumn("_part", range_of(F.col(key).cast("double"), key_cuts))
-    counts = tagged.groupBy(column, "_part").agg(F.count(F.lit(1)).alias("n"))
-    bucket = range_of(F.col(column).cast("double"), value_cuts)
-    placed = accumulate(counts, [], [column, "_part"], ["n"], bucket)
-    placed = placed.select(column, "_part", (F.col("cum_n") - F.col("n")).alias("_before"), F.col("tot_n"))
-    inside = Window.partitionBy(column, "_part").orderBy(key)
-    ranked = tagged.join(placed, [column, "_part"]).withColumn("_rank", F.col("_before") + F.row_number().over(inside))
+    part = range_of(F.col(key).cast("double"), cut_points(clean, [key]))
+    ranked = row_ranks(clean, column, [key], part, "_rank")
     place = (F.col("_rank") - 1) * F.lit(q)
-    steps = F.greatest(F.col("tot_n") - 1, F.lit(1))
+    steps = F.greatest(F.col("_rows") - 1, F.lit(1))
     number = F.greatest(F.ceil(place / steps) - 1, F.lit(0)).cast("int")
-    return ranked.withColumn(name, number).drop("_part", "_before", "_rank", "tot_n")
+    return ranked.withColumn(name, number).drop("_rank", "_rows")
 
 
 def conversion_rate(df: DataFrame, by: str, label: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from leadlake.config import DRIFT_FEATURES
 from leadlake.functions.numeric import bucket_index, coerce_double
 from leadlake.operators.ranks import quantile_values
+from leadlake.session import literal_rows
 
 EPSILON = 1e-4
 MODERATE, SIGNIFICANT = 0.10, 0.25
@@ -42,9 +43,7 @@ def psi_by_feature(
     expected = expected if expected is not None else bin_counts(baseline, edges, "e")
     if not edges:
         return spark.createDataFrame([], "feature string, psi double")
-    frame = spark.createDataFrame(
-        [(c, b) for c, e in edges.items() for b in range(len(e) + 1)], "feature string, bin int"
-    )
+    frame = literal_rows(spark, "feature string, bin int", [(c, b) for c, e in edges.items() for b in range(len(e) + 1)])
     # Columns x bins rows: everything below works on this small table.
     both = (
         frame.join(expected, ["feature", "bin"], "left")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from leadlake.config import Economics
 from leadlake.functions.numeric import bucket_index, ratio_or_zero
 from leadlake.operators.ranks import accumulate, cut_points, range_of
+from leadlake.session import literal_rows
 
 GRID = tuple(i / 100 for i in range(5, 96))
 
@@ -32,9 +33,8 @@ def threshold_curve(
     groups = df.groupBy(reached.alias("_reached")).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(label).alias("_pos")
     )
-    spark = df.sparkSession
-    steps = spark.createDataFrame([(i + 1, float(t)) for i, t in enumerate(grid)], "_reached int, threshold double")
-    base = spark.createDataFrame([(0, None)], "_reached int, threshold double").unionByName(steps)
+    steps = [(0, None), *[(i + 1, float(t)) for i, t in enumerate(grid)]]
+    base = literal_rows(df.sparkSession, "_reached int, threshold double", steps)
     filled = base.join(groups, "_reached", "left").na.fill(0, ["_n", "_pos"])
     above = Window.orderBy(F.desc("_reached")).rowsBetween(Window.unboundedPreceding, 0)
     everything = Window.partitionBy()

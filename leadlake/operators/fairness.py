@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlake.functions.numeric import ratio_or_zero
+from leadlake.session import literal_rows
 
 # --- Fixed values: four-fifths rule and equal-opportunity tolerance ----------
 DIR_RANGE = (0.80, 1.25)
@@ -88,8 +89,8 @@ def audit(df: DataFrame, attributes: Sequence[str], label: str, decision: str) -
         }).select(*columns))
     skipped = [(a, *([None] * 8), "SKIPPED") for a in attributes if a not in df.columns]
     if skipped:
-        ddl = ("attribute string, protected_group string, privileged_group string, protected_count long, "
-               "privileged_count long, disparate_impact_ratio double, equal_opportunity_difference double, "
+        ddl = ("attribute string, protected_group string, privileged_group string, protected_count bigint, "
+               "privileged_count bigint, disparate_impact_ratio double, equal_opportunity_difference double, "
                "four_fifths_passed boolean, equal_opportunity_passed boolean, status string")
-        parts.append(df.sparkSession.createDataFrame(skipped, ddl))
+        parts.append(literal_rows(df.sparkSession, ddl, skipped))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from leadlake.config import Features, Split
 from leadlake.functions.hashing import hash_fraction
-from leadlake.functions.numeric import bucket_index, clip
+from leadlake.functions.numeric import clip
 from leadlake.operators.profile import missing_counts
-from leadlake.operators.ranks import cut_points, hash_ranks, quantile_values
+from leadlake.operators.ranks import hash_ranks, quantile_values, row_ranks
+from leadlake.session import rank_buckets
 
 
 def winsorise(df: DataFrame, columns: Sequence[str], low: float = 0.01, high: float = 0.99) -> DataFrame:
@@ -152,30 +153,35 @@ def _projection(dims: int, seed: int, number: int) -> Column:
 
 def nearest_neighbours(
     points: DataFrame, dims: int, k: int = 5, directions: int = 4, reach: int = 8, seed: int = 42,
-    group_rows: int = 100_000,
+    block_rows: int = 100_000,
 ) -> DataFrame:
-    """(id, x, neighbours): up to ``k`` near points of each point of (id, x array).
+    """(id, x, neighbours): up to ``k`` near points of each point of (id, x array), as {d, id, x} structs.
 
-    Points are ordered along a few random directions; the ``reach`` points on either side are the
-    candidates. Work per point is fixed, so dense spots and copies of one point cost no more than others.
-    A value range that holds more than ``group_rows`` points is divided further by a hash of the id.
+    Points are put in order along a few random directions; the ``reach`` points on either side are the
+    candidates. The order is cut into blocks of equal row counts, whatever the values, and each block also
+    gets the rows just outside its ends. Dense spots and copies of one point so cost no more than others,
+    and every point has candidates.
     """
-    projected = points.withColumns({f"_p{d}": _projection(dims, seed, d) for d in range(directions)})
-    cuts = cut_points(projected, [f"_p{d}" for d in range(directions)])
+    if reach < k:
+        raise ValueError("reach must be at least k")
     near = None
+    pieces = F.lit(rank_buckets(points.sparkSession))
     for d in range(directions):
-        p = f"_p{d}"
-        ranged = projected.select("id", "x", p).withColumn("_range", bucket_index(F.col(p), cuts[p]))
-        sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
-        shares = ranged.join(sizes, "_range").withColumn(
-            "_share", F.pmod(F.xxhash64("id"), F.ceil(F.col("_size") / F.lit(group_rows)))
-        )
-        line = Window.partitionBy("_range", "_share").orderBy(p, "id").rowsBetween(-reach, reach)
+        projected = points.withColumns({"_p": _projection(dims, seed, d), "_h": F.pmod(F.xxhash64("id"), F.lit(1 << 30))})
+        piece = F.floor(F.col("_h") * pieces / F.lit(1 << 30)).cast("int")
+        ranked = row_ranks(projected, "_p", ["_h", "id"], piece, "_rank")
+        own = F.floor((F.col("_rank") - 1) / F.lit(block_rows))
+        place = F.pmod(F.col("_rank") - 1, F.lit(block_rows))
+        copies = F.array_compact(F.array(
+            own, F.when(place < reach, own - 1), F.when(place >= block_rows - reach, own + 1)))
+        blocks = ranked.select("id", "x", "_rank", own.alias("_own"), F.explode(copies).alias("_block"))
+        line = Window.partitionBy("_block").orderBy("_rank").rowsBetween(-reach, reach)
         gap = F.aggregate(
             F.zip_with(F.col("x"), F.col("c.x"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v
         )
         found = (
-            shares.withColumn("_near", F.collect_list(F.struct("id", "x")).over(line))
+            blocks.withColumn("_near", F.collect_list(F.struct("id", "x")).over(line))
+            .filter(F.col("_block") == F.col("_own"))
             .select("id", "x", F.explode("_near").alias("c"))
             .filter(F.col("c.id") != F.col("id"))
             .select("id", "x", F.struct(gap.alias("d"), F.col("c.id").alias("id"), F.col("c.x").alias("x")).alias("c"))

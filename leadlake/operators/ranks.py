@@ -106,6 +106,22 @@ def quantile_values(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
     return {c: [rows[c][q] for q in named] if c in rows else [] for c in columns}
 
 
+def row_ranks(df: DataFrame, column: str, ties: Sequence[str], part: Column, name: str) -> DataFrame:
+    """Adds ``name``: the row's place 1..n in the order of (column, ties...), and ``_rows`` = n.
+
+    ``ties`` must make the order total. ``part`` cuts rows of one value into pieces and must not decrease
+    along ``ties``: a value shared by many rows is then ranked piece by piece.
+    """
+    bucket = range_of(F.col(column).cast("double"), cut_points(df, [column]))
+    tagged = df.withColumn("_part", part)
+    counts = tagged.groupBy(column, "_part").agg(F.count(F.lit(1)).alias("n"))
+    placed = accumulate(counts, [], [column, "_part"], ["n"], bucket).select(
+        column, "_part", (F.col("cum_n") - F.col("n")).alias("_before"), F.col("tot_n").alias("_rows"))
+    inside = Window.partitionBy(column, "_part").orderBy(*ties)
+    ranked = tagged.join(placed, [column, "_part"])
+    return ranked.withColumn(name, F.col("_before") + F.row_number().over(inside)).drop("_part", "_before")
+
+
 def hash_ranks(df: DataFrame, key: str, by: Sequence[str], seed: int, buckets: int | None = None) -> DataFrame:
     """Adds ``hash_rank`` (1..n per ``by`` group, in the order of a hash of the unique ``key``) and ``group_n``.
 

@@ -74,4 +74,4 @@ def tail(df: DataFrame, key: str, n: int) -> DataFrame:
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """A repeatable random sample: the n rows with the smallest hash of (key, seed)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws("#", F.col(key).cast("string"), F.lit(str(seed)))), key).limit(n)

@@ -172,18 +172,22 @@ def feat_derive_leads(spark, sf):
         "campaign_pressure_ratio", "is_previously_contacted", "past_success_flag"))
 
 
-@query("hash_record", """
-SELECT src_key, md5(concat(CAST(CAST(age AS DECIMAL(18,2)) AS VARCHAR), '_', job, '_',
-       CAST(CAST(balance AS DECIMAL(18,2)) AS VARCHAR), '_', CAST(CAST(day AS DECIMAL(18,2)) AS VARCHAR), '_', month)) AS record_hash
-FROM leads_raw""", ("leads_raw",))
+_HASH = """md5(concat(CAST(CAST(age AS DECIMAL(18,2)) AS VARCHAR), '_', job, '_',
+       CAST(CAST(balance AS DECIMAL(18,2)) AS VARCHAR), '_', CAST(CAST(day AS DECIMAL(18,2)) AS VARCHAR), '_', month))"""
+
+
+@query("hash_record", f"SELECT src_key, {_HASH} AS record_hash FROM leads_raw", ("leads_raw",))
 def hash_record(spark, sf):
     return fx.leads_raw(spark, sf).select("src_key", hashing.record_hash().alias("record_hash"))
 
 
-@query("audit_columns")
+@query("audit_columns", f"""
+SELECT src_key, 'batch-1' AS _batch_id, TRUE AS stamped, 'leads.parquet' AS _source_file, {_HASH} AS _record_hash FROM leads_raw""",
+       ("leads_raw",))
 def audit_columns(spark, sf):
     audited = conform.add_audit(fx.leads_raw(spark, sf), "batch-1", "leads.parquet")
-    return audited.select("src_key", "_batch_id", "_ingested_at", "_source_file", "_record_hash")
+    recent = F.current_timestamp() - F.col("_ingested_at") < F.expr("INTERVAL 1 HOUR")
+    return audited.select("src_key", "_batch_id", recent.alias("stamped"), "_source_file", "_record_hash")
 
 
 @query("id_surrogate", """

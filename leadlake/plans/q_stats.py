@@ -37,9 +37,25 @@ def test_mann_whitney(spark, sf):
     return tidy(tested.withColumn("u", F.round("u", 4)))
 
 
-@query("test_mann_whitney_p")
+def _upper_gamma(a: str, h: str) -> str:
+    """1 - P(a, h) by the power series of the lower incomplete gamma; beyond h = 1000 nothing is left."""
+    terms = f"list_sum(list_transform(range(0, 3000), lambda k: exp(({a} + k) * ln({h}) - lgamma({a} + k + 1) - {h})))"
+    return f"CASE WHEN {h} <= 0 THEN 1.0 WHEN {h} > 1000 THEN 0.0 ELSE greatest(0.0, 1.0 - {terms}) END"
+
+
+def _fine(text: str) -> str:
+    return text.replace(", 6) AS z", ", 12) AS z").replace(", 6) AS statistic", ", 12) AS statistic")
+
+
+_VERDICT = "CASE WHEN p < 0.05 THEN 'significant' ELSE 'not significant' END AS verdict"
+
+
+@query("test_mann_whitney_p", f"""
+SELECT feature, round(p, 6) AS p_value, {_VERDICT} FROM (
+  SELECT feature, CASE WHEN z < 0 THEN 1.0 ELSE {_upper_gamma('0.5', '(z * z / 2)')} END AS p FROM ({_fine(_MANN_WHITNEY)}))""", ("leads_raw",))
 def test_mann_whitney_p(spark, sf):
-    return stats.mann_whitney_test(labelled(spark, sf), _TESTED, "label")
+    tested = stats.mann_whitney_test(labelled(spark, sf), _TESTED, "label")
+    return tidy(tested.select("feature", "p_value", "verdict"))
 
 
 def _chi(cells: str, keys: str = "") -> str:
@@ -76,9 +92,15 @@ def test_chi_square_2x2(spark, sf):
     return tidy(stats.chi_square(fx.leads_raw(spark, sf), "housing", "y"))
 
 
-@query("test_chi_square_p")
+_TAIL = _upper_gamma("(dof / 2.0::DOUBLE)", "(statistic / 2)")
+
+
+@query("test_chi_square_p", f"""
+SELECT dof, round(p, 6) AS p_value, {_VERDICT} FROM (SELECT dof, {_TAIL} AS p FROM ({
+_fine(_chi("SELECT o_orderpriority AS a, o_orderstatus AS b, count(*) AS n FROM orders GROUP BY ALL"))}))""")
 def test_chi_square_p(spark, sf):
-    return stats.chi_square_test(fx.table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus")
+    tested = stats.chi_square_test(fx.table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus")
+    return tidy(tested.select("dof", "p_value", "verdict"))
 
 
 @query("rank_chi_square", _chi(_LABEL_CELLS, "feature"), ("leads_raw",))
@@ -86,9 +108,12 @@ def rank_chi_square(spark, sf):
     return tidy(stats.rank_chi_square(fx.leads_raw(spark, sf), _TEXTS, "y"))
 
 
-@query("rank_chi_square_p")
+@query("rank_chi_square_p", f"""
+SELECT feature, dof, round(p, 6) AS p_value, {_VERDICT} FROM (SELECT feature, dof, {_TAIL} AS p FROM ({_fine(_chi(_LABEL_CELLS, "feature"))}))""",
+       ("leads_raw",))
 def rank_chi_square_p(spark, sf):
-    return stats.rank_chi_square_test(fx.leads_raw(spark, sf), _TEXTS, "y")
+    tested = stats.rank_chi_square_test(fx.leads_raw(spark, sf), _TEXTS, "y")
+    return tidy(tested.select("feature", "dof", "p_value", "verdict"))
 
 
 @query("rank_cramers_v", f"""

@@ -150,7 +150,7 @@ def head_tail(spark, sf):
     return first.unionByName(score.tail(df, "src_key", 5).select(F.lit("tail").alias("part"), "*"))
 
 
-@query("sample_n")
+@query("sample_n", "SELECT src_key, customer_id, job, y FROM leads_raw ORDER BY md5(concat(src_key, '#42')), src_key LIMIT 5", ("leads_raw",))
 def sample_n(spark, sf):
     return score.sample_rows(fx.leads_raw(spark, sf), "src_key", 5, 42).select("src_key", "customer_id", "job", "y")
 

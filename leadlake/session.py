@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_BASE: dict[str, str] = {}
 
@@ -50,3 +51,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 def rank_buckets(spark: SparkSession) -> int:
     """How many value ranges an ordered pass is cut into: grows with the cluster, bounded for the plan."""
     return max(16, min(512, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def literal_rows(spark: SparkSession, ddl: str, rows: list[tuple]) -> DataFrame:
+    """A few driver values as a table: folded into the plan, no job and no Python worker behind it."""
+    fields = [part.split() for part in ddl.split(",")]
+    structs = [F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
