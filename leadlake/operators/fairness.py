@@ -73,16 +73,19 @@ def audit(df: DataFrame, attributes: Sequence[str], label: str, decision: str) -
                "equal_opportunity_passed", "status")
     parts = []
     if wide is not None:
-        names = F.create_map(*[x for a in known for x in (
-            F.lit(a), F.struct(F.lit(group_labels(a)[0]).alias("p"), F.lit(group_labels(a)[1]).alias("u")))])
+
+        def group_name(side: int) -> Column:
+            return F.element_at(
+                F.create_map(*[x for a in known for x in (F.lit(a), F.lit(group_labels(a)[side]))]), F.col("attribute"))
+
         impact, gap = _metrics()
         rows = wide.unpivot([], known, "attribute", "m").select("attribute", "m.*").withColumns({
             "disparate_impact_ratio": impact, "equal_opportunity_difference": gap})
         fair = F.col("disparate_impact_ratio").between(*DIR_RANGE)
         even = F.abs("equal_opportunity_difference") <= EOD_LIMIT
         parts.append(rows.withColumns({
-            "protected_group": F.element_at(names, F.col("attribute"))["p"],
-            "privileged_group": F.element_at(names, F.col("attribute"))["u"],
+            "protected_group": group_name(0),
+            "privileged_group": group_name(1),
             "protected_count": F.col("p_n"), "privileged_count": F.col("u_n"),
             "four_fifths_passed": fair, "equal_opportunity_passed": even,
             "status": F.when(fair & even, "APPROVED").otherwise("REQUIRES_MITIGATION"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from leadlake.config import MONTHS
 from leadlake.functions.encode import month_number
-from leadlake.operators.ranks import melt, quantile_values, quantiles, value_ranks
+from leadlake.operators.ranks import grouped_values, long_form, melt, quantile_values, quantiles
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -20,14 +20,15 @@ def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
 
 def melt_text(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     typed = df.select(*keep, *[F.col(c).cast("string").alias(c) for c in columns])
-    return typed.unpivot(list(keep), list(columns), "feature", "value")
+    return long_form(typed, columns, keep)
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """(value, n, pct) of one column; the total is a scalar sub-query, not a join."""
-    total = df.filter(F.col(column).isNotNull()).agg(F.count(F.lit(1))).scalar()
-    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
-    return counts.agg(F.count(F.lit(1)).alias("n")).withColumn("pct", F.col("n") * 100.0 / total.cast("double"))
+    """(value, n, pct) of one column. The total is a scalar sub-query over the grouped counts, whose
+    shuffle is reused, so the table is read once and nothing is joined."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.withColumn("pct", F.col("n") * 100.0 / total.cast("double"))
 
 
 def month_counts(df: DataFrame, column: str = "month") -> DataFrame:
@@ -160,7 +161,7 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     quart = quantiles(df, columns, QUARTILES, by)
     iqr = F.col("q75") - F.col("q25")
     fences = quart.withColumns({"_low": F.col("q25") - 1.5 * iqr, "_high": F.col("q75") + 1.5 * iqr})
-    values = value_ranks(df, columns, by).select(*by, "feature", "value", F.col("n").alias("_n"))
+    values = grouped_values(df, columns, by).withColumnRenamed("n", "_n")
     inside = F.col("value").between(F.col("_low"), F.col("_high"))
     return values.join(fences, [*by, "feature"]).groupBy(*by, "feature").agg(
         *[F.first(q).alias(q) for q in QUARTILES],

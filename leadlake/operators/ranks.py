@@ -17,11 +17,20 @@ from leadlake.functions.numeric import bucket_index
 from leadlake.session import rank_buckets
 
 
+def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """(keep..., feature, value) with one row per row and column.
+
+    A generator, not ``unpivot``: the kept columns pass through it unchanged, so two uses of the result in
+    one plan stay recognisably equal and share their shuffle.
+    """
+    pairs = [x for c in columns for x in (F.lit(c), F.col(c))]
+    return df.select(*keep, F.stack(F.lit(len(columns)), *pairs).alias("feature", "value"))
+
+
 def melt(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Long form (keep..., feature, value) of numeric columns; NULL and NaN are left out."""
     typed = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
-    long = typed.unpivot(list(keep), list(columns), "feature", "value")
-    return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    return long_form(typed, columns, keep).filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def cut_points(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> dict[str, list[float]]:
@@ -71,17 +80,28 @@ def accumulate(
     )
 
 
+def grouped_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., feature, value, n) over the distinct values of numeric columns; rows without a group are left out."""
+    long = melt(df, columns, by)
+    for b in by:
+        # Said outright, so that every use of the counts gets the same filter and shares one shuffle.
+        long = long.filter(F.col(b).isNotNull())
+    return long.groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def value_ranks(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., feature, value, n, cum_n, tot_n) over the distinct values of numeric columns."""
-    counts = melt(df, columns, by).groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    cuts = cut_points(df, columns)
-    bucket = range_of(F.col("value"), cuts, F.col("feature"))
-    return accumulate(counts, [*by, "feature"], ["value"], ["n"], bucket)
+    bucket = range_of(F.col("value"), cut_points(df, columns), F.col("feature"))
+    return accumulate(grouped_values(df, columns, by), [*by, "feature"], ["value"], ["n"], bucket)
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], shares: Mapping[str, float], by: Sequence[str] = ()) -> DataFrame:
     """(by..., feature, n, min, max, <name of each share>): exact, linearly interpolated."""
-    ranks = value_ranks(df, columns, by)
+    return quantiles_of(value_ranks(df, columns, by), shares, by)
+
+
+def quantiles_of(ranks: DataFrame, shares: Mapping[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """The same from ranks made before."""
     aggregates = [F.first("tot_n").alias("n"), F.min("value").alias("min"), F.max("value").alias("max")]
     for name, share in shares.items():
         place = (F.col("tot_n") - 1) * F.lit(float(share))

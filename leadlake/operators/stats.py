@@ -56,9 +56,10 @@ def mann_whitney(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame
     Mid-ranks come from cumulative counts over the distinct values, so the rows are never sorted.
     """
     long = melt(df.filter(F.col(label).isNotNull()), columns, [label])
+    # n is made from a and b, so that the two uses of the counts need the same columns and share one shuffle.
     counts = long.groupBy("feature", "value").agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col(label) == 0, 1)).alias("a")
-    )
+        F.count(F.when(F.col(label) == 0, 1)).alias("a"), F.count(F.when(F.col(label) != 0, 1)).alias("b")
+    ).withColumn("n", F.col("a") + F.col("b")).drop("b")
     bucket = range_of(F.col("value"), cut_points(df, columns), F.col("feature"))
     ranked = accumulate(counts, ["feature"], ["value"], ["n"], bucket)
     n = F.col("n").cast("double")
@@ -92,7 +93,7 @@ def _chi_square_from(counts: DataFrame, keys: Sequence[str], a: str, b: str) ->
     rows = counts.groupBy(*keys, a).agg(F.sum("n").alias("_r"))
     cols = counts.groupBy(*keys, b).agg(F.sum("n").alias("_c"))
     sizes = rows.groupBy(*keys).agg(F.sum("_r").alias("n_total"), F.count(F.lit(1)).alias("levels_a"))
-    widths = cols.groupBy(*keys).agg(F.count(F.lit(1)).alias("levels_b"))
+    widths = cols.groupBy(*keys).agg(F.count(F.when(F.col("_c") > 0, 1)).alias("levels_b"))
     cells = counts.join(rows, [*keys, a]).join(cols, [*keys, b])
     if keys:
         cells = cells.join(sizes, list(keys)).join(widths, list(keys))

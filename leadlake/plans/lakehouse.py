@@ -69,9 +69,10 @@ class Layers:
         return self.path("models")
 
 
-def read_side(spark: SparkSession, path: str, side: str = VALID) -> DataFrame:
-    """Good rows (or the quarantine) of a checked table; the other partition is not read."""
-    df = spark.read.option("mergeSchema", True).parquet(path).filter(F.col(SIDE) == side).drop(SIDE)
+def read_side(spark: SparkSession, path: str, side: str = VALID, merge: bool = False) -> DataFrame:
+    """Good rows (or the quarantine) of a checked table; the other partition is not read. ``merge`` is for
+    Bronze, whose batches may differ in their optional columns."""
+    df = spark.read.option("mergeSchema", merge).parquet(path).filter(F.col(SIDE) == side).drop(SIDE)
     return df.drop(contracts.REASON) if side == VALID else df
 
 
@@ -127,7 +128,7 @@ def _write_checked(df: DataFrame, rules, path: str) -> int:
 
 def build_silver(spark: SparkSession, layers: Layers, order=conform.AUDIT_ORDER, settings: Settings = DEFAULT) -> dict:
     """Dimension and fact from all Bronze batches. Rows that break a Silver contract go to its quarantine side."""
-    bronze = read_side(spark, layers.bronze)
+    bronze = read_side(spark, layers.bronze, merge=True)
     if bronze.isEmpty():
         raise ValueError("Bronze holds no valid rows")
     stamp = F.current_timestamp()
