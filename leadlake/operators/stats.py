@@ -157,7 +157,12 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in columns
     ])
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    wide = typed.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+
+    def pearson(a: str, b: str) -> Column:
+        # With itself a column correlates by 1 as soon as it varies: no moments are kept for that.
+        return F.when(F.max(a) > F.min(a), 1.0) if a == b else F.corr(a, b)
+
+    wide = typed.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     entries = F.array(*[
         F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"r{i}").alias("r"))
         for i, (a, b) in enumerate(pairs) for x, y in dict.fromkeys([(a, b), (b, a)])

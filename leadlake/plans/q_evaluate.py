@@ -13,7 +13,7 @@ from leadlake.plans.catalogue import query, tidy
 CUT = 0.45
 _TIER = ("CASE WHEN score >= 0.7 THEN '{}' WHEN score >= 0.45 THEN '{}' WHEN score >= 0.25 THEN '{}' ELSE '{}' END")
 
-# The reference way: one full look at the scores per threshold.
+# The plain way: one full look at the scores per threshold.
 _CURVE_RAW = """
 SELECT i / 100.0::DOUBLE AS threshold, count(*) FILTER (WHERE score >= i / 100.0::DOUBLE) AS calls,
        count(*) FILTER (WHERE score >= i / 100.0::DOUBLE AND label = 1) AS conversions,
