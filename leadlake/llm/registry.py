@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlake.llm import oracles, quality
+import public_tokenizers
+
+from leadlake.llm import oracles, packing, quality, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,9 +25,24 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"quality.{c}").alias(c) for c in wanted])
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    counted = tokens.count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                  public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences."""
+    return packing.pack_documents(
+        _table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op4_token_counts": op4_token_counts,
+        "op10_packing": op10_packing,
     }
 
 
