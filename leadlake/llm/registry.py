@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from leadlake.llm import oracles, packing, quality, tokens
+from leadlake.llm import jaccard, oracles, packing, quality, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shingle count and near-duplicate component."""
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences."""
     return packing.pack_documents(
@@ -42,6 +47,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op4_token_counts": op4_token_counts,
+        "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_packing": op10_packing,
     }
 
