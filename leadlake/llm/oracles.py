@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from leadlake.llm import secrets
 from leadlake.llm.quality import STOP_WORDS
 
 _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -36,3 +37,52 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
          AND (n_words < 40 OR 100 * n_stop >= 4 * n_words) AND 2 * n_dup_lines <= n_lines AS kept
 FROM stats
 """
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _hits(kind: int, pattern: str, keep: str) -> str:
+    p = _quoted(pattern)
+    return f"""
+SELECT rid, {kind} AS kind, start, start + length(hit) AS stop FROM (
+  SELECT rid, hit, sum(length(gap) + length(hit)) OVER (PARTITION BY rid ORDER BY i) - length(hit) AS start FROM (
+    SELECT rid, i, gaps[i] AS gap, hits[i] AS hit FROM (
+      SELECT rid, gaps, hits, unnest(range(1, len(hits) + 1)) AS i FROM (
+        SELECT rid, string_split_regex(t, {p}) AS gaps, regexp_extract_all(t, {p}) AS hits FROM docs))))
+WHERE {keep}"""
+
+
+_PARTS = " UNION ALL ".join(_hits(*x) for x in (
+    (0, secrets.ASSIGN, f"length(regexp_extract(hit, {_quoted('^' + secrets.ASSIGN)}, 2)) >= 6"),
+    (1, secrets.ACCESS, "length(hit) >= 20"),
+    (2, secrets.HEX, "length(hit) >= 24"),
+    (3, secrets._BLOB, "length(hit) = 40 AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[A-Z]')"),
+    (4, secrets._NAME, "true"),
+    (5, secrets._ENDPOINT, "true")))
+_KIND = "CASE kind " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(secrets.KINDS)) + " END"
+_SPAN = f"{_KIND} || ':' || CAST(start AS VARCHAR) || ':' || CAST(stop AS VARCHAR)"
+
+#: Two parts share a scope when their cells are the same or adjacent; an endpoint needs both roles in one of its scopes.
+SECRETS = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+parts AS (SELECT *, start // {secrets.REACH} AS cell FROM ({_PARTS})),
+ids AS (SELECT DISTINCT rid, cell FROM parts WHERE kind IN (1, 4)),
+keys AS (SELECT DISTINCT rid, cell FROM parts WHERE kind IN (0, 2, 3)),
+shown AS (
+  SELECT * FROM parts p WHERE kind < 3
+    OR kind = 3 AND EXISTS (SELECT 1 FROM ids q WHERE q.rid = p.rid AND abs(q.cell - p.cell) <= 1)
+    OR kind = 4 AND EXISTS (SELECT 1 FROM keys q WHERE q.rid = p.rid AND abs(q.cell - p.cell) <= 1)
+    OR kind = 5 AND EXISTS (
+      SELECT 1 FROM ids q JOIN keys k ON k.rid = q.rid WHERE q.rid = p.rid AND abs(q.cell - p.cell) <= 1
+        AND abs(k.cell - p.cell) <= 1 AND abs(k.cell - q.cell) <= 1)),
+texts AS (
+  SELECT rid, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS b, count(*) FILTER (kind = 2) AS c,
+         string_agg({_SPAN}, ',' ORDER BY start, kind, stop) FILTER (kind < 3) AS strong,
+         string_agg({_SPAN}, ',' ORDER BY start, kind, stop) AS everything
+  FROM shown GROUP BY rid)
+SELECT doc_id, CAST(coalesce(a, 0) AS BIGINT) AS n_assign, CAST(coalesce(b, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(c, 0) AS BIGINT) AS n_hex, sha256(coalesce(strong, '')) AS base_sha256, coalesce(everything, '') AS spans
+FROM docs LEFT JOIN texts USING (rid)
+"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from leadlake.llm import jaccard, oracles, packing, quality, tokens
+from leadlake.llm import jaccard, oracles, packing, quality, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"quality.{c}").alias(c) for c in wanted])
 
 
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strong spans of every document, and all spans with the linked weak ones."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, keep=["doc_id"])
+    both = F.sort_array(F.concat("strong", "linked"))
+    return found.select(
+        "row.doc_id", *[secrets.count_of(F.col("strong"), k).alias(f"n_{k}") for k in secrets.STRONG],
+        F.sha2(secrets.as_text(F.col("strong")), 256).alias("base_sha256"), secrets.as_text(both).alias("spans"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     counted = tokens.count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -46,6 +56,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_secret_scans": op2_secret_scans,
         "op4_token_counts": op4_token_counts,
         "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_packing": op10_packing,
@@ -55,4 +66,5 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": oracles.QUALITY,
+        "op2_secret_scans": oracles.SECRETS,
     }
