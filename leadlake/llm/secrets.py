@@ -38,7 +38,10 @@ _ENDPOINT = r"""(?:https?|jdbc:[a-z0-9]+|postgres(?:ql)?|mysql|mongodb|redis|amq
 REACH = 400
 
 _SPAN = "array<struct<start: bigint, kind: int, end: bigint>>"
-_NONE = F.array().cast(_SPAN)
+
+
+def _none() -> Column:
+    return F.array().cast(_SPAN)
 
 
 def _found(text: Column, pattern: str, kind: str, keep=None) -> Column:
@@ -50,10 +53,10 @@ def _found(text: Column, pattern: str, kind: str, keep=None) -> Column:
         F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("spans")),
         lambda s, x: F.struct(
             (s["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("at"),
-            (F.concat(s["spans"], F.when(keep(x["hit"]), _one(s, x, code)).otherwise(_NONE)) if keep
+            (F.concat(s["spans"], F.when(keep(x["hit"]), _one(s, x, code)).otherwise(_none())) if keep
              else F.concat(s["spans"], _one(s, x, code))).alias("spans")),
         lambda s: s["spans"])
-    return F.when(text.rlike(pattern), walked).otherwise(_NONE)
+    return F.when(text.rlike(pattern), walked).otherwise(_none())
 
 
 def _one(s: Column, x: Column, code: Column) -> Column:
@@ -89,7 +92,7 @@ def scan(docs: DataFrame, text: str = "text", reach: int = REACH, keep: list[str
         .withColumn("strong", F.sort_array("strong"))
         .drop("body")
     )
-    parts = F.when((F.size("weak") > 0) & (F.size("weak") + F.size("strong") > 1), F.concat("strong", "weak")).otherwise(_NONE)
+    parts = F.when((F.size("weak") > 0) & (F.size("weak") + F.size("strong") > 1), F.concat("strong", "weak")).otherwise(_none())
     nothing = F.struct(F.lit(None).cast("bigint").alias("start"), F.lit(None).cast("int").alias("kind"), F.lit(None).cast("bigint").alias("end"))
     rows = found.select("id", "row", "strong", F.explode(F.concat(F.array(nothing), parts)).alias("part"))
     is_part = F.col("part.kind").isNotNull()
