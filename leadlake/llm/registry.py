@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from leadlake.llm import jaccard, oracles, packing, quality, secrets, tokens
+from leadlake.llm import decontaminate, jaccard, oracles, packing, quality, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds, with the edits between them."""
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "edits")
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shingle count and near-duplicate component."""
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -58,6 +64,7 @@ def queries() -> dict[str, Query]:
         "op1_quality_rules": op1_quality_rules,
         "op2_secret_scans": op2_secret_scans,
         "op4_token_counts": op4_token_counts,
+        "op6_benchmark_decontamination": op6_benchmark_decontamination,
         "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_packing": op10_packing,
     }
