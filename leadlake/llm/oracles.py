@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from leadlake.llm import secrets
+from leadlake.llm import secrets, sharding as placing
 from leadlake.llm.quality import STOP_WORDS
 
 _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -86,3 +86,32 @@ SELECT doc_id, CAST(coalesce(a, 0) AS BIGINT) AS n_assign, CAST(coalesce(b, 0) A
        CAST(coalesce(c, 0) AS BIGINT) AS n_hex, sha256(coalesce(strong, '')) AS base_sha256, coalesce(everything, '') AS spans
 FROM docs LEFT JOIN texts USING (rid)
 """
+
+#: The formatted text is stated by its length: two control strings, two line ends and the escaped role and text.
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+sized AS (
+  SELECT *, 24 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n'))
+              + length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS n FROM turns)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+def sharding(shards: list[str]) -> str:
+    """Preference orders as joins of slots and shards: each shard's claims are replayed turn by turn in the table's text."""
+    owners = ", ".join(map(str, placing.fill_table(shards)))
+    names = ", ".join(f"'{s}'" for s in shards)
+    return f"""
+WITH owners AS (SELECT [{owners}] AS o, [{names}] AS s),
+slots AS (SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), text, '')), 1, 8) AS BIGINT) % {placing.SLOTS} AS slot
+          FROM documents)
+SELECT doc_id, CAST(slot AS BIGINT) AS slot, s[o[slot + 1] + 1] AS shard FROM slots, owners
+"""
