@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from leadlake.llm import chat, decontaminate, jaccard, licenses, oracles, packing, quality, secrets, sharding, tokens
+from leadlake.llm import chat, decontaminate, jaccard, licenses, oracles, packing, quality, repeats, secrets, sharding, tokens
 from leadlake.session import literal_rows
 
 SHARDS = [f"shard-{n:02d}" for n in range(64)]
@@ -71,6 +71,12 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("row.doc_id", "slot", "shard")
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its long repeats."""
+    cut = repeats.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shingle count and near-duplicate component."""
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -91,6 +97,7 @@ def queries() -> dict[str, Query]:
         "op5_chat_formatting": op5_chat_formatting,
         "op6_benchmark_decontamination": op6_benchmark_decontamination,
         "op7_sharding": op7_sharding,
+        "op8_suffix_array_dedup": op8_suffix_array_dedup,
         "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_packing": op10_packing,
     }
