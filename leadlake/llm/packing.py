@@ -16,7 +16,9 @@ no pieces; a document of any length is cut into windows; working columns cannot
 
 from __future__ import annotations
 
+import os
 import re
+import string
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,40 +31,84 @@ from pyspark.sql import functions as F
 from leadlake.session import literal_rows, shared_dir
 
 WINDOW = 4096
-MAX_WORDS = 400_000
+#: Memory bounds of one worker, in remembered runs and stems, and how many texts it opens at a time.
+MAX_RUNS = 600_000
+MAX_STEMS = 400_000
+TEXTS = 256
 #: How many lengths a combination has at most, and how many combinations the fit sees.
 DEPTH = 4
 MAX_COMBINATIONS = 6000
-_WORD = re.compile(r"[^ \t-\r]+")
+_RUN = re.compile(r"[^ \t-\r]+")
+#: Punctuation that is always a token of its own after a letter, and never part of a contraction or a special token.
+_END = ".,!?;:*&$%#\"()"
+_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 
 class WordIds:
     """Token ids per run without ASCII white space, as little-endian bytes, remembered up to a bound.
 
-    The tokenizer drops white space and never joins across it, so the ids of a text are those of its runs in a row.
+    The tokenizer drops white space and never joins across it, so the ids of a text are those of its runs in a row. A run
+    is looked up by its stem and the plain punctuation at its end, which the tokenizer always cuts apart; stems that are
+    one word of Latin letters are tokenized many at a time and told apart by the tokens that end a word.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known: dict[str, bytes] = {}
+        ends = [i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.ends[ends] = True
+        self.runs: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, stems: list[str]) -> None:
+        words = [s for s in stems if s.isalpha() and max(s) < "\u0100"]
+        for i in range(0, len(words), 512):
+            part = words[i:i + 512]
+            ids = self._encode([" ".join(part)])[0]
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) != len(part):
+                raise ValueError("a word of letters does not end with one word-end token")
+            data, at = ids.tobytes(), 0
+            for stem, to in zip(part, (4 * last).tolist()):
+                self.stems[stem] = data[at:to]
+                at = to
+        plain = set(words)
+        rest = [s for s in stems if s not in plain]
+        for i in range(0, len(rest), 4096):
+            part = rest[i:i + 4096]
+            self.stems.update(zip(part, (ids.tobytes() for ids in self._encode(part))))
 
     def of(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, four bytes each."""
-        runs = [_WORD.findall(t) for t in texts]
-        new = list({w for words in runs for w in words if w not in self.known})
-        if len(self.known) + len(new) > MAX_WORDS:
-            self.known.clear()
-            new = list({w for words in runs for w in words})
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            for word, enc in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.known[word] = np.asarray(enc.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in runs]
+        found = [_RUN.findall(t) for t in texts]
+        if len(self.runs) > MAX_RUNS:
+            self.runs.clear()
+        if len(self.stems) > MAX_STEMS:
+            self.stems.clear()
+        new = {w: _split(w) for run in found for w in run if w not in self.runs}
+        self._learn(list({s for pair in new.values() for s in pair if s not in self.stems}))
+        stems = self.stems
+        self.runs.update((w, stems[a] + stems[b]) for w, (a, b) in new.items())
+        get = self.runs.__getitem__
+        return [b"".join(map(get, run)) for run in found]
+
+
+def _split(run: str) -> tuple[str, str]:
+    """Stem and end of a run. A-Z count as lower case unless that could write a special token."""
+    stem = run.rstrip(_END)
+    if stem and stem[-1].isalpha() and stem[-1] < "\u0100":
+        end = run[len(stem):]
+    else:
+        stem, end = run, ""
+    return (stem.translate(_LOWER) if stem.isalpha() else stem), end
 
 
 @lru_cache(maxsize=2)
@@ -79,11 +125,13 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, key: str = "do
         words = load(tokenizer_path)
         for batch in batches:
             rows = []
-            for n, ids in enumerate(words.of(batch["text"].tolist())):
-                ids += end
-                total = len(ids) // 4
-                rows.extend((n, at, min(window, total - at), zlib.crc32(ids[4 * at:4 * (at + window)]), total)
-                            for at in range(0, total, window))
+            texts = batch["text"].tolist()
+            for first in range(0, len(texts), TEXTS):
+                for n, ids in enumerate(words.of(texts[first:first + TEXTS]), first):
+                    ids += end
+                    total = len(ids) // 4
+                    rows.extend((n, at, min(window, total - at), zlib.crc32(ids[4 * at:4 * (at + window)]), total)
+                                for at in range(0, total, window))
             which, start, length, crc, total = map(list, zip(*rows)) if rows else ([], [], [], [], [])
             yield pd.DataFrame({"key": batch["key"].iloc[which].array, "start": start, "length": length, "ids_crc32": crc,
                                 "doc_tokens": total}).astype({c: "int64" for c in ("start", "length", "ids_crc32", "doc_tokens")})
