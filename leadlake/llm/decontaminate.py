@@ -235,9 +235,13 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item:
     for block in _blocks(benchmark, item, item_text, block_bytes):
         items = spark.sparkContext.broadcast(block)
 
-        def clean(batches: Iterator[pd.Series], items=items) -> Iterator[pd.Series]:
-            for batch in batches:
-                yield pd.Series([not found for found in _searcher(items).find(batch.tolist())], dtype=bool)
-
-        kept = kept.filter(F.pandas_udf(clean, "boolean")(F.col(text).cast("string")))
+        kept = kept.filter(F.pandas_udf(_clean_with(items), "boolean")(F.col(text).cast("string")))
     return kept
+
+
+def _clean_with(items):
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([not found for found in _searcher(items).find(batch.tolist())], dtype=bool)
+
+    return clean

@@ -1,11 +1,11 @@
 """Near duplicates by an exact Jaccard join on word shingles.
 
 * Texts with the same shingle set form one class at once, so thousands of copies count as one node.
-* Shingles are ordered rare first, by a frequency table of fixed size over all documents (shingles share its cells by
-  hash; the table steers the work, any order gives the same links). A set of n shingles that is similar to another one
+* Shingles are ordered rare first, by a frequency table of bounded size over all documents (shingles share its cells by
+  hash, 16 million at most; the table steers the work, any order gives the same links). A set of n shingles that is similar to another one
   must share one of its first n - ceil(0.8 n) + 1 shingles with it: only those prefixes are shuffled.
 * Candidates are pairs on a shared prefix shingle that pass the length filter and the positional filter (how much can
-  still be shared after this place), then the suffix filter (sixteen ranges of the order; differing range counts bound
+  still be shared after this place), then the suffix filter (64 ranges of hashes; differing range counts bound
   the symmetric difference), and are verified once on the full sets.
 * First every set is compared with the most central set of each shingle's group, the one with the fewest rarer
   shingles. That is linear in the group and links most of a family of near copies. Then only sets that are still in
@@ -18,6 +18,7 @@ shingle; equal rows get equal results; NULL keys are left out of a component's l
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +31,11 @@ from leadlake.llm.components import _written, components
 
 WORDS = 5
 PERCENT = 80
-#: Cells of the frequency table (shared by hash), a fixed size whatever the corpus.
-CELL_BITS = 18
-CELL_SLICE = 4096
-RANGES = 16
+#: Cells of the frequency table (shared by hash): about one per ``CELL_LOAD`` shingles, within fixed bounds.
+CELL_LOAD = 16
+CELL_BITS = (16, 24)
+CELL_SLICE = 1 << 16
+RANGES = 64
 #: Slots of the filter that keeps texts which cannot be needed out of a shuffle.
 TEXT_SLOTS = 1 << 20
 MAX_WORDS = 400_000
@@ -74,33 +76,41 @@ def _texts(docs: DataFrame, text: str, *columns: Column) -> DataFrame:
 
 def frequency_levels(docs: DataFrame, text: str) -> bytes:
     """One byte per cell: the logarithm of how many distinct shingles of documents fall into it."""
-    cells = 1 << CELL_BITS
+    size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    bits = min(max((size // (6 * CELL_LOAD)).bit_length(), CELL_BITS[0]), CELL_BITS[1])
+    shift, cells = np.uint64(64 - bits), 1 << bits
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(cells, np.int64)
+        total = np.zeros(cells, np.uint32)
         for batch in batches:
             for body in batch["_text"]:
-                cell = (shingles(body) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-                at, n = np.unique(cell, return_counts=True)
-                total[at] += n
-        yield pd.DataFrame({"slice": range(cells // CELL_SLICE), "counts": list(total.reshape(-1, CELL_SLICE))})
+                at, n = np.unique(shingles(body) >> shift, return_counts=True)
+                total[at.astype(np.int64)] += n.astype(np.uint32)
+        parts = [zlib.compress(part.tobytes(), 1) for part in total.reshape(-1, CELL_SLICE)]
+        yield pd.DataFrame({"slice": range(len(parts)), "counts": parts})
 
     def add(parts: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"slice": parts["slice"].iloc[:1], "counts": [np.sum(np.stack(parts["counts"].tolist()), axis=0)]})
+        total = np.zeros(CELL_SLICE)
+        for part in parts["counts"]:
+            total += np.frombuffer(zlib.decompress(part), np.uint32)
+        level = np.minimum(255, 4 * np.log2(total + 1)).astype(np.uint8)
+        return pd.DataFrame({"slice": parts["slice"].iloc[:1], "counts": [level.tobytes()]})
 
-    schema = "slice long, counts array<long>"
+    schema = "slice long, counts binary"
     rows = _texts(docs, text).mapInPandas(count, schema).groupBy("slice").applyInPandas(add, schema).collect()
-    total = np.zeros((cells // CELL_SLICE, CELL_SLICE))
+    level = np.zeros((cells // CELL_SLICE, CELL_SLICE), np.uint8)
     for r in rows:
-        total[r["slice"]] = r["counts"]
-    return np.minimum(255, 4 * np.log2(total.reshape(-1) + 1)).astype(np.uint8).tobytes()
+        level[r["slice"]] = np.frombuffer(r["counts"], np.uint8)
+    return level.tobytes()
 
 
 def signatures(docs: DataFrame, key: str, text: str, levels: bytes) -> DataFrame:
     """(key, text_key, n, digest, prefix, ranges) of every document."""
+    table = docs.sparkSession.sparkContext.broadcast(levels)
+    shift = np.uint64(64 - (len(levels).bit_length() - 1))
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        level = np.frombuffer(levels, np.uint8)
+        level = np.frombuffer(table.value, np.uint8)
         for batch in batches:
             n, digest, prefix, ranges = [], [], [], []
             for body in batch["_text"]:
@@ -108,16 +118,17 @@ def signatures(docs: DataFrame, key: str, text: str, levels: bytes) -> DataFrame
                 size = len(found)
                 n.append(size)
                 digest.append(xxhash.xxh3_128_digest(found.tobytes()))
-                order = np.argsort(level[(found >> np.uint64(64 - CELL_BITS)).astype(np.int64)], kind="stable")
+                order = np.argsort(level[(found >> shift).astype(np.int64)], kind="stable")
                 prefix.append(found[order[:size - -(-PERCENT * size // 100) + 1]].view(np.int64) if size else [])
-                ranges.append(np.bincount((found & np.uint64(RANGES - 1)).astype(np.int64), minlength=RANGES))
+                held = np.bincount((found & np.uint64(RANGES - 1)).astype(np.int64), minlength=RANGES)
+                ranges.append(np.minimum(held, 127).astype(np.int8))  # clipping keeps differences a lower bound
             yield pd.DataFrame({"key": batch["key"].array, "text_key": batch["text_key"], "n": n, "digest": digest,
                                 "prefix": prefix, "ranges": ranges})
 
     kind = docs.schema[key].dataType.simpleString()
     source = _texts(docs, text, F.struct(F.col(key).alias("v")).alias("key"), _text_key(text).alias("text_key"))
     return source.mapInPandas(
-        sign, f"key struct<v: {kind}>, text_key long, n long, digest binary, prefix array<long>, ranges array<int>"
+        sign, f"key struct<v: {kind}>, text_key long, n long, digest binary, prefix array<long>, ranges array<tinyint>"
     ).select(F.col("key.v").alias("key"), "text_key", "n", "digest", "prefix", "ranges")
 
 
@@ -136,14 +147,18 @@ def _may_link(n_a: Column, n_b: Column, pos_a: Column, pos_b: Column) -> Column:
     return length & (F.least(n_a - pos_a, n_b - pos_b) >= _needed(n_a, n_b))
 
 
+def _suffix_ok(n_a: Column, n_b: Column, ranges_a: Column, ranges_b: Column) -> Column:
+    """Suffix filter: counts per range that differ bound what the sets can share."""
+    apart = F.aggregate(F.zip_with(ranges_a, ranges_b, lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda s, x: s + x)
+    return F.floor((n_a + n_b - apart) / 2) >= _needed(n_a, n_b)
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """The pairs (a, b) of nodes whose shingle sets are similar, each looked at once."""
     side = classes.select("node", "n", "ranges")
     a, b = side.toDF("a", "n_a", "ranges_a"), side.toDF("b", "n_b", "ranges_b")
-    apart = F.aggregate(F.zip_with("ranges_a", "ranges_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
     narrowed = _written(
-        pairs.distinct().join(a, "a").join(b, "b")
-        .filter(F.floor((F.col("n_a") + F.col("n_b") - apart) / 2) >= _needed(F.col("n_a"), F.col("n_b")))
+        pairs.distinct().join(a, "a").join(b, "b").filter(_suffix_ok(*[F.col(c) for c in ("n_a", "n_b", "ranges_a", "ranges_b")]))
         .select("a", "b", "n_a", "n_b"), "candidates")
     nodes = narrowed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = _written(classes.join(nodes, "node", "left_semi").select("node", "text_key", "rep"), "wanted")
@@ -196,11 +211,12 @@ def _grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
     known = F.coalesce("component", "node").alias("component")
     placed = shared.join(first, "node", "left").select("token", "node", "n", "pos", known)
     mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("token")
-    open_ = _written(placed.join(mixed, "token", "left_semi"), "open")
+    open_ = _written(placed.join(mixed, "token", "left_semi").join(classes.select("node", "ranges"), "node"), "open")
     x, y = open_.alias("x"), open_.alias("y")
     across = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node"))
                     & (F.col("x.component") != F.col("y.component"))
                     & _may_link(F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos"))
+                    & _suffix_ok(F.col("x.n"), F.col("y.n"), F.col("x.ranges"), F.col("y.ranges"))
                     ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     links = _written(stars.union(_verified(across, classes, docs, key, text)), "links")
     grouped = components(links)
@@ -225,7 +241,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """
     kept = _grouped(docs, key, text).filter(F.col("component_id") == F.col("key")).select(
         F.col("key").alias("_kept_key"), F.col("text_key").alias("_kept_text")).distinct()
-    marked = docs.filter(F.col(key).isNotNull()).withColumn("_text_key", _text_key(text))
-    ours = (F.col(key) == F.col("_kept_key")) & (F.col("_text_key") == F.col("_kept_text"))
-    first = marked.join(kept, ours, "left_semi").dropDuplicates([key, "_text_key"]).drop("_text_key")
-    return first.unionByName(docs.filter(F.col(key).isNull()))
+    own = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    marked = docs.select(own, F.col(key).alias("_key"), _text_key(text).alias("_text_key"))
+    ours = (F.col("_key") == F.col("_kept_key")) & (F.col("_text_key") == F.col("_kept_text"))
+    first = marked.join(kept, ours, "left_semi").dropDuplicates(["_key", "_text_key"])
+    return first.union(marked.filter(F.col("_key").isNull())).select("row.*")

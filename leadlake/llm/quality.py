@@ -114,8 +114,8 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_bangs", "n_stop_words", "n_
 
 
 def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The input with one struct column ``quality``: the measures, ``base_failed``, ``kept`` and ``failed`` (rule names)."""
-    own = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
+    """The input's columns as struct ``row``, and struct ``quality``: measures, ``base_failed``, ``kept``, ``failed`` (rules)."""
+    own = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
     measured = measures(docs.select(own, F.col(text).alias("_judged")), "_judged")
     base_ok, all_ok = F.lit(True), F.lit(True)
     for rule in BASE_RULES:
@@ -125,10 +125,11 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
     names = F.array_compact(F.array(*[F.when(~r.compile(), F.lit(r.name)) for r in (*BASE_RULES, *rules)]))
     verdict = F.struct(
         *[F.col(m) for m in MEASURES], (~base_ok).alias("base_failed"), (base_ok & all_ok).alias("kept"), names.alias("failed"))
-    return measured.select("_row.*", verdict.alias("quality"))
+    # A generator of one row: a later filter on the verdict is evaluated above it. Otherwise the optimizer would move the
+    # filter below and write the measures, which rest on each other, out in full for every use.
+    return measured.select(F.inline(F.array(F.struct("row", verdict.alias("quality")))))
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows whose text passes every rule, with their own columns only."""
-    own = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
-    return judge(docs.select(own, F.col(text).alias("_judged")), "_judged").filter("quality.kept").select("_row.*")
+    return judge(docs, text).filter("quality.kept").select("row.*")

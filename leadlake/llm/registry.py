@@ -25,7 +25,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     judged = quality.judge(_table(spark, sf_dir, "documents"))
     wanted = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return judged.select("doc_id", *[F.col(f"quality.{c}").alias(c) for c in wanted])
+    return judged.select("row.doc_id", *[F.col(f"quality.{c}").alias(c) for c in wanted])
 
 
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,8 +88,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "pipeline": pipeline,
         "op1_quality_rules": op1_quality_rules,
         "op2_secret_scans": op2_secret_scans,
         "op3_license_scans": op3_license_scans,
