@@ -34,10 +34,10 @@ from pyspark.sql import types as T
 EDIT_PERCENT = 8
 MIN_CHARS = 25
 BLOCK_BYTES = 8 << 20
-WALKS = 4
+WALKS = 8
 SAMPLED = 4
 #: Share of places of the embedded string that may differ at the largest allowed distance, and the wished recall there.
-DIFFERENT = 0.35
+DIFFERENT = 0.5
 RECALL = 0.995
 
 _RUN = re.compile(r"[^\W_]+")
