@@ -13,7 +13,7 @@ NULL_MARK = "~"
 
 def canonical(column: Column, number: bool) -> Column:
     """One text per value, independent of the engine's float printing; NULL has its own mark."""
-    text = column.cast("decimal(18,2)").cast("string") if number else column.cast("string")
+    text = column.cast("decimal(38,10)").cast("string") if number else column.cast("string")
     return F.coalesce(text, F.lit(NULL_MARK))
 
 
@@ -24,9 +24,10 @@ def record_hash(numbers: Sequence[str] = ("age", "balance", "day"), order: Seque
 
 
 def surrogate_id(prefix: str, columns: Sequence[str], numbers: Sequence[str] = ()) -> Column:
-    """Id from the natural key: needs no global order and is the same on every re-run."""
+    """Id from the natural key: needs no global order and is the same on every re-run. The whole digest is kept, so that
+    different keys have different ids at any number of rows."""
     text = F.concat_ws("|", *[canonical(F.col(c), c in numbers) for c in columns])
-    return F.concat(F.lit(prefix), F.substring(F.sha2(text, 256), 1, 16))
+    return F.concat(F.lit(prefix), F.sha2(text, 256))
 
 
 def hash_fraction(key: Column, seed: int) -> Column:

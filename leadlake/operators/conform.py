@@ -35,10 +35,13 @@ def add_audit(df: DataFrame, batch_id: str, source: str | Column) -> DataFrame:
 
 
 def _pick(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str], latest: bool) -> DataFrame:
-    """One row per key by an aggregate: combines map-side, so repeated keys shrink before the shuffle."""
+    """One row per key by an aggregate: combines map-side, so repeated keys shrink before the shuffle.
+
+    Rows that are equal in ``order`` are told apart by all kept columns: the result does not depend on row order.
+    """
     chooser = F.max_by if latest else F.min_by
     kept = [c for c in columns if c not in keys]
-    best = chooser(F.struct(*kept), F.struct(*order)).alias("_row")
+    best = chooser(F.struct(*kept), F.struct(*order, *[c for c in kept if c not in order])).alias("_row")
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*")
 
 
@@ -68,8 +71,9 @@ def build_fact_interaction(
 
 
 def join_dim_fact(dim: DataFrame, fact: DataFrame) -> DataFrame:
-    """Each interaction with its customer. No hint: the dimension grows with the data, so the size
-    decides between broadcast and sort-merge at run time, and a hot customer is split by the skew join."""
+    """Each interaction with its customer. No hint: the dimension grows with the data, so the size decides between
+    broadcast and sort-merge at run time. A hot customer is split by the skew join where both sides come from written
+    tables (as in the Gold run); behind an aggregate on the same key the join keeps that aggregate's partitions."""
     return fact.join(dim, "customer_id", "inner")
 
 

@@ -33,8 +33,8 @@ SELECT customer_id, age, job, marital, education, in_default, balance, housing,
   SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY event_ts DESC, src_key DESC) AS rn FROM cleaned
 ) WHERE rn = 1""",
     "fact": """
-SELECT concat('INT_', substr(sha256(concat_ws('|', customer_id, contact, CAST(day AS VARCHAR), month,
-         CAST(CAST(duration AS DECIMAL(18,2)) AS VARCHAR), CAST(campaign AS VARCHAR))), 1, 16)) AS interaction_id,
+SELECT concat('INT_', sha256(concat_ws('|', customer_id, contact, CAST(day AS VARCHAR), month,
+         CAST(CAST(duration AS DECIMAL(38,10)) AS VARCHAR), CAST(campaign AS VARCHAR)))) AS interaction_id,
        customer_id, contact, day, month, duration, campaign, pdays, previous, poutcome, y, event_ts, src_key FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id, contact, day, month, duration, campaign
                                ORDER BY event_ts, src_key) AS rn FROM cleaned

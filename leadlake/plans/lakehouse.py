@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadlake.config import DEFAULT, Settings
 from leadlake.functions.features import derive_leads
@@ -26,7 +27,7 @@ from leadlake.operators.train import (
 from leadlake.operators.prep import assign_split
 from leadlake.schemas import LEADS, as_text
 from leadlake.sources.readers import read_batch_file
-from leadlake.sources.sinks import overwrite_table, write_by_suffix
+from leadlake.sources.sinks import batch_folder, overwrite_table, write_by_suffix
 
 SIDE, VALID, BAD = "_side", "valid", "quarantine"
 
@@ -103,12 +104,15 @@ def ingest_frame(df: DataFrame, layers: Layers, batch_id: str, settings: Setting
     checked = _sided(contracts.check(named, rules))
     audited = conform.add_audit(cast_contract(checked), batch_id, source)
     written = audited if settings.contracts.write_quarantine else audited.filter(F.col(SIDE) == VALID)
+    folder = batch_folder(layers.bronze, batch_id)
+    # One folder per batch, its sides below it: a batch that comes again replaces both sides, whatever it brings now.
     (
-        written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy").partitionBy(SIDE, "_batch_id").parquet(layers.bronze)
+        written.drop("_batch_id").write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .option("compression", "snappy").partitionBy(SIDE).parquet(folder)
     )
     if settings.contracts.write_quarantine:
-        batch = df.sparkSession.read.parquet(layers.bronze).filter(F.col("_batch_id") == batch_id)
+        sided = written.schema[SIDE]
+        batch = df.sparkSession.read.schema(T.StructType([sided])).parquet(folder)
     else:
         batch = _sided(contracts.check(named, rules))  # the bad rows are still counted, though not kept
     sides = _written_counts(batch)
@@ -221,11 +225,25 @@ def load_models(spark: SparkSession, layers: Layers) -> dict[str, TrainedModel]:
             if is_model_available(spark, layers.models, m)}
 
 
-def score_leads(leads: DataFrame, models: dict[str, TrainedModel], settings: Settings = DEFAULT) -> DataFrame:
-    """Derive, route by mode, score each part with its model, decide. Works on batches and on streams."""
-    routed = route_mode(derive_leads(leads))
+MODES = ("pre_call", "post_call")
+
+
+def score_leads(leads: DataFrame, models: dict[str, TrainedModel], settings: Settings = DEFAULT, mode: str = "auto") -> DataFrame:
+    """Derive, route by mode, score each part with its model, decide. Works on batches and on streams.
+
+    ``mode`` may force one mode for all leads. A mode that leads can be routed to must have a model: otherwise nothing is
+    scored, so that no lead is lost.
+    """
+    if mode not in ("auto", *MODES):
+        raise ValueError(f"unknown mode {mode!r}")
+    needed = MODES if mode == "auto" else (mode,)
+    missing = [m for m in needed if m not in models]
+    if missing:
+        raise ValueError(f"no model for {', '.join(missing)}")
+    derived = derive_leads(leads)
+    routed = route_mode(derived) if mode == "auto" else derived.withColumn("mode", F.lit(mode))
     parts = []
-    for mode, trained in models.items():
+    for mode, trained in ((m, models[m]) for m in needed):
         part = add_probability(trained.model, routed.filter(F.col("mode") == mode))
         parts.append(add_decision(part, "probability_yes", trained.threshold, settings.tiers))
     out = parts[0]

@@ -172,8 +172,8 @@ def feat_derive_leads(spark, sf):
         "campaign_pressure_ratio", "is_previously_contacted", "past_success_flag"))
 
 
-_HASH = """md5(concat(CAST(CAST(age AS DECIMAL(18,2)) AS VARCHAR), '_', job, '_',
-       CAST(CAST(balance AS DECIMAL(18,2)) AS VARCHAR), '_', CAST(CAST(day AS DECIMAL(18,2)) AS VARCHAR), '_', month))"""
+_HASH = """md5(concat(CAST(CAST(age AS DECIMAL(38,10)) AS VARCHAR), '_', job, '_',
+       CAST(CAST(balance AS DECIMAL(38,10)) AS VARCHAR), '_', CAST(CAST(day AS DECIMAL(38,10)) AS VARCHAR), '_', month))"""
 
 
 @query("hash_record", f"SELECT src_key, {_HASH} AS record_hash FROM leads_raw", ("leads_raw",))
@@ -191,8 +191,8 @@ def audit_columns(spark, sf):
 
 
 @query("id_surrogate", """
-SELECT src_key, concat('INT_', substr(sha256(concat(customer_id, '|', contact, '|', day, '|', month, '|',
-       coalesce(CAST(CAST(duration AS DECIMAL(18,2)) AS VARCHAR), '~'), '|', campaign)), 1, 16)) AS interaction_id
+SELECT src_key, concat('INT_', sha256(concat(customer_id, '|', contact, '|', day, '|', month, '|',
+       coalesce(CAST(CAST(duration AS DECIMAL(38,10)) AS VARCHAR), '~'), '|', campaign))) AS interaction_id
 FROM leads_raw""", ("leads_raw",))
 def id_surrogate(spark, sf):
     key = ("customer_id", "contact", "day", "month", "duration", "campaign")

@@ -101,7 +101,7 @@ def ctr_unique_rows(spark, sf):
 @query("ctr_fact_interaction", f"""
 WITH {_CLEAN_ALL}, facts AS (
   SELECT *, concat_ws('|', customer_id, contact, CAST(day AS VARCHAR), month,
-                      coalesce(CAST(CAST(duration AS DECIMAL(18,2)) AS VARCHAR), '~'), CAST(campaign AS VARCHAR)) AS ikey
+                      coalesce(CAST(CAST(duration AS DECIMAL(38,10)) AS VARCHAR), '~'), CAST(campaign AS VARCHAR)) AS ikey
   FROM leads_clean)
 {_counts({
     'interaction_id_present': 'ikey IS NULL',

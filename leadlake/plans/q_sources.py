@@ -23,9 +23,13 @@ def _leads(spark, sf):
 
 @query("src_csv_scan", _ALL_LEADS, ("leads_raw",))
 def src_csv_scan(spark, sf):
+    """The file has its columns in another order, one that the schema does not know, and lacks one (the phone)."""
     path = shared_dir(spark, "csv")
-    sinks.write_csv(_leads(spark, sf), path)
-    return tidy(readers.read_csv(spark, path, LEADS))
+    leads = _leads(spark, sf)
+    sinks.write_csv(leads.withColumn("branch", F.lit("north")).select("branch", *sorted(set(_COLUMNS) - {"phone"})), path)
+    found = readers.read_csv(spark, path, LEADS)
+    phones = leads.select("src_key", "phone")
+    return tidy(found.drop("branch").join(phones, "src_key").select(*_COLUMNS))
 
 
 @query("src_parquet_scan", "SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice FROM orders")
@@ -83,8 +87,12 @@ SELECT 'b1' AS batch, src_key, round(balance, 6) AS balance FROM leads_raw
 UNION ALL SELECT 'b2' AS batch, src_key, round(balance, 6) AS balance FROM leads_dup""", ("leads_dup",))
 def snk_bronze_append(spark, sf):
     path = shared_dir(spark, "bronze")
+    # A batch that comes again, smaller or empty, leaves nothing of its first delivery.
+    sinks.append_batch(fx.leads_dup(spark, sf).select(*_COLUMNS), path, "b1")
     sinks.append_batch(_leads(spark, sf), path, "b1")
-    for _ in range(2):  # a repeated delivery of the same batch must not add rows
+    sinks.append_batch(_leads(spark, sf), path, "b3")
+    sinks.append_batch(_leads(spark, sf).filter("false"), path, "b3")
+    for _ in range(2):
         sinks.append_batch(fx.leads_dup(spark, sf).select(*_COLUMNS), path, "b2")
     return tidy(spark.read.parquet(path).select(F.col("_batch_id").alias("batch"), "src_key", "balance"))
 

@@ -62,13 +62,11 @@ def str_feedback_dedup(spark, sf):
 @query("str_outcome_counts", """
 SELECT date_trunc('day', recorded_at)::TIMESTAMP AS window_start,
        CASE WHEN outcome IN ('agreed', 'declined', 'callback', 'unreachable') THEN outcome ELSE 'declined' END AS outcome, count(*) AS n
-FROM call_feedback
-WHERE date_trunc('day', recorded_at) + INTERVAL 1 DAY <= (SELECT max(recorded_at) - INTERVAL 1 HOUR FROM call_feedback)
-GROUP BY 1, 2""", ("call_feedback",))
+FROM call_feedback GROUP BY 1, 2""", ("call_feedback",))
 def str_outcome_counts(spark, sf):
     path = shared_dir(spark, "outcome-counts")
-    jobs.drain(jobs.to_parquet(jobs.outcome_counts(_feedback_stream(spark, sf)), path, shared_dir(spark, "checkpoint")))
-    return spark.read.parquet(path).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    jobs.drain(jobs.keep_counts(jobs.outcome_counts(_feedback_stream(spark, sf)), path, shared_dir(spark, "checkpoint")))
+    return jobs.latest_counts(spark, path, "window_start timestamp, outcome string").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 _TIER = """CASE WHEN score >= 0.7 THEN 'Tier 1 (Hot - Priority Dispatch)' WHEN score >= 0.45 THEN 'Tier 2 (Warm - Follow Up)'
@@ -79,7 +77,6 @@ _TIER = """CASE WHEN score >= 0.7 THEN 'Tier 1 (Hot - Priority Dispatch)' WHEN s
 SELECT date_trunc('day', event_ts)::TIMESTAMP AS window_start, {_TIER} AS priority_tier,
        CASE WHEN coalesce(duration, 0) = 0 THEN 'pre_call' ELSE 'post_call' END AS mode, count(*) AS n
 FROM scored s JOIN leads_raw l ON l.src_key = s.src_key
-WHERE date_trunc('day', event_ts) + INTERVAL 1 DAY <= (SELECT max(event_ts) - INTERVAL 1 HOUR FROM leads_raw)
 GROUP BY 1, 2, 3""", ("scored",))
 def str_tier_counts(spark, sf):
     leads = _leads_stream(spark, sf)
@@ -87,8 +84,8 @@ def str_tier_counts(spark, sf):
     scored = route_mode(leads).select(
         F.col("event_ts").cast("timestamp").alias("event_ts"), "mode", (points.cast("double") / 10000.0).alias("score"))
     path = shared_dir(spark, "tier-counts")
-    jobs.drain(jobs.to_parquet(jobs.tier_counts(scored), path, shared_dir(spark, "checkpoint")))
-    return spark.read.parquet(path).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    jobs.drain(jobs.keep_counts(jobs.tier_counts(scored), path, shared_dir(spark, "checkpoint")))
+    return jobs.latest_counts(spark, path, "window_start timestamp, priority_tier string, mode string").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query("str_latency_hist", """

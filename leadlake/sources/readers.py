@@ -12,12 +12,23 @@ CORRUPT = "_corrupt_record"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, keep_corrupt: bool = False) -> DataFrame:
-    """CSV with a header. Malformed rows are kept as text in ``_corrupt_record`` when asked for."""
+    """CSV with a header: columns are found by their names in it, in any order, and typed as ``schema`` says.
+
+    Columns the schema does not know are read as text, columns the file does not have are left out. All files of a folder
+    must carry the same header, otherwise the read is refused. Malformed rows are kept as text in ``_corrupt_record``
+    when asked for.
+    """
+    names = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    known = {f.name.lower(): f for f in schema.fields}
+    found = [known.get(n.strip().lower()) for n in names]
+    if names:
+        schema = T.StructType([T.StructField(n, f.dataType if f else T.StringType()) for n, f in zip(names, found)])
     if keep_corrupt:
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     return (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
@@ -72,8 +83,12 @@ def read_arff(spark: SparkSession, path: str, header_path: str | None = None, ma
     """
     head = spark.read.text(header_path or path).limit(max_header_lines).collect()
     schema = _arff_schema([row.value for row in head])
+    # Rows of the body may begin with @: only the header's own lines are left out, and comments and empty lines.
+    lines = [row.value.strip() for row in head]
+    end = next(i for i, line in enumerate(lines) if line.lower().startswith("@data"))
+    declared = sorted({line for line in lines[:end + 1] if line.startswith("@")})
     body = spark.read.text(path).withColumn("value", F.trim("value"))
-    rows = body.filter(~F.col("value").rlike(r"^(%|@|$)"))
+    rows = body.filter(~F.col("value").rlike(r"^(%|$)") & ~F.col("value").isin(declared))
     options = {"quote": "'", "nullValue": "?", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     return rows.select(F.from_csv(F.col("value"), ddl, options).alias("row")).select("row.*")

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def append_batch(df: DataFrame, path: str, batch_id: str) -> None:
-    """Append-only table, one partition folder per batch. Writing a batch again replaces that batch only."""
-    (
-        df.withColumn("_batch_id", F.lit(batch_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy("_batch_id")
-        .parquet(path)
-    )
+    """Append-only table, one partition folder per batch. Writing a batch again replaces that batch, whole and only:
+    also when it comes again with fewer rows or none."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "snappy").parquet(batch_folder(path, batch_id))
+
+
+def batch_folder(path: str, batch_id: str) -> str:
+    """Folder of one batch, found again as the partition column ``_batch_id``."""
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", batch_id):
+        raise ValueError(f"a batch id is made of letters, digits, dots, dashes and underscores: {batch_id!r}")
+    return f"{path.rstrip('/')}/_batch_id={batch_id}"
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:

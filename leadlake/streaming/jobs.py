@@ -1,8 +1,9 @@
-"""Structured Streaming jobs. Every stateful job has a watermark or a state bounded by its keys; every sink is
+"""Structured Streaming jobs. No event is dropped for being late; a state is bounded by its keys; every sink is
 idempotent: a batch that is run again replaces what it wrote the first time."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +17,6 @@ from leadlake.operators.train import TrainedModel
 from leadlake.plans.lakehouse import Layers, ingest_frame, score_leads
 from leadlake.sources.sinks import append_batch, overwrite_table
 
-LATENESS = "1 hour"
-
 
 def drain(query: StreamingQuery) -> None:
     """Wait until everything available has been processed."""
@@ -38,15 +37,21 @@ def to_parquet(df: DataFrame, path: str, checkpoint: str, available_now: bool =
     return _start(df, checkpoint, "append", available_now).format("parquet").option("path", path).start()
 
 
+def stream_name(checkpoint: str) -> str:
+    """A short name of the stream that a checkpoint folder belongs to."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
 # --- Ingest -----------------------------------------------------------------------
 
 def ingest(raw: DataFrame, layers: Layers, checkpoint: str, settings: Settings = DEFAULT,
            available_now: bool = True) -> StreamingQuery:
-    """Raw files to Bronze and quarantine. The batch id comes from the stream, so a replay overwrites itself."""
+    """Raw files to Bronze and quarantine. The batch id names the stream (by its checkpoint) and the batch, so a replay
+    overwrites itself and another stream, or a new checkpoint, does not."""
+    stream = stream_name(checkpoint)
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            ingest_frame(batch, layers, f"stream-{batch_id:08d}", settings, "stream")
+        ingest_frame(batch, layers, f"stream-{stream}-{batch_id:08d}", settings, "stream")
 
     return _each_batch(raw, checkpoint, work, available_now=available_now)
 
@@ -68,9 +73,10 @@ def feedback_log(feedback: DataFrame, path: str, checkpoint: str, available_now:
     return to_parquet(feedback_records(feedback), path, checkpoint, available_now)
 
 
-def drop_repeated(feedback: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """One row per feedback id; the state of an id is dropped when the watermark has passed it."""
-    return feedback.withWatermark("recorded_at", lateness).dropDuplicatesWithinWatermark(["feedback_id"])
+def drop_repeated(feedback: DataFrame) -> DataFrame:
+    """One row per feedback id, however late it or its repeats come: the state keeps every id (and nothing else), so a
+    large log wants the RocksDB state store."""
+    return feedback.dropDuplicates(["feedback_id"])
 
 
 def counted_outcome(outcome: Column) -> Column:
@@ -79,10 +85,10 @@ def counted_outcome(outcome: Column) -> Column:
     return F.when(name.isin(*OUTCOMES), name).otherwise(F.lit("declined"))
 
 
-def outcome_counts(feedback: DataFrame, width: str = "1 day", lateness: str = LATENESS) -> DataFrame:
-    """(day, outcome, n) per tumbling window; a stream emits a window once it is closed."""
-    timed = feedback.withWatermark("recorded_at", lateness) if feedback.isStreaming else feedback
-    counts = timed.groupBy(F.window("recorded_at", width), counted_outcome(F.col("outcome")).alias("outcome"))
+def outcome_counts(feedback: DataFrame, width: str = "1 day") -> DataFrame:
+    """(day, outcome, n) per tumbling window. No watermark: a late event is added to its window; the state holds one row
+    per window and outcome."""
+    counts = feedback.groupBy(F.window("recorded_at", width), counted_outcome(F.col("outcome")).alias("outcome"))
     return counts.agg(F.count(F.lit(1)).alias("n")).select(F.col("window.start").alias("window_start"), "outcome", "n")
 
 
@@ -90,28 +96,37 @@ def customer_totals(feedback: DataFrame) -> DataFrame:
     return feedback.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def keep_totals(feedback: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Running totals: each batch appends the totals it changed; ``latest_totals`` reads the newest of each."""
+def keep_counts(counts: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Running counts: each batch appends the counts it changed; ``latest_counts`` reads the newest of each key. A folder
+    belongs to one stream: a batch that runs again replaces its own rows."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
         append_batch(batch, path, f"{batch_id:08d}")
 
-    return _each_batch(customer_totals(feedback), checkpoint, work, "update", available_now)
+    return _each_batch(counts, checkpoint, work, "update", available_now)
+
+
+def latest_counts(spark: SparkSession, path: str, keys: str) -> DataFrame:
+    """Newest count of each key; ``keys`` declares the key columns."""
+    rows = spark.read.schema(f"{keys}, n long, _batch_id string").parquet(path)
+    names = [c for c in rows.columns if c not in ("n", "_batch_id")]
+    return rows.groupBy(*names).agg(F.max_by("n", "_batch_id").alias("n"))
+
+
+def keep_totals(feedback: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    return keep_counts(customer_totals(feedback), path, checkpoint, available_now)
 
 
 def latest_totals(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.schema("customer_id string, n long, _batch_id string").parquet(path)
-    return rows.groupBy("customer_id").agg(F.max_by("n", "_batch_id").alias("n"))
+    return latest_counts(spark, path, "customer_id string")
 
 
 # --- Prediction counters ------------------------------------------------------------
 
-def tier_counts(scored: DataFrame, score: str = "score", time: str = "event_ts", width: str = "1 day",
-                lateness: str = LATENESS) -> DataFrame:
-    """(window_start, priority_tier, mode, n) of scored leads."""
-    timed = scored.withWatermark(time, lateness) if scored.isStreaming else scored
+def tier_counts(scored: DataFrame, score: str = "score", time: str = "event_ts", width: str = "1 day") -> DataFrame:
+    """(window_start, priority_tier, mode, n) of scored leads, late ones included."""
     keys = (F.window(time, width), priority_tier(F.col(score)).alias("priority_tier"), F.col("mode"))
-    counts = timed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counts = scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return counts.select(F.col("window.start").alias("window_start"), "priority_tier", "mode", "n")
 
 
@@ -141,7 +156,7 @@ def watch_drift(incoming: DataFrame, edges: dict[str, list[float]], expected_pat
         if not batch.isEmpty():
             expected = batch.sparkSession.read.parquet(expected_path)
             report = drift.drift_report(None, batch, columns, edges=edges, expected=expected)
-            append_batch(report, path, f"{batch_id:08d}")
+            append_batch(report, path, f"{stream_name(checkpoint)}-{batch_id:08d}")
 
     return _each_batch(incoming, checkpoint, work, available_now=available_now)
 

@@ -6,10 +6,12 @@ import math
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from leadlake.config import Contracts
 from leadlake.functions import encode, features, hashing, numeric, text
 from leadlake.operators import bins, conform, contracts, drift, evaluate, fairness, marts, prep, privacy, profile, score, stats
+from leadlake.plans import fixtures as fx
 from leadlake.plans import lakehouse
 from leadlake.schemas import LEADS, as_text
 from leadlake.session import shared_dir
@@ -176,7 +178,7 @@ def test_audit_generates_missing_ids(spark):
 
 def test_record_hash_does_not_depend_on_float_text(spark):
     rows = leads(spark, {"balance": 12345678.0}, {"balance": None}).select(hashing.record_hash().alias("h")).collect()
-    assert rows[0].h == hashlib.md5(b"40.00_management_12345678.00_5.00_may").hexdigest()
+    assert rows[0].h == hashlib.md5(b"40.0000000000_management_12345678.0000000000_5.0000000000_may").hexdigest()
     assert rows[1].h == hashlib.md5(b"40.00_management_~_5.00_may").hexdigest()
 
 
@@ -426,3 +428,34 @@ def test_silver_violations_go_to_quarantine(spark):
     counts = lakehouse.build_silver(spark, layers, ("src_key",))
     assert counts == {"dim_customer_count": 1, "fact_interaction_count": 2}
     assert one(lakehouse.read_side(spark, layers.dim, lakehouse.BAD))[contracts.REASON] == "job_domain"
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    schema = StructType([LEADS[c] for c in ("age", "job", "balance")])
+    (tmp_path / "a.csv").write_text("Balance,extra,age\n1.5,x,40\n,y,41\n")
+    df = readers.read_csv(spark, str(tmp_path / "a.csv"), schema)
+    assert df.dtypes == [("Balance", "double"), ("extra", "string"), ("age", "int")]
+    assert [tuple(r) for r in df.collect()] == [(1.5, "x", 40), (None, "y", 41)]
+    (tmp_path / "b.csv").write_text("age,extra,Balance\n40,x,1.5\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, str(tmp_path), schema).collect()
+
+
+def test_scoring_refuses_a_mode_without_a_model(spark, sf):
+    from leadlake.plans import lakehouse
+
+    with pytest.raises(ValueError, match="post_call"):
+        lakehouse.score_leads(fx.leads_raw(spark, sf), {"pre_call": None})
+
+
+def test_smaller_redelivery_replaces_both_sides(spark, sf):
+    from leadlake.plans import lakehouse
+    from leadlake.session import shared_dir
+
+    layers, raw = lakehouse.Layers(shared_dir(spark, "lake")), fx.leads_raw(spark, sf)
+    first = lakehouse.ingest_frame(raw, layers, "b1")
+    assert first["quarantined_records"] > 0
+    good = raw.filter("age BETWEEN 18 AND 100 AND duration >= 0 AND campaign >= 1").limit(50)
+    again = lakehouse.ingest_frame(good, layers, "b1")
+    bronze = spark.read.parquet(layers.bronze)
+    assert bronze.count() == again["ingested_records"] + again["quarantined_records"] == 50
