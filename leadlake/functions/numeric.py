@@ -38,11 +38,25 @@ def ratio_or_zero(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
+#: Edges up to which a comparison tree is generated.
+MAX_TREE_EDGES = 32
+
+
 def bucket_index(column: Column, edges: Sequence[float], closed_left: bool = True) -> Column:
     """How many of the sorted ``edges`` lie at or below (``closed_left``) or strictly below the value.
 
-    The comparison is a balanced tree of CASE branches: log2(n) tests per row, all inside codegen.
+    Few edges become a balanced tree of CASE branches, all inside codegen. Many would make more code than can be compiled:
+    they stay one array literal, searched by halving steps. Both take log2(n) tests per row.
     """
+    if len(edges) > MAX_TREE_EDGES:
+        table = F.lit([float(e) for e in edges])
+        steps = [1 << k for k in reversed(range(len(edges).bit_length()))]
+
+        def halve(at: Column, step: Column) -> Column:
+            edge = F.get(table, at + step - 1)  # NULL beyond the last edge: not reached
+            return F.when(edge <= column if closed_left else edge < column, at + step).otherwise(at)
+
+        return F.when(column.isNotNull(), F.aggregate(F.lit(steps), F.lit(0), halve))
 
     def search(lo: int, hi: int) -> Column:
         if lo == hi:

@@ -7,9 +7,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from leadlake.functions.numeric import bucket_index
 from leadlake.operators.ranks import cut_points, quantile_values, range_of, row_ranks
+from leadlake.session import rank_buckets
 
 
 def fixed_bin(column: Column, edges: Sequence[float]) -> Column:
@@ -38,10 +40,14 @@ def quantile_bin(column: Column, edges: Sequence[float]) -> Column:
 def rank_first_bins(df: DataFrame, column: str, key: str, q: int, name: str = "bin") -> DataFrame:
     """Equal-count bins even with ties: rows are ranked by (value, key), key unique.
 
-    A value shared by many rows is ranked by key ranges, so no task has to sort all its rows.
+    A value shared by many rows is ranked by key ranges, so no task has to sort all its rows. Keys that are not numbers
+    are cut by slices of their hash instead; ties are then in the order of (slice, key).
     """
     clean = df.filter(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
-    part = range_of(F.col(key).cast("double"), cut_points(clean, [key]))
+    if isinstance(df.schema[key].dataType, NumericType):
+        part = range_of(F.col(key).cast("double"), cut_points(clean, [key]))
+    else:
+        part = F.pmod(F.xxhash64(key), F.lit(rank_buckets(df.sparkSession)))
     ranked = row_ranks(clean, column, [key], part, "_rank")
     place = (F.col("_rank") - 1) * F.lit(q)
     steps = F.greatest(F.col("_rows") - 1, F.lit(1))

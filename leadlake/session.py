@@ -49,8 +49,8 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def rank_buckets(spark: SparkSession) -> int:
-    """How many value ranges an ordered pass is cut into: grows with the cluster, bounded for the plan."""
-    return max(16, min(512, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    """How many value ranges an ordered pass is cut into: as many as there are tasks to share them."""
+    return max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def literal_rows(spark: SparkSession, ddl: str, rows: list[tuple]) -> DataFrame:

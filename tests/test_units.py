@@ -459,3 +459,24 @@ def test_smaller_redelivery_replaces_both_sides(spark, sf):
     again = lakehouse.ingest_frame(good, layers, "b1")
     bronze = spark.read.parquet(layers.bronze)
     assert bronze.count() == again["ingested_records"] + again["quarantined_records"] == 50
+
+
+def test_many_edges_are_searched_like_few(spark):
+    import bisect
+    import random
+
+    rng = random.Random(3)
+    for n in (33, 100, 1000):
+        edges = sorted(rng.sample(range(10 * n), n))
+        values = [None, -1.0, 0.5, *edges[:5], *edges[-3:], *[rng.uniform(-5, 10 * n + 5) for _ in range(50)]]
+        df = spark.createDataFrame([(None if v is None else float(v),) for v in values], "v double")
+        rows = df.select("v", numeric.bucket_index(F.col("v"), edges).alias("a"), numeric.bucket_index(F.col("v"), edges, False).alias("b"))
+        for r in rows.collect():
+            want = (None, None) if r.v is None else (bisect.bisect_right(edges, r.v), bisect.bisect_left(edges, r.v))
+            assert (r.a, r.b) == want
+
+
+def test_rank_first_bins_with_text_keys(spark):
+    df = spark.createDataFrame([(float(i % 3), f"k{i}") for i in range(90)], "v double, k string")
+    rows = bins.rank_first_bins(df, "v", "k", 9).groupBy("bin").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+    assert sorted((r.bin, r.n, r.lo, r.hi) for r in rows) == [(i, 10, float(i // 3), float(i // 3)) for i in range(9)]
