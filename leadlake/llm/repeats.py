@@ -8,7 +8,8 @@ A byte goes if a string of ``LENGTH`` bytes that covers it starts anywhere else,
 2. Classes. Places with equal anchor and context are one class. A class of two or more places is covered whole, whatever
    their number. Only anchors with different contexts, where a repeat begins or ends, need a closer look, and of each
    class one context.
-3. Blocks. The contexts of an anchor come together in one block, many anchors to a block. A block is sorted and its
+3. Blocks. The contexts of an anchor come together in one block, many anchors to a block. Stretches of a context that
+   hashes of window cores show to be its anchor's only ones are left out; the rest of a block is sorted and its
    Burrows-Wheeler transform taken. Intervals of equal prefixes are extended backwards, breadth first: the level at
    which a boundary between neighbouring suffixes first appears is their common prefix, so prefixes come out in
    increasing order, and the expansion stops at ``LENGTH``. Boundaries not seen by then are the repeats.
@@ -42,6 +43,8 @@ SLICE = 1 << 20
 #: Contexts of one anchor that may share a block; more are cut by range, ``FAN`` ranges at a time.
 MOST = 512
 FAN = 8
+#: Ranges by which contexts are compared by hash before they are transformed.
+RANGES = 16
 BLOCK_BYTES = 1 << 20
 #: The expansion starts from the intervals of prefixes of this length, which the sort has already found.
 START_LEVEL = 16
@@ -213,6 +216,36 @@ def repeats_in_block(contexts: list[bytes], places: np.ndarray, several: np.ndar
     return [_merge(found[a:b] - begin[i], length) for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
 
 
+def shared_bounds(contexts: list[bytes], lefts: list[int], anchors: list[int], length: int = LENGTH) -> list[tuple[int, int]]:
+    """Per context the stretch that can hold a repeat with another context of its anchor; (0, 0) if none can.
+
+    Windows are taken in ranges of how far they begin before the anchor. All windows of a range share a core; if no
+    other context has the same core there, none has one of these windows, and the transform is spared them.
+    """
+    width = length - GRAM + 1
+    step = -(-width // RANGES)
+    ranges = [(a, min(a + step, width)) for a in range(0, width, step)]
+    owners: dict[tuple[int, int, int], int] = {}
+    alive: list[list[int]] = [[] for _ in contexts]
+    for n, (data, left, anchor) in enumerate(zip(contexts, lefts, anchors)):
+        for r, (a, b) in enumerate(ranges):
+            if max(a, length - len(data) + left) > min(b - 1, left):
+                continue  # no window of the range fits this context
+            key = (anchor, r, xxhash.xxh3_64_intdigest(data[left - a:left - b + 1 + length]))
+            other = owners.setdefault(key, n)
+            if other != n:
+                alive[n].append(r)
+                alive[other].append(r)
+    out = []
+    for data, left, live in zip(contexts, lefts, alive):
+        if not live:
+            out.append((0, 0))
+            continue
+        low, high = ranges[min(live)][0], ranges[max(live)][1]
+        out.append((max(0, left - high + 1), min(len(data), left - low + length)))
+    return out
+
+
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -347,11 +380,17 @@ def spans(docs: DataFrame, text: str = "text") -> DataFrame:
     blocks = max(1, -(-volume // BLOCK_BYTES))
 
     def expand(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values(["anchor", "context"])
+        bounds = shared_bounds(batch["bytes"].tolist(), batch["left"].tolist(), batch["anchor"].tolist())
+        batch = batch.assign(low=[b[0] for b in bounds], high=[b[1] for b in bounds])
+        batch = batch[batch["low"] < batch["high"]].sort_values(["anchor", "context"])
+        if not len(batch):
+            return pd.DataFrame(columns=["anchor", "context", "from", "to"])
         texts = batch.groupby(["k1", "k2"]).ngroup().to_numpy()
+        parts = [data[low:high] for data, low, high in zip(batch["bytes"], batch["low"], batch["high"])]
         got = repeats_in_block(
-            batch["bytes"].tolist(), (texts.astype(np.int64) << 40) + batch["start"].to_numpy(), batch["n"].to_numpy() > 1)
-        rows = [(a, c, f, t) for a, c, n, each in zip(batch["anchor"], batch["context"], batch["n"], got) if n == 1 for f, t in each]
+            parts, (texts.astype(np.int64) << 40) + (batch["start"] + batch["low"]).to_numpy(), batch["n"].to_numpy() > 1)
+        rows = [(a, c, low + f, low + t) for a, c, n, low, each in zip(
+            batch["anchor"], batch["context"], batch["n"], batch["low"], got) if n == 1 for f, t in each]
         return pd.DataFrame(rows, columns=["anchor", "context", "from", "to"])
 
     blocked = found.withColumn("block", F.pmod(F.xxhash64("anchor"), F.lit(blocks)))
