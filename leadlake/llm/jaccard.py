@@ -36,8 +36,8 @@ CELL_LOAD = 16
 CELL_BITS = (16, 24)
 CELL_SLICE = 1 << 16
 RANGES = 64
-#: Slots of the filter that keeps texts which cannot be needed out of a shuffle.
-TEXT_SLOTS = 1 << 20
+#: A list of sets to verify goes to all tasks up to this many entries (three numbers each).
+MAX_LISTED = 1 << 20
 MAX_WORDS = 400_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xD6E8FEB86659FD93)
@@ -162,20 +162,20 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, t
         .select("a", "b", "n_a", "n_b"), "candidates")
     nodes = narrowed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = _written(classes.join(nodes, "node", "left_semi").select("node", "text_key", "rep"), "wanted")
-    slots = wanted.select(F.pmod("text_key", F.lit(TEXT_SLOTS)).alias("_slot")).distinct()  # at most TEXT_SLOTS rows
-    found = docs.select(F.col(key).alias("_rep"), F.col(text), _text_key(text).alias("text_key")).join(
-        F.broadcast(slots), F.pmod("text_key", F.lit(TEXT_SLOTS)) == F.col("_slot"), "left_semi")
+    # A list of bounded size goes to the texts; a longer one and the texts meet by shuffle.
+    listed = F.broadcast(wanted) if wanted.count() <= MAX_LISTED else wanted
+    same = (F.col("d.text_key") == F.col("w.text_key")) & F.col("d.rep").eqNullSafe(F.col("w.rep"))
+    found = docs.select(F.col(key).alias("rep"), F.col(text).alias("text"), _text_key(text).alias("text_key")).alias("d").join(
+        listed.alias("w"), same).select("w.node", "d.text")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()  # rows that repeat key and text
         for batch in batches:
-            yield pd.DataFrame({"key": batch["key"].array, "text_key": batch["text_key"],
-                                "tokens": [shingles(body).view(np.int64) for body in batch["_text"]]})
+            new = ~(batch["node"].duplicated() | batch["node"].isin(seen))
+            seen.update(batch["node"][new])
+            yield pd.DataFrame({"node": batch["node"][new], "tokens": [shingles(body).view(np.int64) for body in batch["_text"][new]]})
 
-    kind = docs.schema[key].dataType.simpleString()
-    source = _texts(found, text, F.struct(F.col("_rep").alias("v")).alias("key"), F.col("text_key"))
-    sets = source.mapInPandas(read, f"key struct<v: {kind}>, text_key long, tokens array<long>")
-    same = (F.col("s.text_key") == F.col("w.text_key")) & F.col("s.key.v").eqNullSafe(F.col("w.rep"))
-    of_node = sets.alias("s").join(wanted.alias("w"), same).groupBy("w.node").agg(F.first("s.tokens").alias("tokens"))
+    of_node = _texts(found, "text", F.col("node")).mapInPandas(read, "node long, tokens array<long>")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     return (
         narrowed.join(of_node.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a")), "a")
