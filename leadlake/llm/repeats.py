@@ -3,13 +3,14 @@
 A byte goes if a string of ``LENGTH`` bytes that covers it starts anywhere else, in any document.
 
 1. Anchors. In every window of ``LENGTH`` bytes the gram with the least hash is an anchor, so equal windows have equal
-   anchors at equal places: two copies of a window always meet at an anchor. An anchor's context is what can lie in a
-   window with it, less than twice ``LENGTH`` bytes.
+   anchors at equal places: two copies of a window always meet at an anchor. An anchor's context is what lies in the
+   windows it is the anchor of, less than twice ``LENGTH`` bytes.
 2. Classes. Places with equal anchor and context are one class. A class of two or more places is covered whole, whatever
    their number. Only anchors with different contexts, where a repeat begins or ends, need a closer look, and of each
    class one context.
-3. Blocks. The contexts of an anchor come together in one block, many anchors to a block. Stretches of a context that
-   hashes of window cores show to be its anchor's only ones are left out; the rest of a block is sorted and its
+3. Blocks. The contexts of an anchor come together in one block, many anchors to a block. The windows of a context are
+   taken in ranges; hashes tell stretches that are equal as a whole, and those whose core no other context has. What is
+   left of a block, the stretches in which a repeat begins or ends, is sorted and its
    Burrows-Wheeler transform taken. Intervals of equal prefixes are extended backwards, breadth first: the level at
    which a boundary between neighbouring suffixes first appears is their common prefix, so prefixes come out in
    increasing order, and the expansion stops at ``LENGTH``. Boundaries not seen by then are the repeats.
@@ -26,7 +27,6 @@ enough; matches never cross documents; other columns are not read.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -80,12 +80,14 @@ def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def anchors_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """Positions of the least gram (the first of equals) of every window inside one of the stretches [start, end)."""
+def anchors_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(position, first, last): the least gram (the first of equals) of every window inside one of the stretches
+    [start, end), with the first and the last start of the windows it is the least of."""
+    nothing = np.empty(0, np.int64)
     width = length - GRAM + 1
     fits = ends - starts >= length
     if not fits.any():
-        return np.empty(0, np.int64)
+        return nothing, nothing, nothing
     h = gram_hashes(data)
     n = len(h)
     bits = np.uint64(max(1, n.bit_length()))
@@ -99,8 +101,11 @@ def anchors_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: i
     valid = np.zeros(len(least) + 1, np.int64)
     np.add.at(valid, starts[fits], 1)
     np.add.at(valid, ends[fits] - length + 1, -1)
-    chosen = least[np.cumsum(valid[:-1]) > 0]
-    return np.unique((chosen & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64))
+    begin = np.flatnonzero(np.cumsum(valid[:-1]) > 0)
+    chosen = (least[begin] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    change = np.flatnonzero(chosen[1:] != chosen[:-1])  # windows of one anchor follow each other
+    first, last = np.append(0, change + 1), np.append(change, len(chosen) - 1)
+    return chosen[first], begin[first], begin[last]
 
 
 def equal_windows(text: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -216,34 +221,43 @@ def repeats_in_block(contexts: list[bytes], places: np.ndarray, several: np.ndar
     return [_merge(found[a:b] - begin[i], length) for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
 
 
-def shared_bounds(contexts: list[bytes], lefts: list[int], anchors: list[int], length: int = LENGTH) -> list[tuple[int, int]]:
-    """Per context the stretch that can hold a repeat with another context of its anchor; (0, 0) if none can.
+def stretches(contexts: list[bytes], lefts: list[int], anchors: list[int], several: list[bool],
+              length: int = LENGTH) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, bool]]]:
+    """Compares the contexts of each anchor range by range: (settled, open).
 
-    Windows are taken in ranges of how far they begin before the anchor. All windows of a range share a core; if no
-    other context has the same core there, none has one of these windows, and the transform is spared them.
+    All windows of a range (of how far a window begins before the anchor) share a core. Stretches with equal cores that
+    are equal as a whole are ``settled`` repeats (context, from, to). A stretch that is alone of its kind beside others
+    with its core is ``open``, and so is one of each other kind: (context, from, to, stands for several places). A core that
+    only one context has holds no repeat. Stretches of one range begin at different places, so none meets itself.
     """
     width = length - GRAM + 1
     step = -(-width // RANGES)
     ranges = [(a, min(a + step, width)) for a in range(0, width, step)]
-    owners: dict[tuple[int, int, int], int] = {}
-    alive: list[list[int]] = [[] for _ in contexts]
+    cores: dict[tuple[int, int, int], list[tuple[int, int, int]]] = {}
     for n, (data, left, anchor) in enumerate(zip(contexts, lefts, anchors)):
+        least = length - len(data) + left
         for r, (a, b) in enumerate(ranges):
-            if max(a, length - len(data) + left) > min(b - 1, left):
-                continue  # no window of the range fits this context
-            key = (anchor, r, xxhash.xxh3_64_intdigest(data[left - a:left - b + 1 + length]))
-            other = owners.setdefault(key, n)
-            if other != n:
-                alive[n].append(r)
-                alive[other].append(r)
-    out = []
-    for data, left, live in zip(contexts, lefts, alive):
-        if not live:
-            out.append((0, 0))
+            low, high = max(a, least), min(b - 1, left)
+            if low <= high:
+                key = (anchor, r, xxhash.xxh3_64_intdigest(data[left - a:left - b + 1 + length]))
+                cores.setdefault(key, []).append((n, left - high, left - low + length))
+    settled, open_ = [], []
+    for members in cores.values():
+        if len(members) == 1:
             continue
-        low, high = ranges[min(live)][0], ranges[max(live)][1]
-        out.append((max(0, left - high + 1), min(len(data), left - low + length)))
-    return out
+        kinds: dict[bytes, list[tuple[int, int, int]]] = {}
+        for n, low, high in members:
+            left = lefts[n]
+            kinds.setdefault((left - low).to_bytes(2, "little") + contexts[n][low:high], []).append((n, low, high))
+        alone = False
+        for same in kinds.values():
+            if len(same) > 1:
+                settled.extend(same)
+            else:
+                alone = alone or not several[same[0][0]]
+        if alone and len(kinds) > 1:
+            open_.extend((*same[0], len(same) > 1 or several[same[0][0]]) for same in kinds.values())
+    return settled, open_
 
 
 def _signed(value: int) -> int:
@@ -292,15 +306,14 @@ def _anchor_rows(batch: pd.DataFrame, pieces: list[bytes]) -> pd.DataFrame:
     data = np.frombuffer(joined, np.uint8)
     ends = np.cumsum([len(p) for p in pieces])
     starts = ends - [len(p) for p in pieces]
-    at = anchors_of(data, starts, ends)
+    at, first, last = anchors_of(data, starts, ends)
     owner = np.searchsorted(ends, at, side="right")
-    base, number, total = (batch[c].to_numpy()[owner] for c in ("base", "i", "total"))
+    base, number = (batch[c].to_numpy()[owner] for c in ("base", "i"))
     pos = at - starts[owner] + base
     # A slice answers for the anchors of its own stretch; those near its edges were seen with their whole context.
     own = (pos >= number * SLICE) & (pos < (number + 1) * SLICE)
-    at, owner, pos, total = at[own], owner[own], pos[own], total[own]
-    left = np.minimum(pos, LENGTH - GRAM)
-    right = np.minimum(total - pos, LENGTH)
+    at, owner, pos = at[own], owner[own], pos[own]
+    left, right = at - first[own], last[own] + LENGTH - at
     gram = gram_hashes(data)[at].view(np.int64) if len(at) else np.empty(0, np.int64)
     digest = [_signed(xxhash.xxh3_64_intdigest(joined[a:b], seed=x)) for a, b, x in zip(
         (at - left).tolist(), (at + right).tolist(), left.tolist())]
@@ -380,18 +393,25 @@ def spans(docs: DataFrame, text: str = "text") -> DataFrame:
     blocks = max(1, -(-volume // BLOCK_BYTES))
 
     def expand(batch: pd.DataFrame) -> pd.DataFrame:
-        bounds = shared_bounds(batch["bytes"].tolist(), batch["left"].tolist(), batch["anchor"].tolist())
-        batch = batch.assign(low=[b[0] for b in bounds], high=[b[1] for b in bounds])
-        batch = batch[batch["low"] < batch["high"]].sort_values(["anchor", "context"])
-        if not len(batch):
-            return pd.DataFrame(columns=["anchor", "context", "from", "to"])
-        texts = batch.groupby(["k1", "k2"]).ngroup().to_numpy()
-        parts = [data[low:high] for data, low, high in zip(batch["bytes"], batch["low"], batch["high"])]
-        got = repeats_in_block(
-            parts, (texts.astype(np.int64) << 40) + (batch["start"] + batch["low"]).to_numpy(), batch["n"].to_numpy() > 1)
-        rows = [(a, c, low + f, low + t) for a, c, n, low, each in zip(
-            batch["anchor"], batch["context"], batch["n"], batch["low"], got) if n == 1 for f, t in each]
-        return pd.DataFrame(rows, columns=["anchor", "context", "from", "to"])
+        data, several = batch["bytes"].tolist(), (batch["n"] > 1).tolist()
+        settled, open_ = stretches(data, batch["left"].tolist(), batch["anchor"].tolist(), several)
+        spans_ = [x for x in settled if not several[x[0]]]
+        if open_:
+            texts = batch.groupby(["k1", "k2"]).ngroup().to_numpy().astype(np.int64) << 40
+            begin = batch["start"].to_numpy()
+            got = repeats_in_block(
+                [data[n][low:high] for n, low, high, _ in open_],
+                np.asarray([texts[n] + begin[n] + low for n, low, _, _ in open_]), np.asarray([x[3] for x in open_]))
+            spans_ += [(n, low + f, low + t) for (n, low, _, _), each in zip(open_, got) if not several[n] for f, t in each]
+        joined: list[list[int]] = []
+        for n, low, high in sorted(spans_):
+            if joined and joined[-1][0] == n and low <= joined[-1][2]:
+                joined[-1][2] = max(joined[-1][2], high)
+            else:
+                joined.append([n, low, high])
+        which = [x[0] for x in joined]
+        return pd.DataFrame({"anchor": batch["anchor"].to_numpy()[which], "context": batch["context"].to_numpy()[which],
+                             "from": [x[1] for x in joined], "to": [x[2] for x in joined]})
 
     blocked = found.withColumn("block", F.pmod(F.xxhash64("anchor"), F.lit(blocks)))
     of_blocks = blocked.groupBy("block").applyInPandas(expand, "anchor long, context long, from int, to int")
