@@ -19,6 +19,7 @@ Defined results: NULL or empty texts hold nothing, NULL or empty items are held
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import defaultdict
@@ -186,16 +187,20 @@ class Searcher:
         return [sorted({h[0]: h for h in sorted(hits, key=lambda h: -h[1])}.values()) for hits in out]
 
 
-_CACHE: dict[int, Searcher] = {}
+_CACHE: dict[str, Searcher] = {}
 
 
-def _searcher(items) -> Searcher:
+def _digest(block: list[tuple[int, str]]) -> str:
+    """Tells a block by its content; addresses of broadcasts are used again by later ones."""
+    return hashlib.sha256(repr(block).encode()).hexdigest()
+
+
+def _searcher(items, digest: str) -> Searcher:
     """The searcher of a broadcast block, once per worker."""
-    key = id(items)
-    if key not in _CACHE:
+    if digest not in _CACHE:
         _CACHE.clear()
-        _CACHE[key] = Searcher(items.value)
-    return _CACHE[key]
+        _CACHE[digest] = Searcher(items.value)
+    return _CACHE[digest]
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
@@ -218,9 +223,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     for block in _blocks(benchmark, item, item_text, block_bytes):
         items = spark.sparkContext.broadcast(block)
 
-        def search(batches: Iterator[pd.DataFrame], items=items) -> Iterator[pd.DataFrame]:
+        def search(batches: Iterator[pd.DataFrame], items=items, digest=_digest(block)) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                hits = [(k, *h) for k, found in zip(batch["_key"], _searcher(items).find(batch["_text"].tolist())) for h in found]
+                found = _searcher(items, digest).find(batch["_text"].tolist())
+                hits = [(k, *h) for k, each in zip(batch["_key"], found) for h in each]
                 yield pd.DataFrame(hits, columns=schema.names)
 
         source = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
@@ -240,8 +246,10 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item:
 
 
 def _clean_with(items):
+    digest = _digest(items.value)
+
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([not found for found in _searcher(items).find(batch.tolist())], dtype=bool)
+            yield pd.Series([not found for found in _searcher(items, digest).find(batch.tolist())], dtype=bool)
 
     return clean

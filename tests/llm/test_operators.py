@@ -4,10 +4,12 @@ import collections
 import hashlib
 import random
 import re
+import types
 import zlib
 
 import brute
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 
@@ -240,6 +242,21 @@ def test_recall_of_sampled_tables(prose):
     assert hits >= 0.9 * len(items)
 
 
+def test_each_block_is_searched_with_its_own_tables(spark, prose):
+    _, words = prose
+    items = [words(12) for _ in range(24)]
+    for n, item in enumerate(items):  # one worker; addresses of blocks let go are used again
+        clean = decontaminate._clean_with(types.SimpleNamespace(value=[(n, item)]))
+        assert [list(x) for x in clean(iter([pd.Series([item, items[n - 1]])]))] == [[False, True]]
+        del clean
+    docs = table(spark, items).coalesce(1)
+    for part in (range(0, 12), range(12, 24), range(0, 24, 2)):
+        bench = spark.createDataFrame([(n, items[n]) for n in part], "item_id long, text string").coalesce(1)
+        got = decontaminate.leaks(docs, bench, block_bytes=200).collect()
+        assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(n, n) for n in part]
+        assert {r["doc_id"] for r in decontaminate.drop_leaks(docs, bench, block_bytes=200).collect()} == set(range(24)) - set(part)
+
+
 def test_bit_parallel_distance():
     rng = random.Random(6)
     for _ in range(200):
