@@ -46,6 +46,8 @@ FAN = 8
 #: Ranges by which contexts are compared by hash before they are transformed.
 RANGES = 16
 BLOCK_BYTES = 1 << 20
+#: Symbols sorted at once. ``equal_windows`` packs three numbers of up to this many into 64 bits, so 2^21 would be too many.
+RUN_SYMBOLS = 1 << 20
 #: The expansion starts from the intervals of prefixes of this length, which the sort has already found.
 START_LEVEL = 16
 TEXT_SLOTS = 1 << 20
@@ -117,6 +119,8 @@ def equal_windows(text: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, n
     n = len(text)
     if n < length + 1:
         return np.empty(0, np.int64), np.empty(0, np.int64)
+    if 3 * n.bit_length() > 64:
+        raise ValueError(f"{n} symbols are too many to be ordered at once")
     index_bits = np.uint64(n.bit_length())
     mask = (np.uint64(1) << index_bits) - np.uint64(1)
     symbols = text.astype(np.uint64) + np.uint64(1)
@@ -222,13 +226,14 @@ def repeats_in_block(contexts: list[bytes], places: np.ndarray, several: np.ndar
 
 
 def stretches(contexts: list[bytes], lefts: list[int], anchors: list[int], several: list[bool],
-              length: int = LENGTH) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, bool]]]:
+              length: int = LENGTH) -> tuple[list[tuple[int, int, int]], list[list[tuple[int, int, int, bool]]]]:
     """Compares the contexts of each anchor range by range: (settled, open).
 
     All windows of a range (of how far a window begins before the anchor) share a core. Stretches with equal cores that
     are equal as a whole are ``settled`` repeats (context, from, to). A stretch that is alone of its kind beside others
-    with its core is ``open``, and so is one of each other kind: (context, from, to, stands for several places). A core that
-    only one context has holds no repeat. Stretches of one range begin at different places, so none meets itself.
+    with its core is ``open``, and so is one of each other kind: (context, from, to, stands for several places), in one list per
+    core. Equal windows have equal anchors, ranges and cores, so no repeat is between two lists. A core that only one
+    context has holds no repeat. Stretches of one range begin at different places, so none meets itself.
     """
     width = length - GRAM + 1
     step = -(-width // RANGES)
@@ -256,10 +261,24 @@ def stretches(contexts: list[bytes], lefts: list[int], anchors: list[int], sever
             else:
                 alone = alone or not several[same[0][0]]
         if alone and len(kinds) > 1:
-            open_.extend((*same[0], len(same) > 1 or several[same[0][0]]) for same in kinds.values())
+            open_.append([(*same[0], len(same) > 1 or several[same[0][0]]) for same in kinds.values()])
     return settled, open_
 
 
+def runs(groups: list[list[tuple[int, int, int, bool]]], most: int) -> Iterator[list[tuple[int, int, int, bool]]]:
+    """Open stretches of whole groups, together at most ``most`` symbols with their ends (or one group)."""
+    run, volume = [], 0
+    for group in groups:
+        size = sum(high - low + 1 for _, low, high, _ in group)
+        if run and volume + size > most:
+            yield run
+            run, volume = [], 0
+        run.extend(group)
+        volume += size
+    if run:
+        yield run
+
+
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -396,13 +415,13 @@ def spans(docs: DataFrame, text: str = "text") -> DataFrame:
         data, several = batch["bytes"].tolist(), (batch["n"] > 1).tolist()
         settled, open_ = stretches(data, batch["left"].tolist(), batch["anchor"].tolist(), several)
         spans_ = [x for x in settled if not several[x[0]]]
-        if open_:
-            texts = batch.groupby(["k1", "k2"]).ngroup().to_numpy().astype(np.int64) << 40
-            begin = batch["start"].to_numpy()
+        texts = batch.groupby(["k1", "k2"]).ngroup().to_numpy().astype(np.int64) << 40
+        begin = batch["start"].to_numpy()
+        for run in runs(open_, RUN_SYMBOLS):
             got = repeats_in_block(
-                [data[n][low:high] for n, low, high, _ in open_],
-                np.asarray([texts[n] + begin[n] + low for n, low, _, _ in open_]), np.asarray([x[3] for x in open_]))
-            spans_ += [(n, low + f, low + t) for (n, low, _, _), each in zip(open_, got) if not several[n] for f, t in each]
+                [data[n][low:high] for n, low, high, _ in run],
+                np.asarray([texts[n] + begin[n] + low for n, low, _, _ in run]), np.asarray([x[3] for x in run]))
+            spans_ += [(n, low + f, low + t) for (n, low, _, _), each in zip(run, got) if not several[n] for f, t in each]
         joined: list[list[int]] = []
         for n, low, high in sorted(spans_):
             if joined and joined[-1][0] == n and low <= joined[-1][2]:

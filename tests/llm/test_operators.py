@@ -314,6 +314,28 @@ def test_repeats_far_into_a_long_text(spark):
     assert repeats.remove_repeats(table(spark, [])).count() == 0
 
 
+def test_a_block_past_the_bound_of_one_sort(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", 1 << 40)  # all contexts in one block
+    rng = np.random.default_rng(8)
+    texts, want = [], []
+    for n in range(2600):
+        passage, *sides = (rng.integers(97, 123, k).astype("u1").tobytes().decode() for k in (500, 60, 60, 60, 60))
+        texts += [f"{sides[0]}A{passage}B{sides[1]}", f"{sides[2]}C{passage}D{sides[3]}"]
+        want += [[[61, 561]]] * 2
+    got = {r["doc_id"]: r["spans"] for r in repeats.remove_repeats(table(spark, texts)).select("doc_id", "spans").collect()}
+    assert sum(got[n] != want[n] for n in range(len(texts))) == 0
+
+
+def test_too_many_symbols_are_refused_and_groups_stay_whole():
+    with pytest.raises(ValueError):
+        repeats.equal_windows(np.zeros(1 << 21, np.uint16))
+    groups = [[(n, 0, 9, False)] * n for n in (1, 2, 3, 9, 1)]
+    assert [len(r) for r in repeats.runs(groups, 30)] == [3, 3, 9, 1]
+    # An anchor brings at most MOST contexts to a block, so the largest group fits.
+    assert repeats.MOST * (repeats.LENGTH - repeats.GRAM + 1 + repeats.LENGTH) < 1 << 21
+    assert repeats.MOST * (-(-(repeats.LENGTH - repeats.GRAM + 1) // repeats.RANGES) + repeats.LENGTH) < repeats.RUN_SYMBOLS
+
+
 # --- Jaccard -----------------------------------------------------------------------------
 
 def near_texts(prose):
