@@ -123,6 +123,36 @@ def test_licences(spark, prose):
     assert licenses.scan(table(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("text, names", [
+    ("Licensed under CC BY 4.0", ["CC-BY-4.0"]), ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0"]),
+    ("Licensed under CC BY-SA 3.0.", ["CC-BY-SA-3.0"]), ("Released under the BSD License", ["BSD"]),
+    ("Released under the BSD 3-Clause License", ["BSD-3-Clause-notice"]), ("Released under the ISC License", ["ISC"]),
+    ("Licensed under the Apache License, Version 1.1.", ["Apache-1.1"]), ("Licensed under the Apache License, v2.0", ["Apache-2.0"]),
+    ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0"]),
+    ("This work is licensed under the GNU General Public License, version 3.0.", ["GPL-3.0"]),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0"]),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", ["AGPL-3.0"]),
+    ("Licensed under the Mozilla Public License, Version 2.0.", ["MPL-2.0"]),
+    (licenses.TEMPLATES["BSD-2-Clause"], ["BSD-2-Clause"]),
+    ("GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 Copyright (C) 1991, 1999 Free Software Foundation, Inc.", ["LGPL-2.1-text"]),
+])
+def test_rival_licences_are_told_apart(text, names):
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
+    for around in ("", "some words before and after it "):
+        assert sorted({h[0] for h in scanner.find(f"{around}{text} {around}")}) == names
+
+
+def test_templates_find_themselves_and_repeated_lines_are_found_each():
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
+    for name, text in licenses.TEMPLATES.items():
+        assert name in {h[0] for h in scanner.find(text)}
+        for before in range(5):
+            hits = [h for h in scanner.find("x " * before + f"{text}\n" * 7) if h[0] == name]
+            assert sum(h[1] == 100 for h in hits) == 7, (name, before)
+    three = licenses.TEMPLATES["BSD-3-Clause-text"]
+    assert [h[0] for h in scanner.find(three)] == ["BSD-3-Clause-text"]
+
+
 def test_alignment_is_increasing_and_covers_equal_texts():
     rng = random.Random(1)
     for _ in range(200):
