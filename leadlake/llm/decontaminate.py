@@ -4,6 +4,9 @@ Texts and items are compared in normal form (lower case, runs of letters and dig
 
 * Windows: a text is looked at in windows of an item's own size. An item within ``d`` edits of a stretch of text shares
   one of any d + 1 disjoint parts of it exactly, so windows are laid where such a part occurs; that loses none.
+* Segments: the share of places at which embedded strings differ grows with their length, so longer items are looked up by
+  disjoint segments. One of them has no more than its share of the edits, so its windows are laid and it is found as a
+  short item is; what counts is the distance of the whole item.
 * Embedding: a window is read by a walk over random bits; at each step the current character is written and the walk
   moves on or stays by a bit drawn for (step, character). Texts within k edits get strings within about k^2 places.
 * Bit sampling: each of several tables takes a few places of the embedded string as key. A window that meets an item
@@ -35,6 +38,9 @@ from pyspark.sql import types as T
 EDIT_PERCENT = 8
 MIN_CHARS = 25
 BLOCK_BYTES = 8 << 20
+#: Longer items are looked up by segments of at most this size; windows that are embedded at once.
+SEGMENT_CHARS = 200
+WINDOWS = 4096
 WALKS = 8
 SAMPLED = 4
 #: Share of places of the embedded string that may differ at the largest allowed distance, and the wished recall there.
@@ -63,17 +69,23 @@ class Embedding:
         per_walk = -(-tables_needed() // WALKS)
         self.places = rng.random((WALKS, per_walk, SAMPLED))
 
-    def keys(self, texts: list[str], sizes: list[int]) -> list[list[tuple]]:
-        """The table keys of each text, read as a window of the given size."""
-        if not texts:
-            return []
-        width = max(sizes)
+    def keys(self, texts: list[str], sizes: list[int]) -> np.ndarray:
+        """A hash of each text's key in each table, read as a window of the given size: one row per text."""
+        out = np.empty((len(texts), self.places.shape[0] * self.places.shape[1]), np.uint64)
+        order = np.argsort(sizes, kind="stable")
+        for part in range(0, len(order), WINDOWS):
+            some = order[part:part + WINDOWS]
+            out[some] = self._keys([texts[i] for i in some], np.asarray([sizes[i] for i in some], np.int64))
+        return out
+
+    def _keys(self, texts: list[str], size: np.ndarray) -> np.ndarray:
+        width = int(size.max())
         codes = np.zeros((len(texts), width + 1), np.uint32)
-        for i, (t, n) in enumerate(zip(texts, sizes)):
+        for i, (t, n) in enumerate(zip(texts, size.tolist())):
             got = np.frombuffer(t[:n].encode("utf-32-le", "surrogatepass"), "<u4")
             codes[i, :len(got)] = got
-        rows, size = np.arange(len(texts)), np.asarray(sizes)
-        found: list[list[tuple]] = [[] for _ in texts]
+        rows = np.arange(len(texts))
+        found = []
         for walk in range(WALKS):
             at = np.zeros(len(texts), np.int64)
             wrote = np.zeros((len(texts), 2 * width), np.uint32)
@@ -82,12 +94,15 @@ class Embedding:
                 wrote[:, step] = char
                 at += self.bits[walk, step][char & 255]
             # A walk passes a character in two steps on average: places lie in the first two window lengths.
-            for table, share in enumerate(self.places[walk]):
+            for share in self.places[walk]:
                 spots = (share[None, :] * (2 * size)[:, None]).astype(np.int64)
                 taken = wrote[rows[:, None], spots]
-                for i, key in enumerate(taken.tolist()):
-                    found[i].append((walk, table, sizes[i], *key))
-        return found
+                key = (size * 65536 + len(found)).astype(np.uint64)
+                for column in taken.T:
+                    key = (key ^ column) * np.uint64(0x9E3779B97F4A7C15)
+                    key ^= key >> np.uint64(29)
+                found.append(key)
+        return np.stack(found, axis=1)
 
 
 def best_stretch(item: str, text: str) -> tuple[int, int]:
@@ -131,16 +146,22 @@ class Searcher:
                 self.whole[text].append(item)
             else:
                 self.long.append((item, text, len(text) * EDIT_PERCENT // 100))
-        self.tables: dict[tuple, set[int]] = defaultdict(set)
         self.seeds = None
         if not self.long:
             return
-        self.embedding = Embedding(max(len(t) for _, t, _ in self.long))
-        for n, keys in enumerate(self.embedding.keys([t for _, t, _ in self.long], [len(t) for _, t, _ in self.long])):
-            for key in keys:
-                self.tables[key].add(n)
+        self.segments = []  # (number of the item, offset in it, text)
+        for n, (_, text, _) in enumerate(self.long):
+            count = -(-len(text) // SEGMENT_CHARS)
+            cuts = [len(text) * k // count for k in range(count + 1)]
+            self.segments.extend((n, a, text[a:b]) for a, b in zip(cuts, cuts[1:]))
+        sizes = [len(t) for _, _, t in self.segments]
+        self.embedding = Embedding(max(sizes))
+        keys = self.embedding.keys([t for _, _, t in self.segments], sizes)
+        order = np.argsort(keys, axis=None)
+        self.keys, self.owners = keys.ravel()[order], order // keys.shape[1]
         parts: dict[str, set[tuple[int, int]]] = defaultdict(set)
-        for _, text, edits in self.long:
+        for _, _, text in self.segments:
+            edits = len(text) * EDIT_PERCENT // 100
             cuts = [len(text) * k // (edits + 1) for k in range(edits + 2)]
             for a, b in zip(cuts, cuts[1:]):
                 parts[text[a:b]].add((a, len(text)))
@@ -157,6 +178,16 @@ class Searcher:
                 found.add((max(0, end + 1 - length - offset), size))
         return found
 
+    def _met(self, texts: list[str], sizes: list[int]) -> list[tuple[int, int]]:
+        """(window, segment) that meet in any table."""
+        keys = self.embedding.keys(texts, sizes)
+        low, high = (np.searchsorted(self.keys, keys.ravel(), side) for side in ("left", "right"))
+        hit = np.flatnonzero(high > low)
+        count = high[hit] - low[hit]
+        at = np.repeat(low[hit] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        both = np.unique(np.repeat(hit // keys.shape[1], count) * len(self.segments) + self.owners[at])
+        return list(zip((both // len(self.segments)).tolist(), (both % len(self.segments)).tolist()))
+
     def find(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
         """Per text the (item_id, edits, start, end) it holds, one per item, in characters of the normal form."""
         plain = [normal(t) for t in texts]
@@ -164,26 +195,26 @@ class Searcher:
         if self.seeds is None:
             return out
         spots = [(n, start, size) for n, t in enumerate(plain) if t for start, size in self.windows(t)]
-        for part in range(0, len(spots), 4096):
-            some = spots[part:part + 4096]
-            keys = self.embedding.keys([plain[n][s:s + z] for n, s, z in some], [z for _, _, z in some])
-            pairs = defaultdict(list)
-            for (n, start, _), own in zip(some, keys):
-                for item in set().union(*(self.tables[k] for k in own if k in self.tables)):
-                    pairs[(n, item)].append(start)
-            for (n, item), starts in pairs.items():
-                item_id, text, edits = self.long[item]
-                tried = -1
-                for start in sorted(starts):
-                    low = max(0, start - edits)
-                    if low + edits < tried:
-                        continue  # the last stretch read covers this window
-                    stretch = plain[n][low:start + len(text) + 2 * edits]
-                    tried = start + edits
-                    got, end = best_stretch(text, stretch)
-                    if got <= edits:
-                        out[n].append((item_id, got, max(low, low + end - len(text)), low + end))
-                        break
+        pairs: dict[tuple[int, int], set[int]] = defaultdict(set)
+        for part in range(0, len(spots), WINDOWS):
+            some = spots[part:part + WINDOWS]
+            for window, segment in self._met([plain[n][s:s + z] for n, s, z in some], [z for _, _, z in some]):
+                n, start, _ = some[window]
+                item, offset, _ = self.segments[segment]
+                pairs[(n, item)].add(max(0, start - offset))
+        for (n, item), starts in pairs.items():
+            item_id, text, edits = self.long[item]
+            ordered = sorted(starts)
+            while ordered:
+                last = 1
+                while last < len(ordered) and ordered[last] - ordered[last - 1] <= edits:
+                    last += 1
+                low = max(0, ordered[0] - edits)
+                got, end = best_stretch(text, plain[n][low:ordered[last - 1] + len(text) + 2 * edits])
+                if got <= edits:
+                    out[n].append((item_id, got, max(low, low + end - len(text)), low + end))
+                    break
+                ordered = ordered[last:]
         return [sorted({h[0]: h for h in sorted(hits, key=lambda h: -h[1])}.values()) for hits in out]
 
 

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import types
 import zlib
 
@@ -272,6 +273,34 @@ def test_recall_of_sampled_tables(prose):
     assert hits >= 0.9 * len(items)
 
 
+@pytest.mark.parametrize("size, trials", [(60, 60), (200, 60), (390, 40), (1500, 20), (3000, 12)])
+def test_recall_at_the_largest_distance(prose, size, trials):
+    rng, words = prose
+    items = [decontaminate.normal(words(size // 3))[:size].strip() for _ in range(trials)]
+    searcher, hits, within = decontaminate.Searcher(list(enumerate(items))), 0, 0
+    for n, item in enumerate(items):
+        x, edits = list(item), len(item) * decontaminate.EDIT_PERCENT // 100
+        for p in rng.sample(range(1, len(x) - 1), edits):
+            x[p] = rng.choice(["q", x[p] + "q", ""])
+        text = f"{words(20)} {''.join(x)} {words(20)}"
+        near = decontaminate.best_stretch(item, decontaminate.normal(text))[0] <= edits  # blanks that meet become one
+        found = any(h[0] == n for h in searcher.find([text])[0])
+        assert near or not found
+        hits, within = hits + found, within + near
+    assert within >= 0.6 * trials and hits >= 0.99 * within
+
+
+def test_a_very_long_item_needs_no_wide_matrix(prose):
+    _, words = prose
+    items = [decontaminate.normal(words(k)) for k in [6000, *[30] * 400]]
+    tracemalloc.start()
+    searcher = decontaminate.Searcher(list(enumerate(items)))
+    found = searcher.find([f"{words(9)} {items[0]} {words(9)} {items[7]}"])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [h[:2] for h in found] == [(0, 0), (7, 0)] and peak < 100 << 20
+
+
 def test_each_block_is_searched_with_its_own_tables(spark, prose):
     _, words = prose
     items = [words(12) for _ in range(24)]
