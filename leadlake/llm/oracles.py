@@ -115,3 +115,52 @@ slots AS (SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR
           FROM documents)
 SELECT doc_id, CAST(slot AS BIGINT) AS slot, s[o[slot + 1] + 1] AS shard FROM slots, owners
 """
+
+
+def _field(name: str) -> str:
+    return f"coalesce(CAST(strlen({name}) AS VARCHAR) || ':' || {name}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join([*[_field(f"CAST({c} AS VARCHAR)") for c in ("doc_id", "source", "lang", "n_chars")], _field(text)]) + ")"
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: Division by the reversed polynomial, bit by bit.
+_CRC = """xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))))"""
+
+
+def _tree(name: str, base: str) -> str:
+    """Nodes of all levels, and of each its siblings before and behind it."""
+    run = "PARTITION BY grp, lvl, pos // 8 ORDER BY pos ROWS BETWEEN"
+    return f"""{name} AS (
+  SELECT grp, 0 AS lvl, pos, n, h FROM {base}
+  UNION ALL SELECT grp, lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM {name} WHERE n > 1
+  GROUP BY grp, lvl, pos // 8, n),
+{name}_sides AS (
+  SELECT grp, lvl, pos, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') || '#'
+      || coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS sides FROM {name} WHERE n > 1)"""
+
+
+#: The tree level by level by grouping, the path of a leaf by joining its runs.
+MERKLE = f"""
+WITH RECURSIVE made AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('+' || lang, '') AS grp, {_leaf('text')} AS leaf,
+         CASE WHEN {_CRC} % 3 = 0 THEN {_leaf(_LOWERED)} ELSE {_leaf('text')} END AS now FROM documents),
+leaves AS (
+  SELECT *, leaf AS h, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos,
+         count(*) OVER (PARTITION BY grp) AS n FROM made),
+{_tree('nodes', 'leaves')},
+subs AS (SELECT '' AS grp, grp AS name, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n, h FROM nodes WHERE n = 1),
+{_tree('tops', 'subs')},
+path AS (
+  SELECT l.rid, s.lvl, s.sides FROM leaves l JOIN nodes_sides s ON s.grp = l.grp AND s.pos = l.pos >> (3 * s.lvl)
+  UNION ALL SELECT l.rid, 1000 + s.lvl, s.sides FROM leaves l JOIN subs u ON u.name = l.grp JOIN tops_sides s ON s.pos = u.pos >> (3 * s.lvl)),
+paths AS (SELECT rid, list(sides ORDER BY lvl) AS sides FROM path GROUP BY rid),
+folded AS (
+  SELECT l.*, u.h AS subroot, (SELECT h FROM tops WHERE n = 1) AS root, sha256(replace(array_to_string(coalesce(sides, []), ''), '#', '')) AS proof_sha256,
+         list_reduce([now] || coalesce(sides, []), lambda x, s: sha256(split_part(s, '#', 1) || x || split_part(s, '#', 2))) AS folded_root
+  FROM leaves l JOIN subs u ON u.name = l.grp LEFT JOIN paths p ON p.rid = l.rid)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
+"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from leadlake.llm import chat, decontaminate, jaccard, licenses, oracles, packing, quality, repeats, secrets, sharding, tokens
+from leadlake.llm import chat, decontaminate, jaccard, licenses, merkle, oracles, packing, quality, repeats, secrets, sharding, tokens
 from leadlake.session import literal_rows
 
 SHARDS = [f"shard-{n:02d}" for n in range(64)]
@@ -88,6 +89,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op12_merkle_dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and witness of every document, and whether the document as it is now still leads to the root."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf_digest(
+        [*[F.col(c) for c in columns[:-1]], F.translate("text", string.ascii_uppercase, string.ascii_lowercase)]))
+    checked = merkle.verify(merkle.leaves(docs, columns, "lang", "doc_id", tampered))
+    return checked.select(
+        F.col("key").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", "root", F.col("proof").alias("proof_sha256"),
+        F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -108,6 +121,7 @@ def queries() -> dict[str, Query]:
         "op8_suffix_array_dedup": op8_suffix_array_dedup,
         "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_packing": op10_packing,
+        "op12_merkle_dataset_manifest": op12_merkle_dataset_manifest,
     }
 
 
@@ -117,4 +131,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_secret_scans": oracles.SECRETS,
         "op5_chat_formatting": oracles.CHAT,
         "op7_sharding": oracles.sharding(SHARDS),
+        "op12_merkle_dataset_manifest": oracles.MERKLE,
     }
