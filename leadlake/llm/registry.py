@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from leadlake.llm import chat, decontaminate, jaccard, licenses, merkle, oracles, packing, quality, repeats, secrets, sharding, tokens
+from leadlake.llm import chat, decontaminate, jaccard, licenses, merkle, oracles, packing, quality, repeats, secrets, sharding, tokens, whitening
 from leadlake.session import literal_rows
 
 SHARDS = [f"shard-{n:02d}" for n in range(64)]
@@ -101,6 +101,15 @@ def op12_merkle_dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable embedding on the eight leading components. ``deviation`` is NULL only where no long can hold it;
+    ``deviation_exact`` always holds it."""
+    done = whitening.whiten(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 8)
+    return done.select(
+        F.col("id").alias("vec_id"), "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened",
+        "explained", "identity_error", F.col("deviation").alias("deviation_exact"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -122,6 +131,7 @@ def queries() -> dict[str, Query]:
         "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_packing": op10_packing,
         "op12_merkle_dataset_manifest": op12_merkle_dataset_manifest,
+        "op13_embedding_whitening": op13_embedding_whitening,
     }
 
 
