@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from leadlake.llm import chat, decontaminate, jaccard, licenses, merkle, oracles, packing, quality, repeats, secrets, sharding, tokens, whitening
+from leadlake.llm import chat, decontaminate, jaccard, licenses, merkle, oracles, packing, quality, repeats, secrets, sharding, tokens, toxicity, whitening
 from leadlake.session import literal_rows
 
 SHARDS = [f"shard-{n:02d}" for n in range(64)]
@@ -89,6 +89,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of those that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic")))
+    return scored.select(F.col("id").alias("doc_id"), "held_out", "score", "predicted")
+
+
 def op12_merkle_dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and witness of every document, and whether the document as it is now still leads to the root."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
@@ -130,6 +137,7 @@ def queries() -> dict[str, Query]:
         "op8_suffix_array_dedup": op8_suffix_array_dedup,
         "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_packing": op10_packing,
+        "op11_toxicity": op11_toxicity,
         "op12_merkle_dataset_manifest": op12_merkle_dataset_manifest,
         "op13_embedding_whitening": op13_embedding_whitening,
     }
