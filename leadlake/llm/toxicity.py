@@ -36,7 +36,9 @@ POSITIVES, UNLABELLED = 3_000, 9_000
 BAGS = 3
 LIFT, LEAST = 4.0, 3
 GRAMS = (5,)
-EPOCHS, RATE, MOMENTUM, SHRINK = 400, 0.5, 0.9, 2e-4
+EPOCHS, RATE, MOMENTUM = 400, 0.5, 0.9
+#: A weight leaves zero only where more texts of P than this pull at it, which chance does not reach.
+SHRINK = 3.0
 THRESHOLD = 0.3
 
 #: Words kept in mind by a task; longer ones than this are never kept.
@@ -124,7 +126,7 @@ def train_one(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: f
     # Plain steps, not normalised ones: a feature moves as far as the texts that hold it agree, so rare ones stay small,
     # and the shrinking takes them back to zero.
     w, b = np.zeros(size), float(np.log(prior / (1.0 - prior)))
-    speed = np.zeros(size + 1)
+    speed, shrink = np.zeros(size + 1), SHRINK * prior / n_p
     for _ in range(EPOCHS):
         g_p, g_u = margins(w, b, cols_p, rows_p, n_p), margins(w, b, cols_u, rows_u, n_u)
         s_p, s_u = sigmoid(g_p), sigmoid(g_u)
@@ -138,7 +140,7 @@ def train_one(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: f
         pull = np.bincount(cols_p, weights=d_p[rows_p], minlength=size) + np.bincount(cols_u, weights=d_u[rows_u], minlength=size)
         speed = MOMENTUM * speed - RATE * np.append(pull, d_p.sum() + d_u.sum())
         w, b = w + speed[:-1], b + speed[-1]
-        w = np.sign(w) * np.maximum(np.abs(w) - RATE * SHRINK, 0.0)
+        w = np.sign(w) * np.maximum(np.abs(w) - RATE * shrink, 0.0)
     names, w = names[w != 0], w[w != 0]
     return Linear(names, w, float(b))
 
