@@ -9,15 +9,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlake.config import Features, Split
 from leadlake.functions.hashing import hash_fraction
 from leadlake.functions.numeric import clip
+from leadlake.operators.neighbours import nearest_neighbours
 from leadlake.operators.profile import missing_counts
-from leadlake.operators.ranks import hash_ranks, quantile_values, row_ranks
-from leadlake.session import rank_buckets
+from leadlake.operators.ranks import hash_ranks, quantile_values
 
 
 def winsorise(df: DataFrame, columns: Sequence[str], low: float = 0.01, high: float = 0.99) -> DataFrame:
@@ -118,9 +118,20 @@ def assign_split_exact(df: DataFrame, key: str, label: str, ratios: Split = Spli
     return ranked.withColumn("split", name).drop("hash_rank", "group_n")
 
 
+def class_counts(df: DataFrame, label: str, max_classes: int = 1000) -> dict:
+    """Rows of each class. Rows without a label, or more classes than a label can have, are refused."""
+    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"{label} has over {max_classes} values: it is no class label")
+    counts = {r[label]: r["n"] for r in rows}
+    if None in counts:
+        raise ValueError(f"{counts[None]} rows have no {label}")
+    return counts
+
+
 def class_weights(df: DataFrame, label: str) -> dict[int, float]:
     """n / (classes * n_class) for each class."""
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = class_counts(df, label)
     total = sum(counts.values())
     return {k: total / (len(counts) * n) for k, n in counts.items()}
 
@@ -141,90 +152,66 @@ def null_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # --- Oversampling -------------------------------------------------------------
 
-def _projection(dims: int, seed: int, number: int) -> Column:
-    """A fixed pseudo-random direction applied to the ``x`` array."""
-    import random
-
-    source = random.Random(seed * 1000 + number)
-    weights = F.array(*[F.lit(source.gauss(0.0, 1.0)) for _ in range(dims)])
-    products = F.zip_with(F.col("x"), weights, lambda a, b: a * b)
-    return F.aggregate(products, F.lit(0.0), lambda s, v: s + v)
+_PIECE = 1000
 
 
-def nearest_neighbours(
-    points: DataFrame, dims: int, k: int = 5, directions: int = 4, reach: int = 8, seed: int = 42,
-    block_rows: int = 100_000,
-) -> DataFrame:
-    """(id, x, neighbours): up to ``k`` near points of each point of (id, x array), as {d, id, x} structs.
-
-    Points are put in order along a few random directions; the ``reach`` points on either side are the
-    candidates. The order is cut into blocks of equal row counts, whatever the values, and each block also
-    gets the rows just outside its ends. Dense spots and copies of one point so cost no more than others,
-    and every point has candidates.
-    """
-    if reach < k:
-        raise ValueError("reach must be at least k")
-    near = None
-    pieces = F.lit(rank_buckets(points.sparkSession))
-    for d in range(directions):
-        projected = points.withColumns({"_p": _projection(dims, seed, d), "_h": F.pmod(F.xxhash64("id"), F.lit(1 << 30))})
-        piece = F.floor(F.col("_h") * pieces / F.lit(1 << 30)).cast("int")
-        ranked = row_ranks(projected, "_p", ["_h", "id"], piece, "_rank")
-        own = F.floor((F.col("_rank") - 1) / F.lit(block_rows))
-        place = F.pmod(F.col("_rank") - 1, F.lit(block_rows))
-        copies = F.array_compact(F.array(
-            own, F.when(place < reach, own - 1), F.when(place >= block_rows - reach, own + 1)))
-        blocks = ranked.select("id", "x", "_rank", own.alias("_own"), F.explode(copies).alias("_block"))
-        line = Window.partitionBy("_block").orderBy("_rank").rowsBetween(-reach, reach)
-        gap = F.aggregate(
-            F.zip_with(F.col("x"), F.col("c.x"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v
-        )
-        found = (
-            blocks.withColumn("_near", F.collect_list(F.struct("id", "x")).over(line))
-            .filter(F.col("_block") == F.col("_own"))
-            .select("id", "x", F.explode("_near").alias("c"))
-            .filter(F.col("c.id") != F.col("id"))
-            .select("id", "x", F.struct(gap.alias("d"), F.col("c.id").alias("id"), F.col("c.x").alias("x")).alias("c"))
-        )
-        near = found if near is None else near.unionByName(found)
-    # At most directions * 2 * reach candidates per id, so the list is bounded.
-    best = near.groupBy("id").agg(F.first("x").alias("x"), F.collect_set("c").alias("_all"))
-    return best.select("id", "x", F.slice(F.sort_array("_all"), 1, k).alias("neighbours"))
+def _numbered(df: DataFrame, count: Column, most: int, by: str, name: str = "j") -> DataFrame:
+    """``count`` copies of each row (``most`` at most), numbered from 1. Numbers are dealt out in steps of a thousand, and
+    dealt to other tasks in between, so that neither an array nor a task is as large as the share of one row."""
+    steps, size = 1, _PIECE
+    while size < most:
+        steps, size = steps + 1, size * _PIECE
+    out = df.withColumns({"_from": F.lit(1).cast("long"), "_to": count.cast("long")}).filter(F.col("_to") > 0)
+    for step in range(steps - 1, -1, -1):
+        width = F.lit(_PIECE ** step)
+        out = out.withColumn("_at", F.explode(F.sequence(F.col("_from"), F.col("_to"), width)))
+        out = out.withColumns({"_from": F.col("_at"), "_to": F.least(F.col("_at") + width - 1, F.col("_to"))})
+        if step:
+            out = out.repartition(by, "_at")
+    return out.withColumnRenamed("_from", name).drop("_to", "_at")
 
 
 def smote(df: DataFrame, columns: Sequence[str], label: str, key: str, k: int = 5, seed: int = 42) -> DataFrame:
-    """Input rows plus synthetic minority rows until both classes are equal in size.
+    """Input rows plus synthetic rows until every class is as large as the largest.
 
-    Each synthetic row lies between a minority row and one of its near minority rows. How many a row
-    yields follows from its hash rank, so the total is exact; which neighbour and how far along follow
-    from hashes, so a re-run gives the same rows. Adds ``is_synthetic``.
+    Each synthetic row lies between a row and one of its ``k`` nearest rows of the same class (exact, ties by a hash of the
+    key). How many a row yields follows from its hash rank, so the totals are exact; which neighbour and how far along
+    follow from hashes, so a re-run gives the same rows. Adds ``is_synthetic``. Rows with a missing coordinate are kept but
+    yield nothing; a class with fewer than two complete rows stays as it is; rows without a label are refused.
     """
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    minority = min(counts, key=lambda c: (counts[c], c))
-    wanted = max(counts.values()) - counts[minority]
+    counts = class_counts(df, label)
     originals = df.select(key, label, *[F.col(c).cast("double").alias(c) for c in columns], F.lit(0).alias("is_synthetic"))
-    if wanted == 0 or counts[minority] < 2:
+    if not counts:
         return originals
-    small = originals.filter(F.col(label) == minority).withColumn("_one", F.lit(1))
-    ranks = hash_ranks(small.select(key, "_one"), key, ["_one"], seed).select(F.col(key).alias("id"), "hash_rank")
-    points = small.select(F.col(key).alias("id"), F.array(*columns).alias("x"))
-    near = nearest_neighbours(points, len(columns), k, seed=seed)
-    each, rest = divmod(wanted, counts[minority])
+    complete = originals
+    for c in columns:
+        complete = complete.filter(F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
+    usable = class_counts(complete, label)
+    out, largest = originals, max(counts.values())
+    for value in sorted(counts, key=str):
+        wanted, n = largest - counts[value], usable.get(value, 0)
+        if wanted > 0 and n > 1:
+            out = out.unionByName(_synthetic(complete.filter(F.col(label) == F.lit(value)), columns, label, key, k, seed, wanted, n))
+    return out
+
+
+def _synthetic(rows: DataFrame, columns: Sequence[str], label: str, key: str, k: int, seed: int, wanted: int, n: int) -> DataFrame:
+    """``wanted`` new rows of one class of ``n`` rows."""
+    ranks = hash_ranks(rows.select(key, label), key, [label], seed).select(F.col(key).alias("id"), "hash_rank", F.col(label).alias("_label"))
+    near = nearest_neighbours(rows.select(F.col(key).alias("id"), F.array(*columns).alias("x")), k)
+    each, rest = divmod(wanted, n)
     share = F.lit(each) + (F.col("hash_rank") <= rest).cast("int")
 
     def unit(salt: int) -> Column:
         return F.pmod(F.xxhash64("id", "j", F.lit(seed + salt)), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
     drawn = (
-        near.join(ranks, "id").withColumn("_share", share).filter(F.col("_share") > 0)
-        .withColumn("j", F.explode(F.sequence(F.lit(1), F.col("_share"))))
+        _numbered(near.join(ranks, "id"), share, each + 1, "id")
         .withColumn("_pick", (F.floor(unit(1) * F.size("neighbours")) + 1).cast("int"))
         .withColumn("_to", F.element_at("neighbours", F.col("_pick"))["x"])
         .withColumn("_t", unit(2))
         .withColumn("_new", F.zip_with("x", "_to", lambda a, b: a + (b - a) * F.col("_t")))
     )
-    made = drawn.select(
-        F.col("id").alias(key), F.lit(minority).alias(label),
-        *[F.col("_new")[i].alias(c) for i, c in enumerate(columns)], F.lit(1).alias("is_synthetic"),
-    )
-    return originals.unionByName(made)
+    return drawn.select(
+        F.col("id").alias(key), F.col("_label").alias(label),
+        *[F.col("_new")[i].alias(c) for i, c in enumerate(columns)], F.lit(1).alias("is_synthetic"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from leadlake.config import Features
 from leadlake.functions.text import clean_strings
 from leadlake.operators import prep
+from leadlake.operators.neighbours import nearest_neighbours
 from leadlake.plans import fixtures as fx
 from leadlake.plans.catalogue import query, tidy
 from leadlake.plans.q_profile import labelled
@@ -144,9 +145,51 @@ def prep_null_check(spark, sf):
     return prep.null_check(fx.leads_raw(spark, sf), ("duration", "age", "balance", "y"))
 
 
-@query("prep_smote")
+_PLACES = ("age", "balance / 1000", "duration / 100", "campaign")
+
+
+def _minority(spark, sf):
+    """(id, x) of the complete rows of the smaller class."""
+    rows = labelled(spark, sf).filter("label = 1 AND duration IS NOT NULL AND balance IS NOT NULL AND age IS NOT NULL AND campaign IS NOT NULL")
+    return rows.select(F.col("src_key").alias("id"), F.array(*[F.expr(f"CAST({p.split(' ')[0]} AS DOUBLE){p[len(p.split(' ')[0]):]}") for p in _PLACES]).alias("x"))
+
+
+@query("prep_neighbours", f"""
+WITH p AS (SELECT src_key, {', '.join(f"CAST({p.split(' ')[0]} AS DOUBLE){p[len(p.split(' ')[0]):]} AS x{i}" for i, p in enumerate(_PLACES))}
+           FROM leads_raw WHERE y = 'yes' AND duration IS NOT NULL AND balance IS NOT NULL AND age IS NOT NULL AND campaign IS NOT NULL),
+d AS (SELECT a.src_key, {' + '.join(f'(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})' for i in range(len(_PLACES)))} AS d
+      FROM p a JOIN p b ON a.src_key <> b.src_key)
+SELECT src_key, CAST(row_number() OVER (PARTITION BY src_key ORDER BY d) AS INTEGER) AS place, round(d, 6) AS gap FROM d
+QUALIFY row_number() OVER (PARTITION BY src_key ORDER BY d) <= 5""", ("leads_raw",))
+def prep_neighbours(spark, sf):
+    """Distances of the five nearest rows of the own class; the oracle compares all pairs."""
+    near = nearest_neighbours(_minority(spark, sf), 5)
+    listed = near.select(F.col("id").alias("src_key"), F.posexplode("neighbours").alias("at", "n"))
+    return tidy(listed.select("src_key", (F.col("at") + 1).alias("place"), F.col("n.d").alias("gap")))
+
+
+_COORDINATES = ("age", "balance", "duration", "campaign")
+
+
+@query("prep_smote", """
+WITH c AS (SELECT *, CASE WHEN y = 'yes' THEN 1 ELSE 0 END AS label FROM leads_raw),
+n AS (SELECT count(*) FILTER (label = 0) - count(*) FILTER (label = 1) AS wanted,
+             count(*) FILTER (label = 1 AND duration IS NOT NULL AND balance IS NOT NULL AND age IS NOT NULL) AS usable FROM c),
+r AS (SELECT src_key, row_number() OVER (ORDER BY md5(concat(src_key, '#42')), src_key) AS r FROM c
+      WHERE label = 1 AND duration IS NOT NULL AND balance IS NOT NULL AND age IS NOT NULL)
+SELECT src_key, label, 0 AS is_synthetic, CAST(1 AS BIGINT) AS n, TRUE AS near FROM c
+UNION ALL SELECT src_key, 1, 1, CAST(wanted // usable + (r <= wanted % usable)::INT AS BIGINT), TRUE FROM r, n
+          WHERE wanted // usable + (r <= wanted % usable)::INT > 0""", ("leads_raw",))
 def prep_smote(spark, sf):
-    df = labelled(spark, sf).filter("duration IS NOT NULL")
-    columns = ("age", "balance", "duration", "campaign")
-    scaled = prep.Scaler.fit(df, columns).transform(df)
-    return prep.smote(scaled, columns, "label", "src_key")
+    """Rows per lead, given and made, and whether those made lie within reach of its five nearest (as they must)."""
+    df = labelled(spark, sf)
+    scaled = prep.Scaler.fit(df, _COORDINATES).transform(df).select("src_key", "label", *_COORDINATES)
+    out = prep.smote(scaled, _COORDINATES, "label", "src_key")
+    complete = scaled.filter("label = 1").dropna(subset=list(_COORDINATES))
+    near = nearest_neighbours(complete.select(F.col("src_key").alias("id"), F.array(*_COORDINATES).alias("x")), 5)
+    reach = near.select(F.col("id").alias("src_key"), "x", F.element_at("neighbours", -1)["d"].alias("reach"))
+    gap = F.aggregate(F.zip_with("x", F.array(*_COORDINATES), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+    made = out.filter("is_synthetic = 1").join(reach, "src_key").groupBy("src_key", "label", "is_synthetic").agg(
+        F.count(F.lit(1)).alias("n"), F.max(gap).alias("far"), F.first("reach").alias("reach"))
+    given = out.filter("is_synthetic = 0").select("src_key", "label", "is_synthetic", F.lit(1).cast("long").alias("n"), F.lit(True).alias("near"))
+    return given.unionByName(made.select("src_key", "label", "is_synthetic", "n", (F.col("far") <= F.col("reach") + 1e-9).alias("near")))

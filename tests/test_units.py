@@ -351,7 +351,7 @@ def test_smote_balances_and_stays_on_segments(spark):
 def test_neighbours_survive_many_copies_of_one_point(spark):
     df = spark.range(3000).select(F.col("id"), F.array(
         F.when(F.col("id") < 2000, 1.0).otherwise(F.col("id").cast("double")), F.lit(0.0)).alias("x"))
-    near = prep.nearest_neighbours(df, 2, k=3, block_rows=200)
+    near = prep.nearest_neighbours(df, k=3, cell_rows=200)
     assert near.count() == 3000
     assert near.filter(F.size("neighbours") != 3).count() == 0
 
