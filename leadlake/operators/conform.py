@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from leadlake import config as cfg
 from leadlake.functions.hashing import record_hash, surrogate_id
 from leadlake.functions.text import clean_strings
+from leadlake.operators import skew
 
 AUDIT_ORDER = ("_ingested_at", "_record_hash")
 
@@ -45,9 +46,11 @@ def _pick(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Seq
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*")
 
 
-def build_dim_customer(bronze: DataFrame, order: Sequence[str] = AUDIT_ORDER) -> DataFrame:
-    """Latest state of each customer, typed to the contract."""
-    picked = _pick(clean_strings(bronze), ["customer_id"], cfg.CUSTOMER_COLUMNS, order, latest=True)
+def build_dim_customer(
+    bronze: DataFrame, order: Sequence[str] = AUDIT_ORDER, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Latest state of each customer, typed to the contract. ``carry`` names further columns to keep."""
+    picked = _pick(clean_strings(bronze), ["customer_id"], [*cfg.CUSTOMER_COLUMNS, *carry], order, latest=True)
     return picked.withColumns({"age": F.col("age").cast("int"), "balance": F.col("balance").cast("double")})
 
 
@@ -70,11 +73,26 @@ def build_fact_interaction(
     return picked.withColumn("interaction_id", number)
 
 
-def join_dim_fact(dim: DataFrame, fact: DataFrame) -> DataFrame:
+def merge_dim_customer(state: DataFrame, news: DataFrame, order: Sequence[str] = AUDIT_ORDER) -> DataFrame:
+    """The dimension of two disjoint sets of deliveries from the dimension of each; both carry ``order``."""
+    both = state.select(*news.columns).unionByName(news)
+    return _pick(both, ["customer_id"], news.columns, order, latest=True).select(*news.columns)
+
+
+def merge_fact_interaction(state: DataFrame, news: DataFrame, order: Sequence[str] = AUDIT_ORDER) -> DataFrame:
+    """The fact of two disjoint sets of deliveries from the fact of each; both carry ``order``."""
+    both = state.select(*news.columns).unionByName(news)
+    return _pick(both, cfg.INTERACTION_KEY, news.columns, order, latest=False).select(*news.columns)
+
+
+def join_dim_fact(dim: DataFrame, fact: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """Each interaction with its customer. No hint: the dimension grows with the data, so the size decides between
-    broadcast and sort-merge at run time. A hot customer is split by the skew join where both sides come from written
-    tables (as in the Gold run); behind an aggregate on the same key the join keeps that aggregate's partitions."""
-    return fact.join(dim, "customer_id", "inner")
+    broadcast and sort-merge at run time. A hot customer is split by the adaptive skew join where both sides come from written
+    tables (as in the Gold run); where they come from aggregates, ``counted`` (rows to count customers in) lets the join cut
+    hot customers into pieces itself."""
+    if counted is None:
+        return fact.join(dim, "customer_id", "inner")
+    return skew.join(fact, dim, "customer_id", cfg.INTERACTION_KEY[1:], counted=counted)
 
 
 def lookup_features(ids: DataFrame, features_latest: DataFrame) -> DataFrame:
@@ -96,7 +114,8 @@ def latest_feedback(feedback: DataFrame) -> DataFrame:
     ).select("customer_id", F.when(F.col("outcome") == "agreed", "yes").otherwise("no").alias("feedback_label"))
 
 
-def merge_feedback_labels(fact: DataFrame, feedback: DataFrame) -> DataFrame:
-    """Fact with the label replaced by the customer's latest call outcome where there is one."""
-    joined = fact.join(latest_feedback(feedback), "customer_id", "left")
+def merge_feedback_labels(fact: DataFrame, feedback: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """Fact with the label replaced by the customer's latest call outcome where there is one. The outcomes come from an
+    aggregate on the customer, so hot customers of the fact (or of ``counted``) are cut into pieces."""
+    joined = skew.join(fact, latest_feedback(feedback), "customer_id", cfg.INTERACTION_KEY[1:], "left", counted)
     return joined.withColumn("label", F.coalesce("feedback_label", "y"))
