@@ -92,17 +92,22 @@ def cast_contract(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast(k) for c, k in kinds.items() if c in df.columns})
 
 
-def ingest_frame(df: DataFrame, layers: Layers, batch_id: str, settings: Settings = DEFAULT,
-                 source: str | Column = "frame") -> dict:
-    """Check one raw batch and add it to Bronze. Writing a batch id again replaces that batch."""
+def checked_batch(df: DataFrame, batch_id: str, settings: Settings = DEFAULT, source: str | Column = "frame") -> DataFrame:
+    """A raw batch with its side, reasons, contract types and audit columns. The ratio gate may refuse it."""
     named = normalise_names(df)
     contracts.require_columns(named)
     rules = contracts.bronze_rules(settings.contracts)
     if settings.contracts.enforce_ratio:
         gate = contracts.quarantine_ratio(named, rules, settings.contracts).first()
         contracts.enforce_ratio(gate.total_rows, gate.quarantined_rows, settings.contracts)
-    checked = _sided(contracts.check(named, rules))
-    audited = conform.add_audit(cast_contract(checked), batch_id, source)
+    return conform.add_audit(cast_contract(_sided(contracts.check(named, rules))), batch_id, source)
+
+
+def ingest_frame(df: DataFrame, layers: Layers, batch_id: str, settings: Settings = DEFAULT,
+                 source: str | Column = "frame") -> dict:
+    """Check one raw batch and add it to Bronze. Writing a batch id again replaces that batch."""
+    named, rules = normalise_names(df), contracts.bronze_rules(settings.contracts)
+    audited = checked_batch(df, batch_id, settings, source)
     written = audited if settings.contracts.write_quarantine else audited.filter(F.col(SIDE) == VALID)
     folder = batch_folder(layers.bronze, batch_id)
     # One folder per batch, its sides below it: a batch that comes again replaces both sides, whatever it brings now.

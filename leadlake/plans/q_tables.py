@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from leadlake.operators import conform, contracts, marts, profile, score
 from leadlake.plans import fixtures as fx
-from leadlake.plans import lakehouse
+from leadlake.plans import incremental, lakehouse
 from leadlake.plans.catalogue import query, tidy
 from leadlake.session import shared_dir
 
@@ -25,8 +25,13 @@ def fact(spark, sf):
     return conform.build_fact_interaction(bronze(spark, sf), ORDER, carry=ORDER)
 
 
+def counted(spark, sf):
+    """Where customers are counted before a join: the raw leads, which cost no aggregate."""
+    return fx.leads_dup(spark, sf).select("customer_id")
+
+
 def features(spark, sf):
-    return marts.feature_table(dim(spark, sf), fact(spark, sf), ("interaction_id", *ORDER))
+    return marts.feature_table(dim(spark, sf), fact(spark, sf), ("interaction_id", *ORDER), counted(spark, sf))
 
 
 _DIM = "customer_id, age, job, marital, education, in_default, round(balance, 6) AS balance, housing, loan"
@@ -52,7 +57,7 @@ def slv_fact_interaction(spark, sf):
 SELECT f.interaction_id, f.customer_id, f.month, f.y, d.job, d.age, round(d.balance, 6) AS balance
 FROM fact f JOIN dim d ON d.customer_id = f.customer_id""", ("dim", "fact"))
 def jn_dim_fact(spark, sf):
-    joined = conform.join_dim_fact(dim(spark, sf), fact(spark, sf))
+    joined = conform.join_dim_fact(dim(spark, sf), fact(spark, sf), counted(spark, sf))
     return tidy(joined.select("interaction_id", "customer_id", "month", "y", "job", "age", "balance"))
 
 
@@ -81,7 +86,7 @@ FROM fact f LEFT JOIN (
   SELECT customer_id, outcome, row_number() OVER (PARTITION BY customer_id ORDER BY recorded_at DESC, feedback_id DESC) AS rn
   FROM call_feedback) l ON l.customer_id = f.customer_id AND l.rn = 1""", ("fact", "call_feedback"))
 def jn_feedback_label(spark, sf):
-    merged = conform.merge_feedback_labels(fact(spark, sf), fx.call_feedback(spark, sf))
+    merged = conform.merge_feedback_labels(fact(spark, sf), fx.call_feedback(spark, sf), counted(spark, sf))
     return merged.select("interaction_id", "customer_id", "y", "label")
 
 
@@ -180,6 +185,51 @@ def pipe_silver(spark, sf):
                               F.col("duration").alias("amount"))))
 
 
+def _days(spark, sf):
+    """All deliveries as two batches."""
+    leads = fx.leads_dup(spark, sf)
+    late = F.year("event_ts") >= 1996
+    return (("day-1", leads.filter(~late)), ("day-2", leads.filter(late)))
+
+
+_LAKES = {}
+
+
+def daily_lake(spark, sf):
+    """A lake built by one run a batch, made once per session and input folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LAKES:
+        lake = incremental.Lake(shared_dir(spark, "daily-lake"), buckets=16, order=ORDER)
+        for name, batch in _days(spark, sf):
+            incremental.run_batch(batch, lake, name)
+        _LAKES[key] = lake
+    return _LAKES[key]
+
+
+@query("pipe_incremental", f"""
+SELECT 'dim' AS side, customer_id AS id, job AS text, round(balance, 6) AS amount FROM dim
+UNION ALL SELECT 'fact', interaction_id, y, round(duration, 6) FROM fact
+UNION ALL SELECT 'feature', interaction_id, balance_tier, round(campaign_pressure_ratio, 6) FROM features""", ("features",))
+def pipe_incremental(spark, sf):
+    lake = daily_lake(spark, sf)
+    parts = [incremental.table(spark, lake, name).select(
+        F.lit(side).alias("side"), F.col(key).alias("id"), F.col(text).alias("text"), F.col(amount).alias("amount"))
+        for side, name, key, text, amount in (
+            ("dim", incremental.DIM, "customer_id", "job", "balance"), ("fact", incremental.FACT, "interaction_id", "y", "duration"),
+            ("feature", incremental.FEATURES, "interaction_id", "balance_tier", "campaign_pressure_ratio"))]
+    return tidy(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+@query("pipe_incremental_campaigns", _CAMPAIGN, ("fact",))
+def pipe_incremental_campaigns(spark, sf):
+    return incremental.table(spark, daily_lake(spark, sf), incremental.CAMPAIGN_MART)
+
+
+@query("pipe_incremental_segments", _SEGMENT, ("dim", "fact"))
+def pipe_incremental_segments(spark, sf):
+    return incremental.table(spark, daily_lake(spark, sf), incremental.SEGMENT_MART)
+
+
 @query("pipe_lakehouse", f"""
 SELECT 'bronze' AS step, count(*) AS n FROM bronze
 UNION ALL SELECT 'quarantine', (SELECT count(*) FROM leads_dup) - (SELECT count(*) FROM bronze)
