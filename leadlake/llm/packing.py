@@ -38,7 +38,11 @@ TEXTS = 256
 #: How many lengths a combination has at most, and how many combinations the fit sees.
 DEPTH = 4
 MAX_COMBINATIONS = 6000
+#: Longer runs and stems are tokenized where they occur and not remembered.
+LONG = 64
 _RUN = re.compile(r"[^ \t-\r]+")
+#: What ``str.split`` takes for white space beyond the six that end a run.
+_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Punctuation that is always a token of its own after a letter, and never part of a contraction or a special token.
 _END = ".,!?;:*&$%#\"()"
 _LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -69,7 +73,7 @@ class WordIds:
         return [np.asarray(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, stems: list[str]) -> None:
-        words = [s for s in stems if s.isalpha() and max(s) < "\u0100"]
+        words = [s for s in stems if s.isalpha() and (s.isascii() or max(s) < "\u0100")]
         for i in range(0, len(words), 512):
             part = words[i:i + 512]
             ids = self._encode([" ".join(part)])[0]
@@ -88,17 +92,35 @@ class WordIds:
 
     def of(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, four bytes each."""
-        found = [_RUN.findall(t) for t in texts]
+        found = [_runs(t) for t in texts]
         if len(self.runs) > MAX_RUNS:
             self.runs.clear()
         if len(self.stems) > MAX_STEMS:
             self.stems.clear()
-        new = {w: _split(w) for run in found for w in run if w not in self.runs}
+        # One look-up per run: what it does not find is learned, and only texts with such runs are put together again.
+        known = self.runs.get
+        looked = [list(map(known, run)) for run in found]
+        open_ = [n for n, ids in enumerate(looked) if None in ids]
+        new = {w: _split(w) for w in {w for n in open_ for w, ids in zip(found[n], looked[n]) if ids is None}}
         self._learn(list({s for pair in new.values() for s in pair if s not in self.stems}))
         stems = self.stems
-        self.runs.update((w, stems[a] + stems[b]) for w, (a, b) in new.items())
-        get = self.runs.__getitem__
-        return [b"".join(map(get, run)) for run in found]
+        learned = {w: stems[a] + stems[b] for w, (a, b) in new.items()}
+        self.runs.update(learned)
+        for n in open_:
+            looked[n] = [learned[w] if ids is None else ids for w, ids in zip(found[n], looked[n])]
+        out = [b"".join(ids) for ids in looked]
+        for run, parts in new.items():
+            if len(run) > LONG:
+                del self.runs[run]
+                for stem in parts:
+                    if len(stem) > LONG:
+                        stems.pop(stem, None)
+        return out
+
+
+def _runs(text: str) -> list[str]:
+    """Runs without ASCII white space; ``split`` finds them much faster where it means the same."""
+    return _RUN.findall(text) if _OTHER_SPACE.search(text) else text.split()
 
 
 def _split(run: str) -> tuple[str, str]:
@@ -108,7 +130,9 @@ def _split(run: str) -> tuple[str, str]:
         end = run[len(stem):]
     else:
         stem, end = run, ""
-    return (stem.translate(_LOWER) if stem.isalpha() else stem), end
+    if stem.isalpha():
+        stem = stem.lower() if stem.isascii() else stem.translate(_LOWER)
+    return stem, end
 
 
 @lru_cache(maxsize=2)
