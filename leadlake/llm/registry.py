@@ -73,9 +73,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of every document without its long repeats."""
+    """What is left of every document without its long repeats, and the text left (a cut character shows as U+FFFD)."""
     cut = repeats.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+                      F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
