@@ -4,6 +4,10 @@ Texts and items are compared in normal form (lower case, runs of letters and dig
 
 * Windows: a text is looked at in windows of an item's own size. An item within ``d`` edits of a stretch of text shares
   one of any d + 1 disjoint parts of it exactly, so windows are laid where such a part occurs; that loses none.
+* Grams: within d edits at most 4 d of a stretch's 4-grams are not those of the item, and a window begins and ends at most d
+  characters beside the stretch. Windows that only share a part by chance are told by bit maps of their 4-grams, and then
+  by counting grams in about the same place, before anything is embedded; chance meetings in a table before they are
+  verified. A window laid by an item that is held passes both.
 * Segments: the share of places at which embedded strings differ grows with their length, so longer items are looked up by
   disjoint segments. One of them has no more than its share of the edits, so its windows are laid and it is found as a
   short item is; what counts is the distance of the whole item.
@@ -43,9 +47,13 @@ SEGMENT_CHARS = 200
 WINDOWS = 4096
 WALKS = 8
 SAMPLED = 4
+#: Length of a gram, bits of a map of grams, and pairs of windows and segments that are compared at once.
+GRAM = 4
+BITS = 1024
+PAIRS = 1 << 18
 #: Share of places of the embedded string that may differ at the largest allowed distance, and the wished recall there.
 DIFFERENT = 0.5
-RECALL = 0.995
+RECALL = 0.999
 
 _RUN = re.compile(r"[^\W_]+")
 
@@ -132,6 +140,27 @@ def best_stretch(item: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def gram_codes(text: str) -> np.ndarray:
+    """A hash of the gram at every position of a text."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    size = max(len(codes) - GRAM + 1, 0)
+    hashed = np.zeros(size, np.uint64)
+    for i in range(GRAM):
+        hashed = (hashed ^ codes[i:i + size]) * np.uint64(0x9E3779B97F4A7C15)
+        hashed ^= hashed >> np.uint64(29)
+    return (hashed >> np.uint64(24)).astype(np.int64)
+
+
+def gram_maps(codes: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Bit maps of the grams of windows of one text, 64 bits a word."""
+    count = np.maximum(np.minimum(start + size, len(codes) + GRAM - 1) - start - GRAM + 1, 0)
+    rows = np.repeat(np.arange(len(start)), count)
+    inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    marks = np.zeros((len(start), BITS), np.uint8)
+    marks[rows, codes[np.repeat(start, count) + inner] % BITS] = 1
+    return np.packbits(marks, axis=1).view(np.uint64)
+
+
 class Searcher:
     """Finds the items of one block in texts."""
 
@@ -159,25 +188,81 @@ class Searcher:
         keys = self.embedding.keys([t for _, _, t in self.segments], sizes)
         order = np.argsort(keys, axis=None)
         self.keys, self.owners = keys.ravel()[order], order // keys.shape[1]
-        parts: dict[str, set[tuple[int, int]]] = defaultdict(set)
-        for _, _, text in self.segments:
-            edits = len(text) * EDIT_PERCENT // 100
-            cuts = [len(text) * k // (edits + 1) for k in range(edits + 2)]
+        self.sizes = np.array(sizes)
+        edits = self.sizes * EDIT_PERCENT // 100
+        self.spare = (GRAM + 1) * edits + 2 * (GRAM - 1)
+        self.maps = np.concatenate([gram_maps(gram_codes(t), np.zeros(1, np.int64), np.array([len(t)])) for _, _, t in self.segments])
+        # Grams of the segments, one in a row, with a margin on either side that equals nothing.
+        self.margin = int(edits.max())
+        self.grams = np.full((len(sizes), max(sizes) + 2 * self.margin), -1, np.int64)
+        for n, (_, _, text) in enumerate(self.segments):
+            codes = gram_codes(text)
+            self.grams[n, self.margin:self.margin + len(codes)] = codes
+        parts: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        for segment, (_, _, text) in enumerate(self.segments):
+            cuts = [len(text) * k // (int(edits[segment]) + 1) for k in range(int(edits[segment]) + 2)]
             for a, b in zip(cuts, cuts[1:]):
-                parts[text[a:b]].add((a, len(text)))
+                parts[text[a:b]].append((a, segment))
         self.seeds = ahocorasick.Automaton()
         for part, where in parts.items():
-            self.seeds.add_word(part, (len(part), tuple(where)))
+            offsets, owners = zip(*where)
+            self.seeds.add_word(part, (np.array(offsets) + len(part), np.array(owners)))
         self.seeds.make_automaton()
 
     def windows(self, text: str) -> set[tuple[int, int]]:
-        """(start, size) of the windows to look at."""
-        found = set()
-        for end, (length, where) in self.seeds.iter(text):
-            for offset, size in where:
-                found.add((max(0, end + 1 - length - offset), size))
+        """(start, size) of the windows that share a part with a segment and hold enough of its grams."""
+        found: set[tuple[int, int]] = set()
+        codes, starts, owners, held = gram_codes(text), [], [], 0
+
+        def compare() -> None:
+            pairs = np.unique(np.maximum(0, np.concatenate(starts)) * len(self.segments) + np.concatenate(owners))
+            start, owner = np.divmod(pairs, len(self.segments))
+            near = self._near(codes, start, owner)
+            found.update(zip(start[near].tolist(), self.sizes[owner[near]].tolist()))
+
+        for end, (offsets, segments) in self.seeds.iter(text):
+            starts.append(end + 1 - offsets)
+            owners.append(segments)
+            held += len(segments)
+            if held >= PAIRS:
+                compare()
+                starts, owners, held = [], [], 0
+        if held:
+            compare()
         return found
 
+    def _near(self, codes: np.ndarray, start: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """Whether the window at ``start`` lacks no more grams of its segment than the allowed edits explain."""
+        size = self.sizes[owner]
+        alike, which = np.unique(start * (SEGMENT_CHARS + 1) + size, return_inverse=True)
+        order = np.argsort(which, kind="stable")
+        near = np.zeros(len(start), bool)
+        for at in range(0, len(order), WINDOWS):
+            here = order[at:at + WINDOWS]
+            low, high = which[here[0]], which[here[-1]] + 1
+            some = alike[low:high]
+            maps = gram_maps(codes, some // (SEGMENT_CHARS + 1), some % (SEGMENT_CHARS + 1))
+            foreign = np.bitwise_count(maps[which[here] - low] & ~self.maps[owner[here]]).sum(axis=1)
+            here = here[foreign <= self.spare[owner[here]]]
+            near[here] = self._in_place(codes, start[here], owner[here])
+        return near
+
+    def _in_place(self, codes: np.ndarray, start: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """The same, of grams that the segment has within the allowed edits of the same place."""
+        near = np.zeros(len(start), bool)
+        for at in range(0, len(start), 512):
+            first, own = start[at:at + 512], owner[at:at + 512]
+            grams = self.sizes[own] - GRAM + 1
+            column = np.arange(int(grams.max()))
+            spot = first[:, None] + column
+            inside = (column < grams[:, None]) & (spot < len(codes))
+            mine = np.where(inside, codes[np.minimum(spot, len(codes) - 1)], -2)
+            theirs, matched = self.grams[own], np.zeros(mine.shape, bool)
+            for shift in range(2 * self.margin + 1):
+                matched |= mine == theirs[:, shift:shift + mine.shape[1]]
+            near[at:at + 512] = inside.sum(axis=1) - matched.sum(axis=1) <= self.spare[own]
+        return near
+
     def _met(self, texts: list[str], sizes: list[int]) -> list[tuple[int, int]]:
         """(window, segment) that meet in any table."""
         keys = self.embedding.keys(texts, sizes)
@@ -198,10 +283,15 @@ class Searcher:
         pairs: dict[tuple[int, int], set[int]] = defaultdict(set)
         for part in range(0, len(spots), WINDOWS):
             some = spots[part:part + WINDOWS]
+            met: dict[int, list[tuple[int, int]]] = defaultdict(list)
             for window, segment in self._met([plain[n][s:s + z] for n, s, z in some], [z for _, _, z in some]):
-                n, start, _ = some[window]
-                item, offset, _ = self.segments[segment]
-                pairs[(n, item)].add(max(0, start - offset))
+                met[some[window][0]].append((some[window][1], segment))
+            for n, both in met.items():
+                start, owner = np.array(both).T
+                near = self._near(gram_codes(plain[n]), start, owner)
+                for at, segment in zip(start[near].tolist(), owner[near].tolist()):
+                    item, offset, _ = self.segments[segment]
+                    pairs[(n, item)].add(max(0, at - offset))
         for (n, item), starts in pairs.items():
             item_id, text, edits = self.long[item]
             ordered = sorted(starts)
@@ -213,7 +303,8 @@ class Searcher:
                 got, end = best_stretch(text, plain[n][low:ordered[last - 1] + len(text) + 2 * edits])
                 if got <= edits:
                     out[n].append((item_id, got, max(low, low + end - len(text)), low + end))
-                    break
+                    if got == 0:
+                        break
                 ordered = ordered[last:]
         return [sorted({h[0]: h for h in sorted(hits, key=lambda h: -h[1])}.values()) for hits in out]
 
