@@ -36,6 +36,10 @@ _BLOB = r"[A-Za-z0-9+/_=-]{40,}"
 _NAME = r"""(?i:(?:user(?:_?name)?|login|client_?id|access_?key_?id|account))["']?\x20*[:=]\x20*["']?[A-Za-z0-9@+/_.-]{3,}"""
 _ENDPOINT = r"""(?:https?|jdbc:[a-z0-9]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|ftp|s3)://[^\x00-\x20"'<>]+"""
 REACH = 400
+#: Any weak part begins with one of these.
+_WEAK = f"(?:{_BLOB})|(?:{_NAME})|(?:{_ENDPOINT})"
+#: Matches of a text that are handled together.
+BLOCK = 512
 
 _SPAN = "array<struct<start: bigint, kind: int, end: bigint>>"
 
@@ -44,24 +48,45 @@ def _none() -> Column:
     return F.array().cast(_SPAN)
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _blocks(values: Column) -> Column:
+    """An array cut into arrays of ``BLOCK`` entries."""
+    last = F.floor((F.greatest(F.size(values), F.lit(1)) - 1) / BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(values, b * BLOCK + 1, BLOCK))
+
+
+def _before(values: Column, combine) -> Column:
+    """For every entry what ``combine`` makes of all entries before it, beginning with 0. Block by block, and then over the
+    totals of blocks: an array that grew entry by entry would be copied as often as it has entries."""
+    nothing = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
+
+    def grown(s: Column, v: Column) -> Column:
+        return F.struct(combine(s["at"], v).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
+
+    inner = F.transform(_blocks(values), lambda b: F.aggregate(b, nothing, grown))
+    return _let(inner, lambda i: F.flatten(F.zip_with(
+        i, F.aggregate(F.transform(i, lambda x: x["at"]), nothing, grown)["out"],
+        lambda x, o: F.transform(x["out"], lambda p: combine(o, p)))))
+
+
 def _found(text: Column, pattern: str, kind: str, keep=None) -> Column:
     """Spans of the leftmost non-overlapping matches; ``keep`` tests a match. Cheap where nothing matches."""
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
     code = F.lit(KINDS.index(kind))
-    walked = F.aggregate(
-        F.zip_with(F.slice(gaps, 1, F.size(gaps) - 1), hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit"))),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("spans")),
-        lambda s, x: F.struct(
-            (s["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("at"),
-            (F.concat(s["spans"], F.when(keep(x["hit"]), _one(s, x, code)).otherwise(_none())) if keep
-             else F.concat(s["spans"], _one(s, x, code))).alias("spans")),
-        lambda s: s["spans"])
-    return F.when(text.rlike(pattern), walked).otherwise(_none())
+    sizes = F.zip_with(F.slice(gaps, 1, F.size(gaps) - 1), hits, lambda g, h: F.struct(
+        F.length(g).cast("long").alias("gap"), F.length(h).cast("long").alias("hit"), (keep(h) if keep else F.lit(True)).alias("keep")))
 
+    def placed(x: Column) -> Column:
+        starts = _let(F.transform(x, lambda v: v["gap"] + v["hit"]), lambda lengths: _before(lengths, lambda a, b: a + b))
+        spans = F.zip_with(starts, x, lambda at, v: F.struct(
+            v["keep"].alias("keep"), F.struct((at + v["gap"]).alias("start"), code.alias("kind"), (at + v["gap"] + v["hit"]).alias("end")).alias("span")))
+        return F.transform(F.filter(spans, lambda v: v["keep"]), lambda v: v["span"]).cast(_SPAN)
 
-def _one(s: Column, x: Column, code: Column) -> Column:
-    start = s["at"] + F.length(x["gap"])
-    return F.array(F.struct(start.alias("start"), code.alias("kind"), (start + F.length(x["hit"])).alias("end"))).cast(_SPAN)
+    return F.when(text.rlike(pattern), _let(sizes, placed)).otherwise(_none())
 
 
 def strong_spans(text: Column) -> Column:
@@ -125,19 +150,41 @@ def count_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("long")
 
 
+def _masked(body: Column, spans: Column, mask: str) -> Column:
+    """The text with sorted spans replaced. A span whose start lies before the end of an earlier one adds nothing. Texts are cut
+    out of the stretch of their block, so that a cut does not count from the beginning of the whole text."""
+    def cut(x: Column) -> Column:
+        reached = _let(F.transform(x, lambda v: v["end"]), lambda ends: _before(ends, F.greatest))
+        rows = F.zip_with(x, reached, lambda v, at: F.struct(v["start"].alias("start"), v["end"].alias("end"), at.alias("at")))
+
+        def block(b: Column) -> Column:
+            begin = b[0]["at"]
+            end = F.greatest(begin, F.array_max(F.transform(b, lambda v: v["end"])))
+            stretch = F.substring(body, (begin + 1).cast("int"), (end - begin).cast("int"))
+            return _let(stretch, lambda t: F.array_join(F.transform(b, lambda v: F.when(v["start"] >= v["at"], F.concat(
+                F.substring(t, (v["at"] - begin + 1).cast("int"), (v["start"] - v["at"]).cast("int")), F.lit(mask))).otherwise(F.lit(""))), ""))
+
+        done = F.array_max(F.transform(x, lambda v: v["end"]))
+        joined = _let(rows, lambda r: F.array_join(F.transform(_blocks(r), block), ""))
+        return F.concat(joined, F.substring(body, (done + 1).cast("int"), F.length(body)))
+
+    return _let(spans, cut)
+
+
 def redact(docs: DataFrame, text: str = "text", mask: str = "[secret]", reach: int = REACH) -> DataFrame:
-    """The rows with every found span replaced by ``mask``; overlapping spans become one. NULL texts stay NULL."""
-    scanned = scan(docs, text, reach)
-    body = F.col(f"row.{text}")
-    # A span's text is dropped up to its end, counted from where the last one ended.
-    masked = F.aggregate(
-        F.sort_array(F.concat("strong", "linked")),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda s, x: F.struct(
-            F.greatest(s["at"], x["end"]).alias("at"),
-            F.when(x["start"] >= s["at"], F.concat(s["out"], F.array(
-                F.substring(body, (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int")), F.lit(mask))))
-            .otherwise(s["out"]).alias("out")),
-        lambda s: F.concat(F.array_join(s["out"], ""), F.substring(body, (s["at"] + 1).cast("int"), F.length(body))))
-    clean = F.when((F.size("strong") > 0) | (F.size("linked") > 0), masked).otherwise(body)
-    return scanned.select(*[clean.alias(c) if c == text else F.col(f"row.{c}").alias(c) for c in docs.columns])
+    """The rows with every found span replaced by ``mask``; overlapping spans become one. NULL texts stay NULL.
+
+    Only texts that hold a weak part go through the exchange of the interval join; the others are masked where they are.
+    """
+    linked = F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(_WEAK)
+
+    def masked(rows: DataFrame, body: Column, spans: Column, column) -> DataFrame:
+        clean = F.when(F.size(spans) > 0, _masked(body.cast("string"), spans, mask)).otherwise(body)
+        return rows.select(*[clean.alias(c) if c == text else column(c).alias(c) for c in docs.columns])
+
+    plain = docs.filter(~linked)
+    own = F.sort_array(strong_spans(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    alone = masked(plain, F.col(text), own, F.col)
+    scanned = scan(docs.filter(linked), text, reach)
+    joined = masked(scanned, F.col(f"row.{text}"), F.sort_array(F.concat("strong", "linked")), lambda c: F.col(f"row.{c}"))
+    return alone.unionByName(joined)
