@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import tracemalloc
 import types
 import zlib
@@ -13,6 +14,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from leadlake.llm import (
     chat, decontaminate, jaccard, licenses, packing, quality, registry, repeats, secrets, sharding, tokens,
@@ -108,6 +110,26 @@ def test_redaction_masks_spans_only(spark):
     assert "abcdef" not in got[4] and "ffff" not in got[4] and got[4].endswith("x [secret]")
 
 
+def test_very_many_secrets_in_one_text(spark):
+    """Blocks of matches meet, overlap and end at their edges; time grows with the matches, not with their square."""
+    texts = [" ".join(f"t\u00e9 token=abcdef{i:06d}" for i in range(3000)), " ".join("password=" * 700), "x" + "secret=aaaaaa" * 2000,
+             "\n".join(f"https://h{i}.example.org/p user=bob{i} token=abcdef{i:06d}" for i in range(1500))]
+    for r in secrets.scan(table(spark, texts)).collect():
+        assert [tuple(s) for s in r["strong"]] == strong(texts[r["row"]["doc_id"]])
+    spans = {r["row"]["doc_id"]: sorted([tuple(s) for s in [*r["strong"], *r["linked"]]]) for r in secrets.scan(table(spark, texts)).collect()}
+    for r in secrets.redact(table(spark, texts)).collect():
+        out, at, text = [], 0, texts[r["doc_id"]]
+        for start, _, end in spans[r["doc_id"]]:
+            if start >= at:
+                out.append(text[at:start] + "[secret]")
+            at = max(at, end)
+        assert r["text"] == "".join(out) + text[at:]
+    many = " ".join(f"token=abcdef{i:07d} id" for i in range(100_000))
+    began = time.monotonic()
+    (row,) = secrets.redact(table(spark, [many])).select(F.length("text").alias("n"), F.expr("locate('abcdef', text)").alias("left")).collect()
+    assert row.left == 0 and row.n == 100_000 * len("[secret] id ") - 1 and time.monotonic() - began < 60
+
+
 # --- Licences ----------------------------------------------------------------------------
 
 def test_licences(spark, prose):
@@ -195,6 +217,30 @@ def test_token_counts_equal_the_library(spark, sf):
 
 # --- Chat --------------------------------------------------------------------------------
 
+def test_texts_and_roles_with_the_mark_itself(spark):
+    """The mark that finds a turn's text may stand in the turns held and in the role."""
+    rows = [(1, t, f"user {chat.PROBE}" if t % 3 == 0 else "assistant", f"{chat.PROBE} {t} {chat.PROBE * (t % 4)}") for t in range(150)]
+    got = chat.digests(chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()[0]
+    said = "".join(x for _, _, role, x in rows if role == "assistant")
+    assert got["loss_chars"] == len(said) and got["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_shards_claim_slots_in_turns():
+    """The table against claims replayed from whole preference lists."""
+    for names, slots in ((["a", "b", "c"], 101), ([f"s{i}" for i in range(7)], 211), (["only"], 13)):
+        prefer = []
+        for name in names:
+            start, step = sharding._number(name, "start") % slots, sharding._number(name, "step") % (slots - 1) + 1
+            prefer.append([(start + i * step) % slots for i in range(slots)])
+            assert sorted(prefer[-1]) == list(range(slots))
+        owner = {}
+        while len(owner) < slots:
+            for n, wishes in enumerate(prefer):
+                if len(owner) < slots:
+                    owner[next(s for s in wishes if s not in owner)] = n
+        assert sharding.fill_table(names, slots) == [owner[s] for s in range(slots)]
+
+
 def test_chat_round_trip_and_digests(spark):
     rng = random.Random(3)
     parts = ["<|im_end|>", "<|im_start|>", "<|", "\\", "\\n", "\n", "ok", "é", "<\\|", "assistant", " "]
@@ -480,7 +526,7 @@ def test_fit_reproduces_a_histogram():
 
 def test_each_operator_has_one_query():
     names = [n for n in registry.queries() if n != "pipeline"]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
