@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import tomllib
+from dataclasses import dataclass, field, fields, replace
 
 # --- Fixed values: contract domains -----------------------------------------
 JOBS = (
@@ -48,10 +49,13 @@ TIER_ACTIONS = (
     "Send an SMS or e-mail first; call only when the link is opened",
     "Leave out of this campaign to save calling cost",
 )
+
+# --- Fixed values: latency buckets, drift features --------------------------
 LATENCY_BUCKETS = (0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5)
 DRIFT_FEATURES = ("age", "balance", "day", "campaign")
 
 
+# --- Fixed values: limits, money, tier bounds, model columns, split and training defaults ----
 @dataclass(frozen=True)
 class Contracts:
     min_age: int = 18
@@ -118,3 +122,30 @@ class Settings:
 
 
 DEFAULT = Settings()
+
+
+def load_settings(path: str) -> Settings:
+    """Settings from a TOML file with one table per group, such as ``[economics]`` with ``call_cost = 4.0``.
+
+    What the file leaves out keeps its default. Unknown groups and names, and values of another kind, are refused.
+    """
+    with open(path, "rb") as file:
+        given = tomllib.load(file)
+    groups = {f.name: getattr(DEFAULT, f.name) for f in fields(Settings)}
+    changed = {}
+    for group, values in given.items():
+        if group not in groups or not isinstance(values, dict):
+            raise ValueError(f"unknown settings group {group!r}")
+        known = {f.name: getattr(groups[group], f.name) for f in fields(groups[group])}
+        for name, value in values.items():
+            if name not in known:
+                raise ValueError(f"unknown setting {group}.{name}")
+            wanted = type(known[name])
+            if wanted is tuple and isinstance(value, list):
+                values[name] = tuple(value)
+            elif wanted is float and type(value) is int:
+                values[name] = float(value)
+            elif type(value) is not wanted:
+                raise ValueError(f"{group}.{name} is of kind {wanted.__name__}, not {type(value).__name__}")
+        changed[group] = replace(groups[group], **values)
+    return replace(DEFAULT, **changed)

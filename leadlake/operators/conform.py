@@ -11,6 +11,7 @@ from leadlake import config as cfg
 from leadlake.functions.hashing import record_hash, surrogate_id
 from leadlake.functions.text import clean_strings
 from leadlake.operators import skew
+from leadlake.operators.prep import numbered
 
 AUDIT_ORDER = ("_ingested_at", "_record_hash")
 
@@ -21,18 +22,22 @@ def file_name() -> Column:
 
 
 def add_audit(df: DataFrame, batch_id: str, source: str | Column) -> DataFrame:
-    """Batch, ingestion time, source and record hash; a customer id when the batch carries none."""
+    """Batch, ingestion time, source and record hash; a customer id when the batch carries none.
+
+    The id comes from all columns of the lead. Leads that are equal in all of them stay apart by the number of the copy: equal
+    rows are counted (and so combined before the shuffle) and dealt out again with their numbers.
+    """
     name = F.lit(source) if isinstance(source, str) else source
-    out = df.withColumns({
-        "_batch_id": F.lit(batch_id),
-        "_ingested_at": F.current_timestamp(),
-        "_source_file": name,
-        "_record_hash": record_hash(),
-    })
+    out = df.withColumns({"_batch_id": F.lit(batch_id), "_source_file": name})
     if "customer_id" not in df.columns:
         numbers = [f.name for f in df.schema if f.dataType.simpleString() in ("int", "double", "bigint")]
-        out = out.withColumn("customer_id", surrogate_id(f"CUST_{batch_id}_", df.columns, numbers))
-    return out
+        counted = out.groupBy(*out.columns).agg(F.count(F.lit(1)).alias("_copies"))
+        most = counted.agg(F.max("_copies").alias("n")).first().n or 1
+        own = surrogate_id(f"CUST_{batch_id}_", df.columns, numbers)
+        copies = numbered(counted.withColumn("_own", own), F.col("_copies"), most, "_own", "_copy")
+        out = copies.withColumn("customer_id", F.concat_ws("_", "_own", F.when(F.col("_copy") > 1, F.col("_copy").cast("string")))).drop(
+            "_copies", "_own", "_copy")
+    return out.withColumns({"_ingested_at": F.current_timestamp(), "_record_hash": record_hash()})
 
 
 def _pick(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str], latest: bool) -> DataFrame:

@@ -112,18 +112,23 @@ def _tree_shap(x: np.ndarray, paths: list[tuple]) -> np.ndarray:
     return phi
 
 
+def _leaf_table(trained: TrainedModel, spark: SparkSession) -> tuple[list[tuple], float]:
+    """Leaf paths on the log-odds scale and the margin of an unknown row. The ensemble's size is checked first."""
+    model = trained.classifier
+    if model.totalNumNodes > MAX_TREE_NODES:
+        raise ValueError(f"{model.totalNumNodes} tree nodes are too many to ship to every task")
+    # The classifier's probability is 1 / (1 + exp(-2 * raw)), so log-odds are twice the raw sum.
+    paths = [(2.0 * v, c) for v, c in _tree_paths(_tree_nodes(spark, model), model.treeWeights)]
+    return paths, float(sum(v * np.prod([c[1] for c in conds]) if conds else v for v, conds in paths))
+
+
 def tree_attributions(trained: TrainedModel, df: DataFrame, key: str, name: str = "attributions") -> DataFrame:
     """(key, attributions, base_margin, margin) on the log-odds scale: sum + base = margin.
 
     A saved ensemble is small (trees x nodes) and its size is checked; it travels to the tasks once, rows
     are never gathered.
     """
-    model = trained.classifier
-    if model.totalNumNodes > MAX_TREE_NODES:
-        raise ValueError(f"{model.totalNumNodes} tree nodes are too many to ship to every task")
-    # The classifier's probability is 1 / (1 + exp(-2 * raw)), so log-odds are twice the raw sum.
-    paths = [(2.0 * v, c) for v, c in _tree_paths(_tree_nodes(df.sparkSession, model), model.treeWeights)]
-    base = float(sum(v * np.prod([c[1] for c in conds]) if conds else v for v, conds in paths))
+    paths, base = _leaf_table(trained, df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(paths)
     encoded = trained.model.transform(df).select(
         F.col(key), vector_to_array("features").alias("x"),
@@ -142,6 +147,31 @@ def tree_attributions(trained: TrainedModel, df: DataFrame, key: str, name: str
     )
 
 
+def explained(trained: TrainedModel, df: DataFrame, probability: str = "probability_yes", k: int = 3) -> DataFrame:
+    """Input columns, the probability of a yes and what drove it, row by row: ``attributions`` (log-odds, with ``base_margin``
+    they add up to ``margin``), ``positive_drivers`` and ``negative_drivers``. Nothing is joined or gathered, so it works on
+    streams as on batches; a linear model stays in expressions, trees see one Arrow column."""
+    encoded, odds = trained.model.transform(df), vector_to_array("probability")
+    if trained.model_type == LOGISTIC:
+        weights = [float(w) for w in trained.classifier.coefficients]
+        base = float(trained.classifier.intercept) + float(np.dot(weights, trained.background))
+        pairs = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(m).alias("m")) for w, m in zip(weights, trained.background)])
+        values = F.zip_with(vector_to_array("features"), pairs, lambda x, p: p["w"] * (x - p["m"]))
+        margin = vector_to_array("rawPrediction")[1]
+    else:
+        paths, base = _leaf_table(trained, df.sparkSession)
+        shared = df.sparkSession.sparkContext.broadcast(paths)
+
+        @F.pandas_udf("array<double>")
+        def shapley(x: pd.Series) -> pd.Series:
+            return pd.Series(list(_tree_shap(np.stack(x.to_numpy()), shared.value)) if len(x) else [], dtype="object")
+
+        values, margin = shapley(vector_to_array("features")), F.log(odds[1] / odds[0])
+    rows = encoded.select(*df.columns, odds[1].alias(probability), values.alias("attributions"),
+                          F.lit(base).alias("base_margin"), margin.alias("margin"))
+    return top_drivers(rows, trained.feature_names, k)
+
+
 # --- Reports ----------------------------------------------------------------------
 
 def top_drivers(df: DataFrame, names: Sequence[str], k: int = 3, column: str = "attributions") -> DataFrame:

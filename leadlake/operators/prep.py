@@ -155,7 +155,7 @@ def null_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 _PIECE = 1000
 
 
-def _numbered(df: DataFrame, count: Column, most: int, by: str, name: str = "j") -> DataFrame:
+def numbered(df: DataFrame, count: Column, most: int, by: str, name: str = "j") -> DataFrame:
     """``count`` copies of each row (``most`` at most), numbered from 1. Numbers are dealt out in steps of a thousand, and
     dealt to other tasks in between, so that neither an array nor a task is as large as the share of one row."""
     steps, size = 1, _PIECE
@@ -172,46 +172,51 @@ def _numbered(df: DataFrame, count: Column, most: int, by: str, name: str = "j")
 
 
 def smote(df: DataFrame, columns: Sequence[str], label: str, key: str, k: int = 5, seed: int = 42) -> DataFrame:
-    """Input rows plus synthetic rows until every class is as large as the largest.
+    """Input rows plus synthetic rows until every class is as large as the largest, in named columns; see ``smote_points``."""
+    points = df.select(key, label, F.array(*[F.col(c).cast("double") for c in columns]).alias("_x"))
+    out = smote_points(points, "_x", label, key, k, seed)
+    return out.select(key, label, *[F.col("_x")[i].alias(c) for i, c in enumerate(columns)], "is_synthetic")
+
+
+def smote_points(df: DataFrame, x: str, label: str, key: str, k: int = 5, seed: int = 42) -> DataFrame:
+    """(key, label, x, is_synthetic): rows of (key, label, x array) plus synthetic ones until every class is as large as the largest.
 
     Each synthetic row lies between a row and one of its ``k`` nearest rows of the same class (exact, ties by a hash of the
     key). How many a row yields follows from its hash rank, so the totals are exact; which neighbour and how far along
-    follow from hashes, so a re-run gives the same rows. Adds ``is_synthetic``. Rows with a missing coordinate are kept but
-    yield nothing; a class with fewer than two complete rows stays as it is; rows without a label are refused.
+    follow from hashes, so a re-run gives the same rows. Rows with a missing coordinate are kept but yield nothing; a class with
+    fewer than two complete rows stays as it is; rows without a label are refused.
     """
     counts = class_counts(df, label)
-    originals = df.select(key, label, *[F.col(c).cast("double").alias(c) for c in columns], F.lit(0).alias("is_synthetic"))
+    originals = df.select(key, label, x, F.lit(0).alias("is_synthetic"))
     if not counts:
         return originals
-    complete = originals
-    for c in columns:
-        complete = complete.filter(F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
+    complete = originals.filter(F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))))
     usable = class_counts(complete, label)
     out, largest = originals, max(counts.values())
     for value in sorted(counts, key=str):
         wanted, n = largest - counts[value], usable.get(value, 0)
         if wanted > 0 and n > 1:
-            out = out.unionByName(_synthetic(complete.filter(F.col(label) == F.lit(value)), columns, label, key, k, seed, wanted, n))
+            rows = complete.filter(F.col(label) == F.lit(value)).select(F.col(key).alias("id"), F.col(x).alias("x"), F.col(label).alias("_label"))
+            made = _synthetic(rows, k, seed, wanted, n)
+            out = out.unionByName(made.select(
+                F.col("id").alias(key), F.col("_label").alias(label), F.col("_new").alias(x), F.lit(1).alias("is_synthetic")))
     return out
 
 
-def _synthetic(rows: DataFrame, columns: Sequence[str], label: str, key: str, k: int, seed: int, wanted: int, n: int) -> DataFrame:
-    """``wanted`` new rows of one class of ``n`` rows."""
-    ranks = hash_ranks(rows.select(key, label), key, [label], seed).select(F.col(key).alias("id"), "hash_rank", F.col(label).alias("_label"))
-    near = nearest_neighbours(rows.select(F.col(key).alias("id"), F.array(*columns).alias("x")), k)
+def _synthetic(rows: DataFrame, k: int, seed: int, wanted: int, n: int) -> DataFrame:
+    """(id, _label, _new): ``wanted`` new points of one class of ``n`` rows (id, x, _label)."""
+    ranks = hash_ranks(rows.select("id", "_label"), "id", ["_label"], seed).select("id", "hash_rank", "_label")
+    near = nearest_neighbours(rows.select("id", "x"), k)
     each, rest = divmod(wanted, n)
     share = F.lit(each) + (F.col("hash_rank") <= rest).cast("int")
 
     def unit(salt: int) -> Column:
         return F.pmod(F.xxhash64("id", "j", F.lit(seed + salt)), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
-    drawn = (
-        _numbered(near.join(ranks, "id"), share, each + 1, "id")
+    return (
+        numbered(near.join(ranks, "id"), share, each + 1, "id")
         .withColumn("_pick", (F.floor(unit(1) * F.size("neighbours")) + 1).cast("int"))
         .withColumn("_to", F.element_at("neighbours", F.col("_pick"))["x"])
         .withColumn("_t", unit(2))
         .withColumn("_new", F.zip_with("x", "_to", lambda a, b: a + (b - a) * F.col("_t")))
     )
-    return drawn.select(
-        F.col("id").alias(key), F.col("_label").alias(label),
-        *[F.col("_new")[i].alias(c) for i, c in enumerate(columns)], F.lit(1).alias("is_synthetic"))

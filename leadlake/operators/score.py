@@ -44,11 +44,12 @@ def route_mode(df: DataFrame) -> DataFrame:
 
 
 def add_decision(df: DataFrame, probability: str, threshold: float, tiers: Tiers = Tiers()) -> DataFrame:
-    """Rounded probability, call flag, tier and action; all decided on the unrounded probability."""
+    """Rounded probability, threshold, call flag, tier and action; all decided on the unrounded probability."""
     p = F.col(probability)
     tier = priority_tier(p, tiers)
     return df.withColumns({
         "predicted_conversion_prob": F.round(p, 4),
+        "decision_threshold": F.lit(float(threshold)),
         "is_recommended_call": recommended(p, threshold),
         "priority_tier": tier,
         "telesales_action": tier_action(tier, tiers),

@@ -7,14 +7,15 @@ from dataclasses import dataclass, replace
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlake.config import DEFAULT, Settings
 from leadlake.functions.encode import target_flag
 from leadlake.operators.evaluate import best_thresholds, evaluate, threshold_curve
-from leadlake.operators.prep import Scaler, add_class_weight, assign_split, class_weights, model_columns
+from leadlake.operators.prep import Scaler, add_class_weight, assign_split, class_weights, model_columns, smote_points
 
 LOGISTIC, TREES = "logistic_regression", "gradient_boosting"
 
@@ -100,11 +101,9 @@ def fit_model(train: DataFrame, mode: str, model_type: str, settings: Settings =
     encoder = Pipeline(stages=encoding_stages(weighted, mode, settings)).fit(weighted)
     encoded = encoder.transform(weighted).select("features", "label", "weight").persist()
     try:
-        weight_sum = encoded.agg(F.sum("weight")).first()[0]
+        facts = encoded.agg(F.sum("weight").alias("w"), Summarizer.mean(F.col("features")).alias("m")).first()
+        weight_sum, means = facts.w, facts.m
         fitted = classifier(model_type, weight_sum, settings).fit(encoded)
-        from pyspark.ml.stat import Summarizer
-
-        means = encoded.select(Summarizer.mean(F.col("features"))).first()[0]
     finally:
         encoded.unpersist()
     return TrainedModel(
@@ -113,6 +112,24 @@ def fit_model(train: DataFrame, mode: str, model_type: str, settings: Settings =
     )
 
 
+def fit_oversampled(train: DataFrame, mode: str, key: str, model_type: str = LOGISTIC, settings: Settings = DEFAULT) -> TrainedModel:
+    """Fit without weights on classes made equal by synthetic rows between encoded neighbours, as an alternative to weighting.
+
+    Only training rows are encoded and oversampled; ``key`` is unique in them.
+    """
+    encoder = Pipeline(stages=encoding_stages(train, mode, settings)).fit(train)
+    names = feature_names(encoder, mode, settings)
+    points = encoder.transform(train).select(key, "label", vector_to_array("features").alias("x"))
+    balanced = smote_points(points, "x", "label", key)
+    rows = balanced.select(array_to_vector("x").alias("features"), "label", F.lit(1.0).alias("weight")).persist()
+    try:
+        facts = rows.agg(F.count(F.lit(1)).alias("n"), Summarizer.mean(F.col("features")).alias("m")).first()
+        fitted = classifier(model_type, float(facts.n), settings).fit(rows)
+    finally:
+        rows.unpersist()
+    return TrainedModel(PipelineModel(stages=[*encoder.stages, fitted]), model_type, mode, names, [float(v) for v in facts.m])
+
+
 def train_model(features: DataFrame, mode: str, model_type: str = TREES, settings: Settings = DEFAULT) -> TrainedModel:
     """Split by customer, fit on train, choose the threshold on validation, measure on test."""
     parts = assign_split(labelled(features), "customer_id", settings.split)
@@ -135,5 +152,5 @@ def coefficients(trained: TrainedModel) -> list[tuple[str, float]]:
 
 __all__ = [
     "LOGISTIC", "TREES", "TrainedModel", "add_probability", "class_weights", "classifier", "coefficients",
-    "encoding_stages", "feature_names", "fit_model", "labelled", "train_model",
+    "encoding_stages", "feature_names", "fit_model", "fit_oversampled", "labelled", "train_model",
 ]

@@ -106,6 +106,6 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
 def load_all() -> None:
     """Import the modules that register queries."""
     from leadlake.plans import (  # noqa: F401
-        q_columns, q_contracts, q_evaluate, q_models, q_monitor, q_prep, q_profile, q_sources, q_stats, q_streams,
+        q_checks, q_columns, q_contracts, q_evaluate, q_models, q_monitor, q_prep, q_profile, q_sources, q_stats, q_streams,
         q_tables,
     )

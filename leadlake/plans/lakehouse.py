@@ -16,7 +16,7 @@ from leadlake.config import DEFAULT, Settings
 from leadlake.functions.features import derive_leads
 from leadlake.functions.text import normalise_names
 from leadlake.operators import conform, contracts, marts
-from leadlake.operators.explain import global_importance, linear_attributions, tree_attributions
+from leadlake.operators.explain import explained, global_importance, linear_attributions, tree_attributions
 from leadlake.operators.fairness import audit
 from leadlake.operators.privacy import deidentify
 from leadlake.operators.registry import is_model_available, load_active_model, save_model
@@ -233,8 +233,14 @@ def load_models(spark: SparkSession, layers: Layers) -> dict[str, TrainedModel]:
 MODES = ("pre_call", "post_call")
 
 
-def score_leads(leads: DataFrame, models: dict[str, TrainedModel], settings: Settings = DEFAULT, mode: str = "auto") -> DataFrame:
-    """Derive, route by mode, score each part with its model, decide. Works on batches and on streams.
+def _with_probability(trained: TrainedModel, leads: DataFrame, explain: bool) -> DataFrame:
+    return explained(trained, leads) if explain else add_probability(trained.model, leads)
+
+
+def score_leads(leads: DataFrame, models: dict[str, TrainedModel], settings: Settings = DEFAULT, mode: str = "auto",
+                explain: bool = False) -> DataFrame:
+    """Derive, route by mode, score each part with its model, decide. Works on batches and on streams. ``explain`` adds what
+    drove each score to its row.
 
     ``mode`` may force one mode for all leads. A mode that leads can be routed to must have a model: otherwise nothing is
     scored, so that no lead is lost.
@@ -249,7 +255,7 @@ def score_leads(leads: DataFrame, models: dict[str, TrainedModel], settings: Set
     routed = route_mode(derived) if mode == "auto" else derived.withColumn("mode", F.lit(mode))
     parts = []
     for mode, trained in ((m, models[m]) for m in needed):
-        part = add_probability(trained.model, routed.filter(F.col("mode") == mode))
+        part = _with_probability(trained, routed.filter(F.col("mode") == mode), explain)
         parts.append(add_decision(part, "probability_yes", trained.threshold, settings.tiers))
     out = parts[0]
     for part in parts[1:]:
@@ -257,17 +263,20 @@ def score_leads(leads: DataFrame, models: dict[str, TrainedModel], settings: Set
     return out
 
 
-def batch_score(leads: DataFrame, trained: TrainedModel, settings: Settings = DEFAULT) -> DataFrame:
+def batch_score(leads: DataFrame, trained: TrainedModel, settings: Settings = DEFAULT, explain: bool = False) -> DataFrame:
     """Score all leads with one model and put the best first."""
-    scored = add_probability(trained.model, derive_leads(leads))
+    scored = _with_probability(trained, derive_leads(leads), explain)
     decided = add_decision(scored, "probability_yes", trained.threshold, settings.tiers)
     return dialer_queue(decided, "predicted_conversion_prob", "customer_id")
 
 
 def score_file(spark: SparkSession, source: str, target: str, trained: TrainedModel,
-               settings: Settings = DEFAULT) -> None:
-    leads = read_batch_file(spark, source, LEADS)
-    write_by_suffix(batch_score(leads, trained, settings), target)
+               settings: Settings = DEFAULT, explain: bool = False) -> None:
+    """Leads of a file, scored into a file; drivers are written as JSON texts, which CSV can hold as well."""
+    scored = batch_score(read_batch_file(spark, source, LEADS), trained, settings, explain)
+    if explain:
+        scored = scored.drop("attributions").withColumns({c: F.to_json(c) for c in ("positive_drivers", "negative_drivers")})
+    write_by_suffix(scored, target)
 
 
 def run_full(raw: DataFrame, leads: DataFrame, layers: Layers, batch_id: str, model_type: str = TREES,

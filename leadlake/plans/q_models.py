@@ -41,6 +41,11 @@ def _held_out(spark, sf):
     return assign_split(rows, "customer_id").filter("split = 'test'")
 
 
+def _all_rows(spark, sf):
+    """Every interaction, as attributions are wanted for all of them."""
+    return train.labelled(spark.read.parquet(lake(spark, sf).features))
+
+
 def _scores(spark, sf, model_type):
     model = trained(spark, sf, "post_call", model_type)
     scored = train.add_probability(model.model, _held_out(spark, sf))
@@ -95,14 +100,14 @@ def ml_dual_mode(spark, sf):
 @query("xp_linear_local")
 def xp_linear_local(spark, sf):
     model = trained(spark, sf, "post_call", train.LOGISTIC)
-    rows = explain.linear_attributions(model, _held_out(spark, sf))
+    rows = explain.linear_attributions(model, _all_rows(spark, sf))
     total = F.aggregate("attributions", F.lit(0.0), lambda s, v: s + v)
     return rows.select("interaction_id", "attributions", "base_margin", "margin", (total + F.col("base_margin")).alias("rebuilt_margin"))
 
 
 def _tree_rows(spark, sf):
     model = trained(spark, sf, "post_call", train.TREES)
-    return model, explain.tree_attributions(model, _held_out(spark, sf), "interaction_id")
+    return model, explain.tree_attributions(model, _all_rows(spark, sf), "interaction_id")
 
 
 @query("xp_tree_local")

@@ -112,11 +112,12 @@ def prof_missing(spark, sf):
 
 
 @query("prof_duplicates", """
-SELECT (SELECT count(*) FROM leads_raw)
-     - (SELECT count(*) FROM (SELECT DISTINCT customer_id, job, contact, month, campaign, y FROM leads_raw)) AS duplicates""",
-       ("leads_raw",))
+WITH delivered AS (SELECT * FROM leads_raw UNION ALL SELECT * FROM leads_raw WHERE pdays > -1)
+SELECT (SELECT count(*) FROM delivered) - (SELECT count(*) FROM (SELECT DISTINCT * FROM delivered)) AS duplicates""", ("leads_raw",))
 def prof_duplicates(spark, sf):
-    return profile.duplicate_rows(fx.leads_raw(spark, sf).select("customer_id", "job", "contact", "month", "campaign", "y"))
+    """All leads, those contacted before delivered twice unchanged: whole rows are compared."""
+    leads = fx.leads_raw(spark, sf)
+    return profile.duplicate_rows(leads.unionByName(leads.filter("pdays > -1")))
 
 
 @query("agg_group_describe", _each(("age", "balance", "duration"),
@@ -216,6 +217,7 @@ def agg_tier_counts(spark, sf):
 
 # --- Bins and rates -----------------------------------------------------------------
 
+# --- Fixed values: bin edges -------------------------------------------------
 _BALANCE_EDGES = (-INF, 0.0, 100.0, 500.0, 1000.0, 2000.0, 5000.0, 10000.0, INF)
 _DURATION_EDGES = (0.0, 60.0, 180.0, 300.0, 600.0, 1800.0, INF)
 _BALANCE_BIN = """CASE WHEN balance < 0 THEN 0 WHEN balance < 100 THEN 1 WHEN balance < 500 THEN 2 WHEN balance < 1000 THEN 3

@@ -16,6 +16,7 @@ from leadlake.operators.score import priority_tier
 from leadlake.operators.train import TrainedModel
 from leadlake.plans.lakehouse import Layers, ingest_frame, score_leads
 from leadlake.sources.sinks import append_batch, overwrite_table
+from leadlake.sources.snapshots import Store
 
 
 def drain(query: StreamingQuery) -> None:
@@ -96,21 +97,59 @@ def customer_totals(feedback: DataFrame) -> DataFrame:
     return feedback.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Batches, and then merged parts of one level, that are merged into a part of the next level.
+MERGE = 8
+_LOG, _STREAM = "log", "stream"
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """The newest count of each key."""
+    names = [c for c in rows.columns if c not in ("n", "batch")]
+    return rows.groupBy(*names).agg(F.max_by("n", "batch").alias("n"), F.max("batch").alias("batch"))
+
+
 def keep_counts(counts: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Running counts: each batch appends the counts it changed; ``latest_counts`` reads the newest of each key. A folder
-    belongs to one stream: a batch that runs again replaces its own rows."""
+    """Running counts as a log of levels: each batch adds the counts it changed, every ``MERGE`` batches are merged to the newest
+    count of each key, every ``MERGE`` of those again, so that a reader never meets more than a few parts a level.
+
+    Batch, merges and progress are published together: a batch that runs again after a failure is added once, and a reader
+    sees all of it or nothing. A folder belongs to one stream: another checkpoint, whose counts would begin at zero, is refused.
+    """
+    store, stream = Store(path, keep=4), stream_name(checkpoint)
+    owners = set(store.latest(counts.sparkSession).parts.get(_STREAM, {})) - {stream}
+    if owners:
+        raise ValueError(f"{path} belongs to another stream: its checkpoint is not {checkpoint}")
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        append_batch(batch, path, f"{batch_id:08d}")
+        spark = batch.sparkSession
+        draft = store.begin(spark)
+        done = draft.base.parts.get(_STREAM, {})
+        if set(done) - {stream}:
+            raise ValueError(f"{path} belongs to another stream")
+        if stream in done and batch_id <= done[stream][1]:
+            return
+        marked = batch.withColumn("batch", F.lit(batch_id).cast("long"))
+        draft.write_part(_LOG, f"0-{batch_id:08d}", marked)
+        level = 0
+        while True:
+            now = draft.current
+            parts = sorted(p for p in now.parts[_LOG] if p.startswith(f"{level}-"))
+            if len(parts) < MERGE:
+                break
+            draft.write_part(_LOG, f"{level + 1}-{batch_id:08d}", _newest(now.read(spark, _LOG, marked.schema, parts)).select(*marked.columns))
+            for part in parts:
+                draft.remove(_LOG, part)
+            level += 1
+        draft.mark(_STREAM, stream, batch_id)
+        draft.publish()
 
     return _each_batch(counts, checkpoint, work, "update", available_now)
 
 
 def latest_counts(spark: SparkSession, path: str, keys: str) -> DataFrame:
     """Newest count of each key; ``keys`` declares the key columns."""
-    rows = spark.read.schema(f"{keys}, n long, _batch_id string").parquet(path)
-    names = [c for c in rows.columns if c not in ("n", "_batch_id")]
-    return rows.groupBy(*names).agg(F.max_by("n", "_batch_id").alias("n"))
+    schema = spark.createDataFrame([], f"{keys}, n long, batch long").schema
+    return _newest(Store(path).latest(spark).read(spark, _LOG, schema)).drop("batch")
 
 
 def keep_totals(feedback: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
@@ -168,6 +207,6 @@ def drift_alerts(reports: DataFrame) -> DataFrame:
 
 
 def score(leads: DataFrame, models: Mapping[str, TrainedModel], path: str, checkpoint: str,
-          settings: Settings = DEFAULT, available_now: bool = True) -> StreamingQuery:
-    """Leads scored as they arrive, by the same plan as a batch."""
-    return to_parquet(score_leads(leads, dict(models), settings), path, checkpoint, available_now)
+          settings: Settings = DEFAULT, available_now: bool = True, explain: bool = False) -> StreamingQuery:
+    """Leads scored (and explained) as they arrive, by the same plan as a batch."""
+    return to_parquet(score_leads(leads, dict(models), settings, explain=explain), path, checkpoint, available_now)

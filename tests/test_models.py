@@ -52,6 +52,31 @@ def test_scores_are_useful_probabilities(request, held_out, kind):
     assert set(model.metrics) >= {"roc_auc", "pr_auc", "f1_score", "tp", "fn"}
 
 
+def test_fit_on_oversampled_rows_needs_no_weights(table, held_out):
+    rows = assign_split(train.labelled(table), "customer_id").filter("split = 'train'")
+    model = train.fit_oversampled(rows, "post_call", "interaction_id", settings=QUICK)
+    assert len(model.background) == len(model.feature_names)
+    assert roc_auc(train.add_probability(model.model, held_out, "score")).first().roc_auc > 0.6
+
+
+@pytest.mark.parametrize("kind", ["linear", "trees"])
+def test_explained_scores_hold_in_one_row(request, spark, sf, kind):
+    model = request.getfixturevalue(kind)
+    leads = fx.leads_raw(spark, sf).drop("y", "event_ts")
+    plain = {r.src_key: r for r in lakehouse.batch_score(leads, model).collect()}
+    rows = lakehouse.batch_score(leads, model, explain=True).collect()
+    assert len(rows) == len(plain)
+    for r in rows:
+        assert sum(r.attributions) + r.base_margin == pytest.approx(r.margin, abs=1e-6)
+        assert r.probability_yes == pytest.approx(plain[r.src_key].probability_yes, abs=1e-12) and r.decision_threshold == model.threshold
+        assert [d.impact for d in r.positive_drivers] == sorted((d.impact for d in r.positive_drivers), reverse=True)
+    target = f"{shared_dir(spark, 'scored')}.parquet"
+    source = shared_dir(spark, "leads")
+    leads.limit(20).write.parquet(source)
+    lakehouse.score_file(spark, source, target, model, explain=True)
+    assert all(r.positive_drivers.startswith("[") for r in spark.read.parquet(target).collect())
+
+
 def test_pre_call_model_does_not_see_the_duration(table):
     model = train.train_model(table, "pre_call", train.LOGISTIC, QUICK)
     assert "duration" not in model.feature_names

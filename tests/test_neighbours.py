@@ -97,7 +97,7 @@ def test_smote_lifts_all_classes_from_complete_rows(spark):
 
 def test_one_row_is_cut_into_pieces(spark):
     df = spark.createDataFrame([(1, 2500), (2, 1), (3, 0)], "id long, n int")
-    got = prep._numbered(df, F.col("n"), 2_000_000, "id").select("id", "j").collect()
+    got = prep.numbered(df, F.col("n"), 2_000_000, "id").select("id", "j").collect()
     assert sorted(r.j for r in got if r.id == 1) == list(range(1, 2501)) and [r.j for r in got if r.id == 2] == [1]
     assert not any(r.id == 3 for r in got)
 

@@ -9,6 +9,7 @@ from leadlake.operators import drift
 from leadlake.plans import fixtures as fx
 from leadlake.plans import lakehouse
 from leadlake.session import shared_dir
+from leadlake.sources.snapshots import Draft, Store
 from leadlake.streaming import jobs
 
 
@@ -48,6 +49,43 @@ def test_window_counts_equal_batch(spark, files):
     assert rows(jobs.latest_counts(spark, path, "window_start timestamp, outcome string")) == rows(want)
 
 
+def test_count_log_is_merged_and_replayed_once(spark, monkeypatch):
+    """Twenty batches leave few parts and folders; a batch that fails before it is published is added once."""
+    monkeypatch.setattr(jobs, "MERGE", 3)
+    source, path, checkpoint = shared_dir(spark, "in"), shared_dir(spark, "counts"), shared_dir(spark, "checkpoint")
+    schema = "customer_id string, feedback_id long"
+    for i in range(20):
+        spark.createDataFrame([(f"c{i % 4}", i)], schema).coalesce(1).write.mode("append").parquet(source)
+    events = stream(spark, source, spark.read.parquet(source).schema)
+    publish, seen = Draft.publish, []
+
+    def once_failing(draft):
+        seen.append(draft.base.version)
+        if len(seen) == 8:
+            raise RuntimeError("lost")
+        return publish(draft)
+
+    monkeypatch.setattr(Draft, "publish", once_failing)
+    with pytest.raises(Exception, match="lost"):
+        jobs.drain(jobs.keep_totals(events, path, checkpoint))
+    jobs.drain(jobs.keep_totals(events, path, checkpoint))
+    assert {r.customer_id: r.n for r in jobs.latest_totals(spark, path).collect()} == {f"c{i}": 5 for i in range(4)}
+    store = Store(path)
+    last = store.latest(spark)
+    assert last.version == 20 and len(last.parts["log"]) <= 2 * 3 and len(store.versions(spark)) <= 4
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/data/log")
+    folders = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop)
+    holding = [f for f in folders if len(list(hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(f.getPath())))]
+    assert len(holding) <= 2 * 3 + 2 * 4 + 1
+
+
+def test_a_new_checkpoint_is_refused_on_an_old_folder(spark, files):
+    path = shared_dir(spark, "totals")
+    jobs.drain(jobs.keep_totals(feedback(spark, files), path, shared_dir(spark, "checkpoint")))
+    with pytest.raises(ValueError, match="another stream"):
+        jobs.keep_totals(feedback(spark, files), path, shared_dir(spark, "checkpoint"))
+
+
 def test_totals_are_exact_over_batches(spark, files):
     path = shared_dir(spark, "totals")
     jobs.drain(jobs.keep_totals(feedback(spark, files), path, shared_dir(spark, "checkpoint")))
