@@ -71,7 +71,7 @@ def test_explained_scores_hold_in_one_row(request, spark, sf, kind):
         assert r.probability_yes == pytest.approx(plain[r.src_key].probability_yes, abs=1e-12) and r.decision_threshold == model.threshold
         assert [d.impact for d in r.positive_drivers] == sorted((d.impact for d in r.positive_drivers), reverse=True)
     target = f"{shared_dir(spark, 'scored')}.parquet"
-    source = shared_dir(spark, "leads")
+    source = f"{shared_dir(spark, 'leads')}.parquet"
     leads.limit(20).write.parquet(source)
     lakehouse.score_file(spark, source, target, model, explain=True)
     assert all(r.positive_drivers.startswith("[") for r in spark.read.parquet(target).collect())

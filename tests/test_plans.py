@@ -10,9 +10,10 @@ from leadlake.operators import conform, contracts, evaluate, marts, ranks
 from leadlake.plans import fixtures as fx
 from leadlake.plans.q_tables import ORDER
 
+# Queries that fit a model (``_hold``) are no plain projections or aggregates.
 LIGHT = [n for n in sorted(entry.oracle_sql()) if n.split("_")[0] in (
     "col", "str", "cast", "flt", "null", "lead", "bkt", "feat", "hash", "id", "enc", "num", "ctr", "slv", "jn", "mart",
-    "agg", "prof", "bin", "rate", "corr", "ev", "sc", "fair", "pii") and not n.startswith("str_") or n in ("str_clean_all", "str_clean_lead")]
+    "agg", "prof", "bin", "rate", "corr", "ev", "sc", "fair", "pii") and not n.startswith("str_") and not n.endswith("_hold") or n in ("str_clean_all", "str_clean_lead")]
 
 
 def plan(df) -> str:
