@@ -1,12 +1,13 @@
 """Attribution of scores to features.
 
 Linear models: weight times distance from the training mean, as column expressions. Trees: the
-path-dependent Shapley values of each tree (Lundberg et al., 2020), computed per Arrow batch.
+path-dependent Shapley values of each tree (Lundberg et al., 2020), looked up per Arrow batch in tables made once per model.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from math import factorial
 
 import numpy as np
@@ -19,6 +20,8 @@ from leadlake.operators.train import LOGISTIC, TrainedModel
 from leadlake.session import shared_dir
 
 MAX_TREE_NODES = 2_000_000
+#: Splits of one group of leaves; its tables have two to that power entries.
+_GROUP_BITS = 9
 
 
 def linear_attributions(trained: TrainedModel, df: DataFrame, name: str = "attributions") -> DataFrame:
@@ -90,28 +93,103 @@ def _subset_weights(size: int) -> np.ndarray:
     return np.array([factorial(s) * factorial(size - s - 1) / factorial(size) for s in range(size)])
 
 
+def _leaf_values(ones: np.ndarray, shares: Sequence[float]) -> np.ndarray:
+    """Shapley value of each condition of a leaf worth 1, by condition and case. The weighted coalition sums are coefficients of
+    prod_j (share_j + one_j * t) over the other conditions of the path."""
+    size, cases = ones.shape
+    weight, out = _subset_weights(size), np.empty(ones.shape)
+    for i in range(size):
+        poly = np.zeros((size, cases))
+        poly[0] = 1.0
+        for j in range(size):
+            if j != i:
+                shifted = np.vstack([np.zeros((1, cases)), poly[:-1]])
+                poly = poly * shares[j] + shifted * ones[j]
+        out[i] = (ones[i] - shares[i]) * (weight @ poly)
+    return out
+
+
 def _tree_shap(x: np.ndarray, paths: list[tuple]) -> np.ndarray:
-    """Shapley values of all rows at once. Per leaf, the weighted coalition sums are coefficients of
-    prod_j (zero_j + one_j * t) over the other features of the path."""
+    """Shapley values of all rows at once, leaf by leaf."""
     phi = np.zeros(x.shape)
     for value, conditions in paths:
-        size = len(conditions)
-        if size == 0:
-            continue
-        weight = _subset_weights(size)
-        ones = np.stack([((x[:, f] > lo) & (x[:, f] <= hi)).astype(float) for f, _, lo, hi in conditions])
-        zeros = [share for _, share, _, _ in conditions]
-        for i, (feature, share, _, _) in enumerate(conditions):
-            poly = np.zeros((size, x.shape[0]))
-            poly[0] = 1.0
-            for j in range(size):
-                if j != i:
-                    shifted = np.vstack([np.zeros((1, x.shape[0])), poly[:-1]])
-                    poly = poly * zeros[j] + shifted * ones[j]
-            phi[:, feature] += value * (ones[i] - share) * (weight @ poly)
+        if conditions:
+            ones = np.stack([((x[:, f] > lo) & (x[:, f] <= hi)).astype(float) for f, _, lo, hi in conditions])
+            for (feature, *_), worth in zip(conditions, _leaf_values(ones, [c[1] for c in conditions])):
+                phi[:, feature] += value * worth
     return phi
 
 
+@dataclass(frozen=True)
+class LeafTables:
+    """Shapley values of groups of leaves by how a row meets their thresholds.
+
+    ``splits`` are the distinct (feature, threshold) of all groups. A group names its splits, at most ``_GROUP_BITS``; whether a
+    row is at or below each of them, read as a number, is the entry of the row in one table per feature. Leaves
+    with more splits than that are kept as paths.
+    """
+
+    splits: list[tuple[int, float]]
+    groups: list[tuple[list[int], list[tuple[int, np.ndarray]]]]
+    paths: list[tuple]
+
+
+def _group_table(leaves: list[tuple], at: dict[tuple[int, float], int]) -> list[tuple[int, np.ndarray]]:
+    """(feature, value by pattern) of some leaves; ``at`` gives the place of each split, the first being the highest bit."""
+    patterns = np.arange(1 << len(at))
+    below = {split: (patterns >> (len(at) - 1 - place)) & 1 == 1 for split, place in at.items()}
+    tables: dict[int, np.ndarray] = {}
+    for value, conditions in leaves:
+        ones = np.stack([below.get((f, hi), True) & ~below.get((f, lo), np.zeros(len(patterns), bool)) for f, _, lo, hi in conditions])
+        for (feature, *_), worth in zip(conditions, _leaf_values(ones.astype(float), [c[1] for c in conditions])):
+            tables[feature] = tables.get(feature, 0.0) + value * worth
+    return list(tables.items())
+
+
+def leaf_tables(paths: list[tuple]) -> LeafTables:
+    """Neighbouring leaves share most of their splits and go into one group until it is full."""
+    known: dict[tuple[int, float], int] = {}
+    groups, single = [], []
+    leaves: list[tuple] = []
+    at: dict[tuple[int, float], int] = {}
+
+    def close() -> None:
+        if leaves:
+            groups.append(([known.setdefault(split, len(known)) for split in at], _group_table(leaves, at)))
+
+    for path in paths:
+        own = list(dict.fromkeys((f, b) for f, _, lo, hi in path[1] for b in (lo, hi) if np.isfinite(b)))
+        if len(own) > _GROUP_BITS:
+            single.append(path)
+        elif path[1]:
+            if len(at) + sum(split not in at for split in own) > _GROUP_BITS:
+                close()
+                leaves, at = [], {}
+            for split in own:
+                at.setdefault(split, len(at))
+            leaves.append(path)
+    close()
+    return LeafTables(list(known), groups, single)
+
+
+def _table_shap(x: np.ndarray, tables: LeafTables) -> np.ndarray:
+    """The same values as ``_tree_shap``, looked up. Coordinates are finite, as the assembler refuses others."""
+    columns = np.ascontiguousarray(x.T)
+    below = np.empty((len(tables.splits), len(x)), np.uint16)
+    for i, (feature, threshold) in enumerate(tables.splits):
+        np.less_equal(columns[feature], threshold, out=below[i], casting="unsafe")
+    phi, pattern = np.zeros(columns.shape), np.empty(len(x), np.uint16)
+    for splits, by_feature in tables.groups:
+        pattern[:] = 0
+        for split in splits:
+            np.left_shift(pattern, 1, out=pattern)
+            np.bitwise_or(pattern, below[split], out=pattern)
+        entry = pattern.astype(np.intp)
+        for feature, values in by_feature:
+            phi[feature] += values[entry]
+    return phi.T + _tree_shap(x, tables.paths) if tables.paths else np.ascontiguousarray(phi.T)
+
+
 def _leaf_table(trained: TrainedModel, spark: SparkSession) -> tuple[list[tuple], float]:
     """Leaf paths on the log-odds scale and the margin of an unknown row. The ensemble's size is checked first."""
     model = trained.classifier
@@ -129,7 +207,7 @@ def tree_attributions(trained: TrainedModel, df: DataFrame, key: str, name: str
     are never gathered.
     """
     paths, base = _leaf_table(trained, df.sparkSession)
-    shared = df.sparkSession.sparkContext.broadcast(paths)
+    shared = df.sparkSession.sparkContext.broadcast(leaf_tables(paths))
     encoded = trained.model.transform(df).select(
         F.col(key), vector_to_array("features").alias("x"),
         F.log(vector_to_array("probability")[1] / vector_to_array("probability")[0]).alias("margin"),
@@ -139,7 +217,7 @@ def tree_attributions(trained: TrainedModel, df: DataFrame, key: str, name: str
     def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                phi = _tree_shap(np.stack(batch["x"].to_numpy()), shared.value)
+                phi = _table_shap(np.stack(batch["x"].to_numpy()), shared.value)
                 yield pd.DataFrame({key: batch[key], name: list(phi), "base_margin": base, "margin": batch["margin"]})
 
     return encoded.mapInPandas(
@@ -160,11 +238,11 @@ def explained(trained: TrainedModel, df: DataFrame, probability: str = "probabil
         margin = vector_to_array("rawPrediction")[1]
     else:
         paths, base = _leaf_table(trained, df.sparkSession)
-        shared = df.sparkSession.sparkContext.broadcast(paths)
+        shared = df.sparkSession.sparkContext.broadcast(leaf_tables(paths))
 
         @F.pandas_udf("array<double>")
         def shapley(x: pd.Series) -> pd.Series:
-            return pd.Series(list(_tree_shap(np.stack(x.to_numpy()), shared.value)) if len(x) else [], dtype="object")
+            return pd.Series(list(_table_shap(np.stack(x.to_numpy()), shared.value)) if len(x) else [], dtype="object")
 
         values, margin = shapley(vector_to_array("features")), F.log(odds[1] / odds[0])
     rows = encoded.select(*df.columns, odds[1].alias(probability), values.alias("attributions"),
@@ -177,15 +255,22 @@ def explained(trained: TrainedModel, df: DataFrame, probability: str = "probabil
 def top_drivers(df: DataFrame, names: Sequence[str], k: int = 3, column: str = "attributions") -> DataFrame:
     """Adds ``positive_drivers`` and ``negative_drivers``: up to k {feature, impact} structs each."""
     labels = F.array(*[F.lit(n) for n in names])
+    # Rounding a double is dear. It keeps the order, so only what lies within a rounding step of the k-th can be among the first k.
+    pairs = F.zip_with(labels, F.col(column), lambda n, v: F.struct(n.alias("feature"), v.alias("v")))
+    ordered = F.sort_array(F.filter(column, lambda v: v.isNotNull()), asc=False)
 
     def strongest(sign: int) -> Column:
+        kth = F.get("_ordered", F.lit(k - 1)) if sign > 0 else -F.get("_ordered", F.size("_ordered") - k)
+        least = F.coalesce(kth, F.lit(float("-inf"))) - 2e-4
+        near = F.filter("_pairs", lambda p: (p["v"] * sign > 0) & (p["v"] * sign >= least))
         # The struct sorts by strength first; names break ties.
-        pairs = F.zip_with(labels, F.col(column), lambda n, v: F.struct(
-            (F.round(v, 4) * -sign).alias("order"), n.alias("feature"), F.round(v, 4).alias("impact")))
-        kept = F.filter(pairs, lambda p: p["impact"] * sign > 0)
-        return F.transform(F.slice(F.array_sort(kept), 1, k), lambda p: F.struct(p["feature"], p["impact"]))
+        rounded = F.transform(near, lambda p: F.struct(
+            (F.round(p["v"], 4) * -sign).alias("order"), p["feature"].alias("feature"), F.round(p["v"], 4).alias("impact")))
+        kept = F.filter(rounded, lambda p: p["impact"] * sign > 0)
+        return F.transform(F.slice(F.sort_array(kept), 1, k), lambda p: F.struct(p["feature"], p["impact"]))
 
-    return df.withColumns({"positive_drivers": strongest(1), "negative_drivers": strongest(-1)})
+    drivers = {"positive_drivers": strongest(1), "negative_drivers": strongest(-1)}
+    return df.withColumns({"_pairs": pairs, "_ordered": ordered}).withColumns(drivers).drop("_pairs", "_ordered")
 
 
 def global_importance(df: DataFrame, names: Sequence[str], n: int = 10, column: str = "attributions") -> DataFrame:

@@ -200,3 +200,46 @@ def test_daily_run_reports_both_modes(spark, sf):
     rows = lakehouse.run_daily(fx.leads_dup(spark, sf), layers, "b1", "salt", train.LOGISTIC, ORDER, QUICK).collect()
     assert {r.mode for r in rows} == {"pre_call", "post_call"}
     assert all(r.deidentified_tokens == r.silver_customers and r.feature_records == r.silver_interactions for r in rows)
+
+
+def random_tree(rng, depth, features):
+    """Nodes of a full tree in the form that is read back from a saved one; features meet again on the way down."""
+    nodes = {}
+
+    def grow(left, cover):
+        here = len(nodes)
+        nodes[here] = (float(rng.normal()), cover, -1, -1, -1, None)
+        if left:
+            share, at = float(rng.uniform(0.2, 0.8)), (-np.inf, float(np.round(rng.normal(), 1)))
+            nodes[here] = (0.0, cover, grow(left - 1, cover * share), grow(left - 1, cover * (1 - share)), int(rng.integers(features)), at)
+        return here
+
+    grow(depth, 1000.0)
+    return nodes
+
+
+def test_looked_up_attributions_equal_those_leaf_by_leaf():
+    rng = np.random.default_rng(5)
+    trees = {0: random_tree(rng, 11, 12), 1: random_tree(rng, 0, 12), **{t: random_tree(rng, 5, 12) for t in range(2, 12)}}
+    paths = explain._tree_paths(trees, [0.3] * len(trees))
+    tables = explain.leaf_tables(paths)
+    shallow = [p for p in paths if len(p[1]) <= 5]
+    assert tables.paths and len(explain.leaf_tables(shallow).groups) * 2 < len(shallow)  # deep leaves stay paths, others share tables
+    x = np.round(rng.normal(size=(400, 12)), 1)  # many values lie on a threshold
+    assert np.abs(explain._table_shap(x, tables) - explain._tree_shap(x, paths)).max() < 1e-12
+
+
+def test_drivers_by_rounded_strength_then_name(spark):
+    rng = np.random.default_rng(6)
+    names = [f"f{i:02d}" for i in rng.permutation(40)]
+    rows = [[float(v) for v in np.round(rng.normal(size=40), 3) + rng.integers(-1, 2, 40) * 4e-5] for _ in range(60)]
+    rows += [[0.0] * 40, [4e-5] * 40, [-0.5] * 40, [1e-3, *[0.0] * 39], [None, *[2.0] * 39]]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "id long, attributions array<double>")
+    for k in (1, 3, 50):
+        for r in explain.top_drivers(df, names, k).collect():
+            shown = [(float(f"{v:.4f}"), n) for v, n in zip(rows[r.id], names) if v is not None]
+            for sign, got in ((1, r.positive_drivers), (-1, r.negative_drivers)):
+                want = sorted((-v * sign, n) for v, n in shown if v * sign > 0)[:k]
+                assert [(d.impact, d.feature) for d in got] == [(-v * sign, n) for v, n in want]
+    plan = explain.top_drivers(df, names)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_pairs" in plan and "_ordered" in plan  # computed once, not once per list and entry
