@@ -274,6 +274,27 @@ def test_templates_that_rewrite_history_are_detected():
     assert seen[:2] == [-1, -1] and seen[2] >= 0 and seen[3] >= 0
 
 
+def test_a_template_sees_the_whole_conversation_however_long():
+    def late(turns):
+        return ("long:" if len(turns) > 100 else "") + "".join(f"[{r}]{x}" for r, x in turns)
+
+    spans = chat.Spans(late)
+    seen = [spans.add(("u", f"text {i}")) for i in range(120)]
+    assert [s["rewritten_from"] for s in seen] == [-1] * 100 + [0] + [-1] * 19
+    assert seen[-1]["end"] == len(late([("u", f"text {i}") for i in range(120)]))
+
+
+def test_a_stated_context_is_held_from_the_first_turn():
+    def answered(turns):  # a span depends on the turn before
+        return "".join(f"<{turns[i - 1][1] if i else ''}>[{r}]{x}" for i, (r, x) in enumerate(turns))
+
+    for template, context in ((answered, 1), (answered, 3), (chat.render, None)):
+        short, whole = chat.Spans(template, context), chat.Spans(template, 1000)
+        for i in range(80):
+            assert short.add(("u", f"text {i}")) == whole.add(("u", f"text {i}"))
+            assert len(short.turns) == min(i + 1, context or 0)
+
+
 # --- Decontamination ---------------------------------------------------------------------
 
 def test_leaks_within_edits(spark, prose):
