@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -142,6 +145,15 @@ def train_model(features: DataFrame, mode: str, model_type: str = TREES, setting
     return replace(trained, threshold=info["optimal_threshold"], metrics=metrics, threshold_info=info)
 
 
+def train_models(features: DataFrame, modes: Sequence[str], model_type: str = TREES, settings: Settings = DEFAULT) -> dict[str, TrainedModel]:
+    """One model per mode, fitted side by side: a fit is hundreds of short jobs, and each fills the gaps of the other."""
+    if not modes:
+        return {}
+    fits = [inheritable_thread_target(features.sparkSession)(lambda m=m: train_model(features, m, model_type, settings)) for m in modes]
+    with ThreadPool(len(fits)) as pool:
+        return dict(zip(modes, pool.map(lambda fit: fit(), fits)))
+
+
 def coefficients(trained: TrainedModel) -> list[tuple[str, float]]:
     """(feature, weight) of a linear model, largest first."""
     if trained.model_type != LOGISTIC:
@@ -152,5 +164,5 @@ def coefficients(trained: TrainedModel) -> list[tuple[str, float]]:
 
 __all__ = [
     "LOGISTIC", "TREES", "TrainedModel", "add_probability", "class_weights", "classifier", "coefficients",
-    "encoding_stages", "feature_names", "fit_model", "fit_oversampled", "labelled", "train_model",
+    "encoding_stages", "feature_names", "fit_model", "fit_oversampled", "labelled", "train_model", "train_models",
 ]

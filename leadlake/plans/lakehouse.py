@@ -22,7 +22,7 @@ from leadlake.operators.privacy import deidentify
 from leadlake.operators.registry import is_model_available, load_active_model, save_model
 from leadlake.operators.score import add_decision, dialer_queue, route_mode
 from leadlake.operators.train import (
-    LOGISTIC, TREES, TrainedModel, add_probability, labelled, train_model,
+    LOGISTIC, TREES, TrainedModel, add_probability, labelled, train_model, train_models,
 )
 from leadlake.operators.prep import assign_split
 from leadlake.schemas import LEADS, as_text
@@ -210,7 +210,11 @@ def attributions(trained: TrainedModel, df: DataFrame, key: str) -> DataFrame:
 def train_and_save(features: DataFrame, layers: Layers, mode: str, model_type: str = TREES,
                    settings: Settings = DEFAULT, explain: bool = True, version: str | None = None) -> TrainedModel:
     """Train one mode and register it, with the global importance over its training rows."""
-    trained = train_model(features, mode, model_type, settings)
+    return _save(features, layers, train_model(features, mode, model_type, settings), settings, explain, version)
+
+
+def _save(features: DataFrame, layers: Layers, trained: TrainedModel, settings: Settings, explain: bool,
+          version: str | None = None) -> TrainedModel:
     importance = []
     if explain:
         train = assign_split(labelled(features), "customer_id", settings.split).filter("split = 'train'")
@@ -222,7 +226,9 @@ def train_and_save(features: DataFrame, layers: Layers, mode: str, model_type: s
 
 def train_modes(features: DataFrame, layers: Layers, model_type: str = TREES, settings: Settings = DEFAULT,
                 explain: bool = True) -> dict[str, TrainedModel]:
-    return {m: train_and_save(features, layers, m, model_type, settings, explain) for m in ("pre_call", "post_call")}
+    """Both modes, fitted side by side and registered one after the other."""
+    models = train_models(features, MODES, model_type, settings)
+    return {m: _save(features, layers, trained, settings, explain) for m, trained in models.items()}
 
 
 def load_models(spark: SparkSession, layers: Layers) -> dict[str, TrainedModel]:

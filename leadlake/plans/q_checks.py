@@ -167,7 +167,7 @@ FROM leads_raw"""
 
 
 def _routed(spark, sf, rows):
-    thresholds = {m: q_models.trained(spark, sf, m, train.LOGISTIC).threshold for m in ("pre_call", "post_call")}
+    thresholds = {m: model.threshold for m, model in q_models.trained_modes(spark, sf, train.LOGISTIC).items()}
     own = F.when(F.col("mode") == "pre_call", thresholds["pre_call"]).otherwise(thresholds["post_call"])
     return rows.select("src_key", "customer_id", "mode", _follows(_known(), own).alias("follows"))
 
@@ -196,7 +196,7 @@ def _explained(spark, sf, rows):
 
 
 def _models(spark, sf, kind):
-    return {m: q_models.trained(spark, sf, m, kind) for m in ("pre_call", "post_call")}
+    return q_models.trained_modes(spark, sf, kind)
 
 
 @query("sc_explained_trees_hold", _EXPLAINED, ("leads_raw",))

@@ -36,6 +36,16 @@ def trained(spark, sf, mode: str, model_type: str) -> train.TrainedModel:
     return _MODELS[key]
 
 
+def trained_modes(spark, sf, model_type: str) -> dict[str, train.TrainedModel]:
+    """The models of both modes; those that are still missing are fitted side by side."""
+    keys = {m: (spark.sparkContext.applicationId, sf, m, model_type) for m in lakehouse.MODES}
+    missing = [m for m, key in keys.items() if key not in _MODELS]
+    if missing:
+        made = train.train_models(spark.read.parquet(lake(spark, sf).features), missing, model_type)
+        _MODELS.update({keys[m]: model for m, model in made.items()})
+    return {m: _MODELS[key] for m, key in keys.items()}
+
+
 def _held_out(spark, sf):
     rows = train.labelled(spark.read.parquet(lake(spark, sf).features))
     return assign_split(rows, "customer_id").filter("split = 'test'")
@@ -89,8 +99,7 @@ def ml_registry(spark, sf):
 @query("ml_dual_mode")
 def ml_dual_mode(spark, sf):
     rows = []
-    for mode in ("pre_call", "post_call"):
-        model = trained(spark, sf, mode, train.TREES)
+    for mode, model in trained_modes(spark, sf, train.TREES).items():
         rows.append((mode, len(model.feature_names), "duration" in model.feature_names, model.threshold,
                      model.metrics["roc_auc"], model.metrics["pr_auc"], model.metrics["f1_score"]))
     return spark.createDataFrame(
@@ -144,8 +153,7 @@ def sc_batch_score(spark, sf):
 
 @query("sc_route_scores")
 def sc_route_scores(spark, sf):
-    models = {m: trained(spark, sf, m, train.LOGISTIC) for m in ("pre_call", "post_call")}
-    return lakehouse.score_leads(_new_leads(spark, sf), models).select("mode", *_OUTPUT)
+    return lakehouse.score_leads(_new_leads(spark, sf), trained_modes(spark, sf, train.LOGISTIC)).select("mode", *_OUTPUT)
 
 
 @query("sc_score_file")

@@ -9,7 +9,7 @@ from leadlake.operators.score import route_mode
 from leadlake.plans import fixtures as fx
 from leadlake.plans import lakehouse
 from leadlake.plans.catalogue import query, tidy
-from leadlake.plans.q_models import _OUTPUT, trained
+from leadlake.plans.q_models import _OUTPUT, trained_modes
 from leadlake.plans.q_monitor import _psi
 from leadlake.session import shared_dir
 from leadlake.sources import sinks
@@ -118,7 +118,7 @@ def str_drift(spark, sf):
 
 @query("str_score")
 def str_score(spark, sf):
-    models = {m: trained(spark, sf, m, train.LOGISTIC) for m in ("pre_call", "post_call")}
+    models = trained_modes(spark, sf, train.LOGISTIC)
     path = shared_dir(spark, "stream-scores")
     jobs.drain(jobs.score(_leads_stream(spark, sf).drop("y"), models, path, shared_dir(spark, "checkpoint")))
     return spark.read.parquet(path).select("mode", *_OUTPUT)
