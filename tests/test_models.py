@@ -83,6 +83,14 @@ def test_pre_call_model_does_not_see_the_duration(table):
     assert len(model.feature_names) == len(model.background)
 
 
+def test_modes_fitted_side_by_side_equal_a_fit_alone(table, linear):
+    models = train.train_models(table, lakehouse.MODES, train.LOGISTIC, QUICK)
+    assert list(models) == list(lakehouse.MODES) and all(models[m].mode == m for m in models)
+    assert models["post_call"].threshold == linear.threshold and models["post_call"].feature_names == linear.feature_names
+    assert models["post_call"].metrics["roc_auc"] == pytest.approx(linear.metrics["roc_auc"], abs=1e-9)
+    assert train.train_models(table, [], train.LOGISTIC, QUICK) == {}
+
+
 def test_unknown_kinds_are_refused(table):
     with pytest.raises(ValueError):
         train.train_model(table, "post_call", "forest", QUICK)
