@@ -2,13 +2,14 @@
 
 1. Equal points become one location that keeps the ids its neighbours may need, so a point held by a third of all rows is one
    row from there on.
-2. Space is cut at sampled medians until no cell holds more than ``CELL_ROWS`` locations. Cuts only steer balance.
+2. Space is cut at gaps and medians of samples until no cell holds more than ``CELL_ROWS`` locations. Cuts only steer balance.
 3. Inside its own cell every location finds its nearest ids; the last of them bounds a ball.
-4. Every location visits the other cells which that ball meets. Visitors of a popular cell are dealt out in chunks, each
-   with a copy of the cell. What the visits bring is merged with what was found at home.
+4. Every location visits the other cells whose box (the bounds of their locations) that ball meets. Visitors of a popular cell
+   are dealt out in chunks, each with a copy of the cell. What the visits bring is merged with what was found at home.
 
-Neighbours are ordered by (squared distance, hash of the id, id); the result equals the comparison of all pairs. The driver holds
-the cuts: one number and one dimension per cell.
+Inside a cell a matrix product, with a bound on its rounding, tells which pairs need their distance added up. Neighbours are
+ordered by (squared distance, hash of the id, id); the result equals the comparison of all pairs. The driver holds the cuts and
+the boxes: one number and one dimension per cell, and two numbers per cell and dimension.
 """
 
 from __future__ import annotations
@@ -18,15 +19,21 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlake.session import shared_dir
 
 #: Locations of one cell, visitors of one chunk, and cells that one cell is cut into at a time.
-CELL_ROWS, CHUNK_ROWS, FAN = 2048, 8192, 1024
+CELL_ROWS, CHUNK_ROWS, FAN = 512, 4096, 1024
 _SAMPLES = 48
+#: Sampled rows that choose one cut, the least share of them on either side of a gap, and a gap's least share of the width.
+_CHOOSERS, _LEAST, _GAP = 2048, 1 / 32, 1 / 8
+#: Pairs that are compared at a time.
+_PAIRS = 1 << 19
 _FOUND = "array<struct<d: double, h: long, id: string, x: array<double>>>"
+_ARROW = pa.list_(pa.struct([("d", pa.float64()), ("h", pa.int64()), ("id", pa.string()), ("x", pa.list_(pa.float64()))]))
 
 
 @dataclass
@@ -55,27 +62,48 @@ class Cuts:
         return np.array(self.dim), np.array(self.cut), np.array(self.left), np.array(self.right)
 
 
+def _choose(rows: np.ndarray) -> tuple[int, float] | None:
+    """Dimension and value to cut at; None if all rows are one point.
+
+    A wide gap keeps the sides apart whatever the reach of a ball, as a 0/1 input does; without one the widest dimension is cut at
+    its median.
+    """
+    values = np.sort(rows, axis=0)
+    width, n = values[-1] - values[0], len(values)
+    gaps, share = np.diff(values, axis=0), (np.arange(1, n) / n)[:, None]
+    wide = (gaps >= _GAP * width) & (gaps > 0) & (share >= _LEAST) & (share <= 1 - _LEAST)
+    if wide.any():
+        at, dim = np.unravel_index(np.argmax(np.where(wide, gaps * np.sqrt(share * (1 - share)), 0.0)), wide.shape)
+        return int(dim), float(values[at + 1, dim])
+    dim = int(np.argmax(width))
+    values = values[:, dim]
+    cut = values[n // 2]
+    if cut == values[0]:  # everything below the median is one value: cut behind it
+        above = values[values > cut]
+        if not len(above):
+            return None
+        cut = above[0]
+    return dim, float(cut)
+
+
 def split_sample(points: np.ndarray, parts: int) -> list[tuple[int, float, int, int]]:
-    """Nodes that cut the sample into about ``parts`` equal parts, the widest dimension first."""
+    """Nodes that cut the sample into about ``parts`` parts of like size."""
     nodes: list[tuple[int, float, int, int]] = [(-1, 0.0, -1, -1)]
     todo = [(0, points, parts)]
     while todo:
         node, rows, parts = todo.pop()
         if parts < 2 or len(rows) < 2:
             continue
-        dim = int(np.argmax(rows.max(axis=0) - rows.min(axis=0)))
-        values = np.sort(rows[:, dim])
-        cut = values[len(values) // 2]
-        if cut == values[0]:  # everything below the median is one value: cut behind it
-            above = values[values > cut]
-            if not len(above):
-                continue
-            cut = above[0]
+        chosen = _choose(rows[::-(-len(rows) // _CHOOSERS)])
+        if chosen is None:
+            continue
+        dim, cut = chosen
         below = rows[:, dim] < cut
         at = len(nodes)
         nodes += [(-1, 0.0, -1, -1)] * 2
-        nodes[node] = (dim, float(cut), at, at + 1)
-        todo += [(at, rows[below], parts // 2), (at + 1, rows[~below], parts - parts // 2)]
+        nodes[node] = (dim, cut, at, at + 1)
+        first = min(parts - 1, max(1, round(parts * below.mean())))
+        todo += [(at, rows[below], first), (at + 1, rows[~below], parts - first)]
     return nodes
 
 
@@ -90,64 +118,102 @@ def leaf_of(tree: tuple[np.ndarray, ...], points: np.ndarray) -> np.ndarray:
     return node
 
 
-def leaves_met(tree: tuple[np.ndarray, ...], points: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, leaf) of every leaf whose box is within ``reach`` (squared) of a row's point."""
+def _cut_boxes(tree: tuple[np.ndarray, ...], dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds that the cuts give each node."""
     dim, cut, left, right = tree
+    low, high = np.full((len(dim), dims), -np.inf), np.full((len(dim), dims), np.inf)
+    for node in np.flatnonzero(dim >= 0):  # children come behind their parent
+        for child in (left[node], right[node]):
+            low[child], high[child] = low[node], high[node]
+        high[left[node], dim[node]] = low[right[node], dim[node]] = cut[node]
+    return low, high
+
+
+def leaves_met(tree: tuple[np.ndarray, ...], points: np.ndarray, reach: np.ndarray,
+               boxes: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, leaf) of every leaf whose box is within ``reach`` (squared) of a row's point. Boxes are those of the cuts, or the
+    lower and upper bounds of what each node holds."""
+    dim, _, left, right = tree
+    low, high = boxes or _cut_boxes(tree, points.shape[1])
     limit = reach * (1 + 1e-9)  # the box distance is rounded otherwise than distances: never miss a tie
     out: list[tuple[np.ndarray, int]] = []
-    # Per node: the rows that come along, their offsets to the node's box by dimension, and the squared distance.
-    todo = [(0, np.arange(len(points)), np.zeros(points.shape), np.zeros(len(points)))]
+    todo = [(0, np.arange(len(points)))]
     while todo:
-        node, rows, offsets, away = todo.pop()
-        if not len(rows):
-            continue
-        if dim[node] < 0:
+        node, rows = todo.pop()
+        here = points[rows]
+        with np.errstate(over="ignore"):
+            off = np.maximum(np.maximum(low[node] - here, here - high[node]), 0.0)
+            rows = rows[(off * off).sum(axis=1) <= limit[rows]]
+        if len(rows) and dim[node] < 0:
             out.append((rows, node))
-            continue
-        d = dim[node]
-        gap = points[rows, d] - cut[node]
-        for child, outside in ((left[node], gap >= 0), (right[node], gap < 0)):
-            further = np.where(outside, np.maximum(np.abs(gap), offsets[:, d]), offsets[:, d])
-            there = away - offsets[:, d] ** 2 + further ** 2
-            near = there <= limit[rows]
-            moved = offsets[near].copy()
-            moved[:, d] = further[near]
-            todo.append((child, rows[near], moved, there[near]))
+        elif len(rows):
+            todo += [(left[node], rows), (right[node], rows)]
     if not out:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     return np.concatenate([r for r, _ in out]), np.concatenate([np.full(len(r), n) for r, n in out])
 
 
-def _nearest(queries: np.ndarray, bound: np.ndarray, cell: pd.DataFrame, wanted: int) -> list[list[dict]]:
-    """Per query the ``wanted`` nearest ids of the cell within its bound, by comparison with the whole cell."""
-    places = np.stack(cell["x"].to_numpy())
-    counts = cell["h"].map(len).to_numpy()
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """A column of equally long lists as a matrix."""
+    flat = np.concatenate([np.empty(0), *[c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks]])
+    return flat.reshape(len(column), -1)
+
+
+def _close_pairs(queries: np.ndarray, bound: np.ndarray, places: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query, place) of all pairs that can be among the query's ``wanted`` nearest places within its bound, and few others."""
+    centre = places.mean(axis=0)
+    q, p = queries - centre, places - centre
+    q2, p2 = (q * q).sum(axis=1), (p * p).sum(axis=1)
+    about = (q @ p.T) * -2.0
+    about += q2[:, None]
+    about += p2
+    # What the products may be off by, for each of the two sides of a comparison. Comparisons with what overflows keep the pair.
+    off = np.finfo(float).eps * (4 * places.shape[1] + 32) * (q2 + p2.max())
+    limit = bound * (1 + 1e-9) + off
+    far = about > limit[:, None]
+    if len(places) > wanted and far.size - np.count_nonzero(far) > 4 * wanted * len(q):
+        last = np.partition(about, wanted - 1, axis=1)[:, wanted - 1]
+        far = about > np.minimum(limit, last + 2 * off)[:, None]
+    return np.nonzero(~far)
+
+
+def _nearest(queries: np.ndarray, bound: np.ndarray, cell: pa.Table, wanted: int) -> tuple[np.ndarray, pa.Array]:
+    """Per query the ``wanted`` nearest ids of the cell within its bound: squared distance of the last one wanted (infinite if
+    there are fewer), and the lists."""
+    places, held = _matrix(cell["x"]), cell["h"].combine_chunks()
+    counts = np.diff(held.offsets.to_numpy())
     starts = np.cumsum(counts) - counts
-    hashes, names = np.concatenate(cell["h"].to_numpy()), np.concatenate(cell["ids"].to_numpy())
-    found: list[list[dict]] = []
-    step = max(1, (1 << 22) // max(len(places), 1))
+    hashes, ids = held.flatten().to_numpy(), cell["ids"].combine_chunks().flatten()
+    names = np.asarray(ids.to_pylist(), dtype=object)
+    found: list[tuple[np.ndarray, ...]] = []
+    step = max(1, _PAIRS // max(len(places), 1))
     for at in range(0, len(queries), step):
         q = queries[at:at + step]
-        gaps = np.zeros((len(q), len(places)))
-        for j in range(places.shape[1]):
-            gaps += (q[:, j, None] - places[None, :, j]) ** 2
-        last = min(wanted, len(places)) - 1
-        limit = np.minimum(np.partition(gaps, last, axis=1)[:, last] if len(places) > wanted else np.inf, bound[at:at + step])
-        rows, cols = np.nonzero(gaps <= limit[:, None])
+        with np.errstate(over="ignore", invalid="ignore"):
+            rows, cols = _close_pairs(q, bound[at:at + step], places, wanted)
+            d = np.zeros(len(rows))
+            for j in range(places.shape[1]):
+                d += (q[rows, j] - places[cols, j]) ** 2
+        near = d <= bound[at + rows]
+        rows, cols, d = rows[near], cols[near], d[near]
         reps = counts[cols]
         inner = np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
         entry = np.repeat(starts[cols], reps) + inner
-        rows, cols = np.repeat(rows, reps), np.repeat(cols, reps)
-        d = gaps[rows, cols]
+        rows, cols, d = np.repeat(rows, reps), np.repeat(cols, reps), np.repeat(d, reps)
         order = np.lexsort((names[entry].astype(str), hashes[entry], d, rows))
         rows, cols, entry, d = rows[order], cols[order], entry[order], d[order]
         first = np.searchsorted(rows, np.arange(len(q)))
         keep = np.arange(len(rows)) - first[rows] < wanted
-        lists: list[list[dict]] = [[] for _ in range(len(q))]
-        for r, c, e, gap in zip(rows[keep].tolist(), cols[keep].tolist(), entry[keep].tolist(), d[keep].tolist()):
-            lists[r].append({"d": gap, "h": int(hashes[e]), "id": names[e], "x": places[c]})
-        found += lists
-    return found
+        found.append((rows[keep] + at, cols[keep], entry[keep], d[keep]))
+    empty = np.empty(0, np.int64)
+    rows, cols, entry, d = (np.concatenate(part) for part in zip((empty, empty, empty, np.empty(0)), *found))
+    size = np.bincount(rows, minlength=len(queries))
+    ends = np.cumsum(size)
+    reach = np.full(len(queries), np.inf)
+    reach[size == wanted] = d[ends[size == wanted] - 1]
+    entries = pa.StructArray.from_arrays(
+        [pa.array(d), pa.array(hashes[entry]), ids.take(pa.array(entry)), cell["x"].combine_chunks().take(pa.array(cols))], ["d", "h", "id", "x"])
+    return reach, pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), entries)
 
 
 def _locations(points: DataFrame, keep: int) -> DataFrame:
@@ -206,44 +272,70 @@ def cut_space(locations: DataFrame, cell_rows: int = CELL_ROWS) -> Cuts:
 def _at_home(located: DataFrame, wanted: int) -> DataFrame:
     """(loc, cell, x, reach, found): nearest ids of the own cell, and the squared distance that later finds must not exceed."""
 
-    def search(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        found = _nearest(np.stack(rows["x"].to_numpy()), np.full(len(rows), np.inf), rows, wanted)
-        reach = [f[-1]["d"] if len(f) == wanted else float("inf") for f in found]
-        return pd.DataFrame({"loc": rows["loc"], "cell": rows["cell"], "x": rows["x"], "reach": reach, "found": found})
+    def search(rows: pa.Table) -> pa.Table:
+        reach, found = _nearest(_matrix(rows["x"]), np.full(len(rows), np.inf), rows, wanted)
+        return pa.table({"loc": rows["loc"], "cell": rows["cell"], "x": rows["x"], "reach": reach, "found": found})
 
-    return located.groupBy("cell").applyInPandas(search, f"loc long, cell long, x array<double>, reach double, found {_FOUND}")
+    return located.groupBy("cell").applyInArrow(search, f"loc long, cell long, x array<double>, reach double, found {_FOUND}")
+
+
+def _boxes(home: DataFrame, cuts: Cuts) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of what each node of the cuts holds."""
+
+    def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                rows = pa.Table.from_batches([batch])
+                x, cell = _matrix(rows["x"]), rows["cell"].to_numpy()
+                order = np.argsort(cell, kind="stable")
+                own, first = np.unique(cell[order], return_index=True)
+                yield pa.RecordBatch.from_pydict({
+                    "cell": own, "low": list(np.minimum.reduceat(x[order], first)), "high": list(np.maximum.reduceat(x[order], first))})
+
+    # Cells were written one after the other, so there are about as many rows as cells.
+    rows = home.select("cell", "x").mapInArrow(bounds, "cell long, low array<double>, high array<double>").toArrow()
+    cell, low, high = rows["cell"].to_numpy(), _matrix(rows["low"]), _matrix(rows["high"])
+    lows, highs = np.full((len(cuts.dim), low.shape[1]), np.inf), np.full((len(cuts.dim), low.shape[1]), -np.inf)
+    np.minimum.at(lows, cell, low)
+    np.maximum.at(highs, cell, high)
+    for node in range(len(cuts.dim) - 1, -1, -1):  # children come behind their parent
+        if cuts.dim[node] >= 0:
+            children = [cuts.left[node], cuts.right[node]]
+            lows[node], highs[node] = lows[children].min(axis=0), highs[children].max(axis=0)
+    return lows, highs
 
 
 def _visits(home: DataFrame, cuts: Cuts) -> DataFrame:
     """(cell, loc, x, reach) of every other cell that a location's ball meets."""
-    tree = cuts.packed()
+    tree, boxes = cuts.packed(), _boxes(home, cuts)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in frames:
-            for at in range(0, len(rows), 1024):
-                part = rows.iloc[at:at + 1024]
-                row, leaf = leaves_met(tree, np.stack(part["x"].to_numpy()), part["reach"].to_numpy())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = pa.Table.from_batches([batch.slice(at, 1024)])
+                row, leaf = leaves_met(tree, _matrix(part["x"]), part["reach"].to_numpy(), boxes)
                 away = leaf != part["cell"].to_numpy()[row]
-                out = part.iloc[row[away]][["loc", "x", "reach"]]
-                yield out.assign(cell=leaf[away])[["cell", "loc", "x", "reach"]]
+                out = part.select(["loc", "x", "reach"]).take(pa.array(row[away]))
+                yield from out.add_column(0, "cell", pa.array(leaf[away], pa.int64())).to_batches()
 
-    return home.select("loc", "cell", "x", "reach").mapInPandas(run, "cell long, loc long, x array<double>, reach double")
+    return home.select("loc", "cell", "x", "reach").mapInArrow(run, "cell long, loc long, x array<double>, reach double")
 
 
 def _served(located: DataFrame, visits: DataFrame, wanted: int) -> DataFrame:
     """(loc, found) of what the visited cells hold within reach."""
     chunks = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("_n"))
+    chunks = F.broadcast(chunks)  # one row per cell, like the cuts
     hosts = located.join(chunks, "cell").withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n")
     guests = visits.join(chunks, "cell").withColumn("_chunk", F.pmod(F.xxhash64("loc"), F.col("_n")).cast("int")).drop("_n")
 
-    def serve(key: tuple, rows: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+    def serve(rows: pa.Table, asking: pa.Table) -> pa.Table:
         if not len(rows) or not len(asking):
-            return pd.DataFrame({"loc": [], "found": []})
-        found = _nearest(np.stack(asking["x"].to_numpy()), asking["reach"].to_numpy(), rows, wanted)
-        return pd.DataFrame({"loc": asking["loc"], "found": found})[[len(f) > 0 for f in found]]
+            return pa.table({"loc": pa.array([], pa.int64()), "found": pa.array([], _ARROW)})
+        _, found = _nearest(_matrix(asking["x"]), asking["reach"].to_numpy(), rows, wanted)
+        return pa.table({"loc": asking["loc"], "found": found}).filter(pa.array(np.diff(found.offsets.to_numpy()) > 0))
 
     keys = ("cell", "_chunk")
-    return hosts.groupBy(*keys).cogroup(guests.groupBy(*keys)).applyInPandas(serve, f"loc long, found {_FOUND}")
+    return hosts.groupBy(*keys).cogroup(guests.groupBy(*keys)).applyInArrow(serve, f"loc long, found {_FOUND}")
 
 
 def nearest_neighbours(points: DataFrame, k: int = 5, cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -260,7 +352,7 @@ def nearest_neighbours(points: DataFrame, k: int = 5, cell_rows: int = CELL_ROWS
     if len(cuts.dim) > 1:
         found = found.unionByName(_served(located, _visits(home, cuts), k + 1))
     # A location has one list from home and one from each cell that held something nearer.
-    best = found.groupBy("loc").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))), 1, k + 1).alias("found"))
+    best = found.groupBy("loc").agg(F.slice(F.array_sort(F.flatten(F.collect_list("found"))), 1, k + 1).alias("found"))
     near = best.join(home.select("loc", F.col("x").alias("_x")), "loc").drop("loc")
     typed = F.transform("found", lambda f: F.struct(f["d"].alias("d"), f["id"].cast(kind).alias("id"), f["x"].alias("x")))
     others = F.slice(F.filter(typed, lambda f: f["id"] != F.col("id")), 1, k)
