@@ -1,6 +1,7 @@
 """Exact neighbours and oversampling against comparison of all pairs."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,6 +88,17 @@ def test_neighbours_far_from_the_origin_and_beyond_squares(spark):
     check(spark, np.concatenate([rng.normal(size=(60, 2)), rng.normal(size=(8, 2)) * 1e160]), 3, 32)
 
 
+def test_pairs_are_compared_in_bounded_blocks(monkeypatch):
+    """The memory of one search does not grow with the visitors of a cell; at once, these would be 2 million pairs."""
+    seen, close = [], neighbours._close_pairs
+    monkeypatch.setattr(neighbours, "_close_pairs", lambda q, b, p, w: seen.append(len(q) * len(p)) or close(q, b, p, w))
+    x = np.random.default_rng(7).normal(size=(512, 3))
+    cell = pa.table({"x": list(x), "h": [[i] for i in range(512)], "ids": [[str(i)] for i in range(512)]})
+    reach, found = neighbours._nearest(np.tile(x, (8, 1)), np.full(4096, np.inf), cell, 3)
+    assert len(found) == 4096 and np.isfinite(reach).all() and found[0][0]["id"].as_py() == "0"
+    assert sum(seen) == 4096 * 512 and max(seen) <= neighbours._PAIRS
+
+
 def test_copies_do_not_travel(spark):
     """The limit on ids of one location is applied before the shuffle."""
     df = spark.range(100).select("id", F.array(F.lit(1.0)).alias("x"))
