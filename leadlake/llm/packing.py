@@ -17,7 +17,6 @@ no pieces; a document of any length is cut into windows; working columns cannot
 from __future__ import annotations
 
 import os
-import re
 import string
 import zlib
 from collections.abc import Iterator
@@ -25,6 +24,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,15 +35,12 @@ WINDOW = 4096
 #: Memory bounds of one worker, in remembered runs and stems, and how many texts it opens at a time.
 MAX_RUNS = 600_000
 MAX_STEMS = 400_000
-TEXTS = 256
+TEXTS = 1024
 #: How many lengths a combination has at most, and how many combinations the fit sees.
 DEPTH = 4
 MAX_COMBINATIONS = 6000
 #: Longer runs and stems are tokenized where they occur and not remembered.
 LONG = 64
-_RUN = re.compile(r"[^ \t-\r]+")
-#: What ``str.split`` takes for white space beyond the six that end a run.
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Punctuation that is always a token of its own after a letter, and never part of a contraction or a special token.
 _END = ".,!?;:*&$%#\"()"
 _LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -92,35 +90,37 @@ class WordIds:
 
     def of(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, four bytes each."""
-        found = [_runs(t) for t in texts]
         if len(self.runs) > MAX_RUNS:
             self.runs.clear()
         if len(self.stems) > MAX_STEMS:
             self.stems.clear()
-        # One look-up per run: what it does not find is learned, and only texts with such runs are put together again.
-        known = self.runs.get
-        looked = [list(map(known, run)) for run in found]
-        open_ = [n for n, ids in enumerate(looked) if None in ids]
-        new = {w: _split(w) for w in {w for n in open_ for w, ids in zip(found[n], looked[n]) if ids is None}}
-        self._learn(list({s for pair in new.values() for s in pair if s not in self.stems}))
+        # Runs are cut and told apart in C, so a run is looked up once however often the texts hold it.
+        cut = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        ends, coded = cut.offsets.to_numpy(), cut.values.dictionary_encode()
+        runs, code = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        ids = list(map(self.runs.get, runs))
+        # Lists of texts only: a pair kept per run would make the garbage collector walk through them over and over.
+        new = [n for n, known in enumerate(ids) if known is None]
+        heads, tails = [], []
+        for n in new:
+            head, tail = _split(runs[n])
+            heads.append(head)
+            tails.append(tail)
         stems = self.stems
-        learned = {w: stems[a] + stems[b] for w, (a, b) in new.items()}
-        self.runs.update(learned)
-        for n in open_:
-            looked[n] = [learned[w] if ids is None else ids for w, ids in zip(found[n], looked[n])]
-        out = [b"".join(ids) for ids in looked]
-        for run, parts in new.items():
-            if len(run) > LONG:
-                del self.runs[run]
-                for stem in parts:
-                    if len(stem) > LONG:
-                        stems.pop(stem, None)
-        return out
-
-
-def _runs(text: str) -> list[str]:
-    """Runs without ASCII white space; ``split`` finds them much faster where it means the same."""
-    return _RUN.findall(text) if _OTHER_SPACE.search(text) else text.split()
+        self._learn([s for s in {*heads, *tails} if s not in stems])
+        for n, head, tail in zip(new, heads, tails):
+            ids[n] = stems[head] + stems[tail]
+            if len(runs[n]) <= LONG:
+                self.runs[runs[n]] = ids[n]
+        for stem in {s for s in (*heads, *tails) if len(s) > LONG}:
+            del stems[stem]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start, size = (np.cumsum(size) - size)[code], size[code]
+        after = np.concatenate([[0], np.cumsum(size)])
+        place = np.repeat(start - after[:-1], size)
+        place += np.arange(len(place))
+        data, at = np.frombuffer(b"".join(ids), "<u4")[place].tobytes(), (4 * after[ends]).tolist()
+        return [data[i:j] for i, j in zip(at, at[1:])]
 
 
 def _split(run: str) -> tuple[str, str]:

@@ -497,6 +497,24 @@ def test_keep_one_per_group(spark):
 
 # --- Packing -----------------------------------------------------------------------------
 
+def test_packing_looks_a_run_up_once():
+    """However often texts hold it; and runs end at six characters only, whatever else counts as white space."""
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key):
+            Counted.asked += 1
+            return super().get(key)
+
+    words = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    words.runs = Counted()
+    odd = [chr(c).join(("word", "Word.", "")) for c in (*range(9, 14), 28, 29, 30, 31, 32, 0x85, 0xA0, 0x2028, 0x3000)]
+    texts = ["", " ", "\t two  two\n", "x" * 200 + "!? " + "x" * 200 + "!?", *odd] + ["one two one two"] * 500
+    ids = [np.frombuffer(b, "<u4").tolist() for b in words.of(texts)]
+    assert ids == [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert Counted.asked < 50 and not any(len(w) > packing.LONG for w in (*words.runs, *words.stems))
+
+
 def test_packing_is_exact_and_tight(spark, sf):
     from tokenizers import Tokenizer
 
