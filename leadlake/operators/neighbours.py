@@ -2,7 +2,7 @@
 
 1. Equal points become one location that keeps the ids its neighbours may need, so a point held by a third of all rows is one
    row from there on.
-2. Space is cut at gaps and medians of samples until no cell holds more than ``CELL_ROWS`` locations. Cuts only steer balance.
+2. Space is cut between flags and at medians of samples until no cell holds more than ``CELL_ROWS`` locations. Cuts only steer balance.
 3. Inside its own cell every location finds its nearest ids; the last of them bounds a ball.
 4. Every location visits the other cells whose box (the bounds of their locations) that ball meets. Visitors of a popular cell
    are dealt out in chunks, each with a copy of the cell. What the visits bring is merged with what was found at home.
@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 from leadlake.session import shared_dir
 
 #: Locations of one cell, visitors of one chunk, and cells that one cell is cut into at a time.
-CELL_ROWS, CHUNK_ROWS, FAN = 512, 4096, 1024
+CELL_ROWS, CHUNK_ROWS, FAN = 2048, 4096, 1024
 _SAMPLES = 48
-#: Sampled rows that choose one cut, the least share of them on either side of a gap, and a gap's least share of the width.
-_CHOOSERS, _LEAST, _GAP = 2048, 1 / 32, 1 / 8
+#: Sampled rows that choose one cut, and the least share of them on either side of a two-valued dimension.
+_CHOOSERS, _LEAST = 2048, 1 / 32
 #: Pairs that are compared at a time.
 _PAIRS = 1 << 19
 _FOUND = "array<struct<d: double, h: long, id: string, x: array<double>>>"
@@ -62,28 +62,28 @@ class Cuts:
         return np.array(self.dim), np.array(self.cut), np.array(self.left), np.array(self.right)
 
 
-def _choose(rows: np.ndarray) -> tuple[int, float] | None:
-    """Dimension and value to cut at; None if all rows are one point.
+def _choose(rows: np.ndarray) -> tuple[int, float, bool] | None:
+    """Dimension and value to cut at, and whether this is a median; None if all rows are one point.
 
-    A wide gap keeps the sides apart whatever the reach of a ball, as a 0/1 input does; without one the widest dimension is cut at
-    its median.
+    A dimension of two values, as a 0/1 input is, keeps the sides apart whatever the reach of a ball, so the one that parts its
+    rows best goes first. Without one the widest dimension is cut at its median.
     """
-    values = np.sort(rows, axis=0)
-    width, n = values[-1] - values[0], len(values)
-    gaps, share = np.diff(values, axis=0), (np.arange(1, n) / n)[:, None]
-    wide = (gaps >= _GAP * width) & (gaps > 0) & (share >= _LEAST) & (share <= 1 - _LEAST)
-    if wide.any():
-        at, dim = np.unravel_index(np.argmax(np.where(wide, gaps * np.sqrt(share * (1 - share)), 0.0)), wide.shape)
-        return int(dim), float(values[at + 1, dim])
+    low, width = rows.min(axis=0), rows.max(axis=0) - rows.min(axis=0)
+    above = rows > low
+    share = above.mean(axis=0)
+    two = (width > 0) & (~above | (rows == low + width)).all(axis=0) & (share >= _LEAST) & (share <= 1 - _LEAST)
+    if two.any():
+        dim = int(np.argmax(np.where(two, width * np.sqrt(share * (1 - share)), 0.0)))
+        return dim, float(rows[:, dim].max()), False
     dim = int(np.argmax(width))
-    values = values[:, dim]
-    cut = values[n // 2]
+    values = np.sort(rows[:, dim])
+    cut = values[len(values) // 2]
     if cut == values[0]:  # everything below the median is one value: cut behind it
         above = values[values > cut]
         if not len(above):
             return None
         cut = above[0]
-    return dim, float(cut)
+    return dim, float(cut), True
 
 
 def split_sample(points: np.ndarray, parts: int) -> list[tuple[int, float, int, int]]:
@@ -97,12 +97,12 @@ def split_sample(points: np.ndarray, parts: int) -> list[tuple[int, float, int,
         chosen = _choose(rows[::-(-len(rows) // _CHOOSERS)])
         if chosen is None:
             continue
-        dim, cut = chosen
+        dim, cut, median = chosen
         below = rows[:, dim] < cut
         at = len(nodes)
         nodes += [(-1, 0.0, -1, -1)] * 2
         nodes[node] = (dim, cut, at, at + 1)
-        first = min(parts - 1, max(1, round(parts * below.mean())))
+        first = parts // 2 if median else min(parts - 1, max(1, round(parts * below.mean())))
         todo += [(at, rows[below], first), (at + 1, rows[~below], parts - first)]
     return nodes
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from leadlake.config import Features, Split
 from leadlake.functions.hashing import hash_fraction
 from leadlake.functions.numeric import clip
-from leadlake.operators.neighbours import nearest_neighbours
+from leadlake.operators.neighbours import CELL_ROWS, nearest_neighbours
 from leadlake.operators.profile import missing_counts
 from leadlake.operators.ranks import hash_ranks, quantile_values
 
@@ -178,7 +178,7 @@ def smote(df: DataFrame, columns: Sequence[str], label: str, key: str, k: int =
     return out.select(key, label, *[F.col("_x")[i].alias(c) for i, c in enumerate(columns)], "is_synthetic")
 
 
-def smote_points(df: DataFrame, x: str, label: str, key: str, k: int = 5, seed: int = 42) -> DataFrame:
+def smote_points(df: DataFrame, x: str, label: str, key: str, k: int = 5, seed: int = 42, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(key, label, x, is_synthetic): rows of (key, label, x array) plus synthetic ones until every class is as large as the largest.
 
     Each synthetic row lies between a row and one of its ``k`` nearest rows of the same class (exact, ties by a hash of the
@@ -197,16 +197,16 @@ def smote_points(df: DataFrame, x: str, label: str, key: str, k: int = 5, seed:
         wanted, n = largest - counts[value], usable.get(value, 0)
         if wanted > 0 and n > 1:
             rows = complete.filter(F.col(label) == F.lit(value)).select(F.col(key).alias("id"), F.col(x).alias("x"), F.col(label).alias("_label"))
-            made = _synthetic(rows, k, seed, wanted, n)
+            made = _synthetic(rows, k, seed, wanted, n, cell_rows)
             out = out.unionByName(made.select(
                 F.col("id").alias(key), F.col("_label").alias(label), F.col("_new").alias(x), F.lit(1).alias("is_synthetic")))
     return out
 
 
-def _synthetic(rows: DataFrame, k: int, seed: int, wanted: int, n: int) -> DataFrame:
+def _synthetic(rows: DataFrame, k: int, seed: int, wanted: int, n: int, cell_rows: int) -> DataFrame:
     """(id, _label, _new): ``wanted`` new points of one class of ``n`` rows (id, x, _label)."""
     ranks = hash_ranks(rows.select("id", "_label"), "id", ["_label"], seed).select("id", "hash_rank", "_label")
-    near = nearest_neighbours(rows.select("id", "x"), k)
+    near = nearest_neighbours(rows.select("id", "x"), k, cell_rows)
     each, rest = divmod(wanted, n)
     share = F.lit(each) + (F.col("hash_rank") <= rest).cast("int")
 

@@ -123,7 +123,7 @@ def fit_oversampled(train: DataFrame, mode: str, key: str, model_type: str = LOG
     encoder = Pipeline(stages=encoding_stages(train, mode, settings)).fit(train)
     names = feature_names(encoder, mode, settings)
     points = encoder.transform(train).select(key, "label", vector_to_array("features").alias("x"))
-    balanced = smote_points(points, "x", "label", key)
+    balanced = smote_points(points, "x", "label", key, cell_rows=512)  # in many dimensions small cells leave fewer pairs
     rows = balanced.select(array_to_vector("x").alias("features"), "label", F.lit(1.0).alias("weight")).persist()
     try:
         facts = rows.agg(F.count(F.lit(1)).alias("n"), Summarizer.mean(F.col("features")).alias("m")).first()
