@@ -51,20 +51,34 @@ def _pick(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Seq
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*")
 
 
+def _with_state(state: DataFrame | None, rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows to pick from: new deliveries, and what earlier ones were reduced to. One aggregate over both picks what one over
+    each and a third over their results would."""
+    if state is None:
+        return rows
+    kept = [*keys, *[c for c in columns if c not in keys]]
+    return state.select(*kept).unionByName(rows.select(*kept))
+
+
 def build_dim_customer(
-    bronze: DataFrame, order: Sequence[str] = AUDIT_ORDER, carry: Sequence[str] = ()
+    bronze: DataFrame, order: Sequence[str] = AUDIT_ORDER, carry: Sequence[str] = (), state: DataFrame | None = None
 ) -> DataFrame:
-    """Latest state of each customer, typed to the contract. ``carry`` names further columns to keep."""
-    picked = _pick(clean_strings(bronze), ["customer_id"], [*cfg.CUSTOMER_COLUMNS, *carry], order, latest=True)
-    return picked.withColumns({"age": F.col("age").cast("int"), "balance": F.col("balance").cast("double")})
+    """Latest state of each customer, typed to the contract. ``carry`` names further columns to keep. ``state`` is the dimension
+    of earlier deliveries, which carries ``order``."""
+    typed = {"age": F.col("age").cast("int"), "balance": F.col("balance").cast("double")}
+    rows, columns = clean_strings(bronze), [*cfg.CUSTOMER_COLUMNS, *carry]
+    if state is not None:
+        rows = _with_state(state, rows.withColumns(typed), ["customer_id"], columns)
+    return _pick(rows, ["customer_id"], columns, order, latest=True).withColumns(typed)
 
 
 def build_fact_interaction(
-    bronze: DataFrame, order: Sequence[str] = AUDIT_ORDER, carry: Sequence[str] = ()
+    bronze: DataFrame, order: Sequence[str] = AUDIT_ORDER, carry: Sequence[str] = (), state: DataFrame | None = None
 ) -> DataFrame:
     """First delivery of each distinct interaction, with an id made from its natural key.
 
-    ``carry`` names further columns to keep, such as the ingestion time.
+    ``carry`` names further columns to keep, such as the ingestion time. ``state`` is the fact of earlier deliveries, which
+    carries ``order``; ids are made after the shuffle, as they are most of a row and follow from the key.
     """
     cleaned = clean_strings(bronze)
     if "y" not in cleaned.columns:
@@ -73,23 +87,12 @@ def build_fact_interaction(
         **{c: F.col(c).cast("int") for c in ("day", "campaign", "pdays", "previous")},
         "duration": F.col("duration").cast("double"),
     })
-    picked = _pick(typed, cfg.INTERACTION_KEY, [*cfg.INTERACTION_COLUMNS, *carry], order, latest=False)
+    columns = [*cfg.INTERACTION_COLUMNS, *carry]
+    picked = _pick(_with_state(state, typed, cfg.INTERACTION_KEY, columns), cfg.INTERACTION_KEY, columns, order, latest=False)
     number = surrogate_id("INT_", cfg.INTERACTION_KEY, numbers=("duration",))
     return picked.withColumn("interaction_id", number)
 
 
-def merge_dim_customer(state: DataFrame, news: DataFrame, order: Sequence[str] = AUDIT_ORDER) -> DataFrame:
-    """The dimension of two disjoint sets of deliveries from the dimension of each; both carry ``order``."""
-    both = state.select(*news.columns).unionByName(news)
-    return _pick(both, ["customer_id"], news.columns, order, latest=True).select(*news.columns)
-
-
-def merge_fact_interaction(state: DataFrame, news: DataFrame, order: Sequence[str] = AUDIT_ORDER) -> DataFrame:
-    """The fact of two disjoint sets of deliveries from the fact of each; both carry ``order``."""
-    both = state.select(*news.columns).unionByName(news)
-    return _pick(both, cfg.INTERACTION_KEY, news.columns, order, latest=False).select(*news.columns)
-
-
 def join_dim_fact(dim: DataFrame, fact: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """Each interaction with its customer. No hint: the dimension grows with the data, so the size decides between
     broadcast and sort-merge at run time. A hot customer is split by the adaptive skew join where both sides come from written

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from leadlake.operators import marts
+from leadlake.operators import conform, marts
 from leadlake.plans import fixtures as fx
 from leadlake.plans import incremental
 from leadlake.plans.q_tables import ORDER
@@ -114,6 +114,26 @@ def test_a_killed_run_leaves_the_last_version(spark, leads, broken, monkeypatch)
     assert incremental.run_batch(leads.filter("src_key % 12 <> 0"), lake, "day-2")["version"] == 2
 
 
+def test_state_and_news_meet_in_one_aggregate(spark, leads):
+    """Each row is shuffled once: news are not reduced on their own before they meet the state, and ids come after the shuffle."""
+    late = F.col("src_key") % 12 == 0
+    for build in (conform.build_dim_customer, conform.build_fact_interaction):
+        old, whole = build(leads.filter(~late), ORDER, ORDER), build(leads, ORDER, ORDER)
+        path = shared_dir(spark, "state")
+        old.write.parquet(path)
+        both = build(leads.filter(late), ORDER, ORDER, spark.read.parquet(path))
+        assert sorted(map(str, both.select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
+        plan = both._jdf.queryExecution().analyzed().toString()
+        assert plan.count("Aggregate [") == 1 and "sha2(" not in plan.split("Aggregate [")[1].split("\n", 1)[1]
+
+
+def test_keys_are_audited_by_hash(spark):
+    rows = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    assert not incremental._repeated(rows, "k") and not incremental._repeated(rows.limit(0), "k")
+    assert incremental._repeated(rows.union(rows.filter("k = 'b'")), "k")
+    assert incremental._repeated(rows.union(rows.filter("k IS NULL")), "k")
+
+
 def test_audit_stops_a_contradiction(spark, leads, monkeypatch):
     lake = new_lake(spark, 4)
     real = marts.campaign_sums
