@@ -100,15 +100,21 @@ def add_probability(model: PipelineModel, df: DataFrame, name: str = "probabilit
 
 def fit_model(train: DataFrame, mode: str, model_type: str, settings: Settings = DEFAULT) -> TrainedModel:
     """Fit on labelled rows. The encoder only sees these rows, so nothing leaks from the other parts."""
-    weighted = add_class_weight(train, "label")
-    encoder = Pipeline(stages=encoding_stages(weighted, mode, settings)).fit(weighted)
-    encoded = encoder.transform(weighted).select("features", "label", "weight").persist()
+    numeric, categorical = model_columns(mode, settings.features)
+    rows = train.select("label", *numeric, *categorical).persist()  # read for weights, scales, levels and the encoding
     try:
-        facts = encoded.agg(F.sum("weight").alias("w"), Summarizer.mean(F.col("features")).alias("m")).first()
-        weight_sum, means = facts.w, facts.m
-        fitted = classifier(model_type, weight_sum, settings).fit(encoded)
+        weighted = add_class_weight(rows, "label")
+        encoder = Pipeline(stages=encoding_stages(weighted, mode, settings)).fit(weighted)
+        encoded = encoder.transform(weighted).select("features", "label", "weight").persist()
+        try:
+            facts = encoded.agg(F.sum("weight").alias("w"), Summarizer.mean(F.col("features")).alias("m")).first()
+            rows.unpersist()
+            weight_sum, means = facts.w, facts.m
+            fitted = classifier(model_type, weight_sum, settings).fit(encoded)
+        finally:
+            encoded.unpersist()
     finally:
-        encoded.unpersist()
+        rows.unpersist()
     return TrainedModel(
         PipelineModel(stages=[*encoder.stages, fitted]), model_type, mode,
         feature_names(encoder, mode, settings), [float(v) for v in means],
@@ -138,10 +144,13 @@ def train_model(features: DataFrame, mode: str, model_type: str = TREES, setting
     parts = assign_split(labelled(features), "customer_id", settings.split)
     trained = fit_model(parts.filter("split = 'train'"), mode, model_type, settings)
     held = add_probability(trained.model, parts.filter("split <> 'train'"))
-    held = held.select("split", "label", F.col("probability_yes").alias("score"))
-    curve = threshold_curve(held.filter("split = 'validation'"), money=settings.economics)
-    info = best_thresholds(curve, settings.training.threshold_metric).first().asDict()
-    metrics = evaluate(held.filter("split = 'test'"), info["optimal_threshold"]).first().asDict()
+    held = held.select("split", "label", F.col("probability_yes").alias("score")).persist()  # scored once, read three times
+    try:
+        curve = threshold_curve(held.filter("split = 'validation'"), money=settings.economics)
+        info = best_thresholds(curve, settings.training.threshold_metric).first().asDict()
+        metrics = evaluate(held.filter("split = 'test'"), info["optimal_threshold"]).first().asDict()
+    finally:
+        held.unpersist()
     return replace(trained, threshold=info["optimal_threshold"], metrics=metrics, threshold_info=info)
 
 

@@ -91,6 +91,21 @@ def test_modes_fitted_side_by_side_equal_a_fit_alone(table, linear):
     assert train.train_models(table, [], train.LOGISTIC, QUICK) == {}
 
 
+def test_training_and_held_rows_are_computed_once(table, linear, monkeypatch):
+    """Weights, scales, levels and the encoding read kept training rows; threshold and evaluation read kept scores."""
+    seen, cached = [], lambda df: "InMemoryRelation" in df._jdf.queryExecution().withCachedData().toString()
+
+    def watched(name):
+        plain = getattr(train, name)
+        monkeypatch.setattr(train, name, lambda df, *a, **k: (seen.append((name, cached(df))), plain(df, *a, **k))[1])
+
+    for name in ("add_class_weight", "encoding_stages", "threshold_curve", "evaluate"):
+        watched(name)
+    model = train.train_model(table, "post_call", train.LOGISTIC, QUICK)
+    assert seen == [(name, True) for name in ("add_class_weight", "encoding_stages", "threshold_curve", "evaluate")]
+    assert model.metrics == pytest.approx(linear.metrics, abs=1e-9) and model.threshold == linear.threshold
+
+
 def test_unknown_kinds_are_refused(table):
     with pytest.raises(ValueError):
         train.train_model(table, "post_call", "forest", QUICK)
