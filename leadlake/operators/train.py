@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from leadlake.config import DEFAULT, Settings
 from leadlake.functions.encode import target_flag
+from leadlake.operators.boost import fit_trees
 from leadlake.operators.evaluate import best_thresholds, evaluate, threshold_curve
 from leadlake.operators.prep import Scaler, add_class_weight, assign_split, class_weights, model_columns, smote_points
 
@@ -110,7 +111,12 @@ def fit_model(train: DataFrame, mode: str, model_type: str, settings: Settings =
             facts = encoded.agg(F.sum("weight").alias("w"), Summarizer.mean(F.col("features")).alias("m")).first()
             rows.unpersist()
             weight_sum, means = facts.w, facts.m
-            fitted = classifier(model_type, weight_sum, settings).fit(encoded)
+            estimator = classifier(model_type, weight_sum, settings)
+            if model_type == TREES:
+                levels = next(s for s in encoder.stages if hasattr(s, "labelsArray")).labelsArray
+                fitted = fit_trees(encoded, len(numeric), [len(v) for v in levels], estimator)
+            else:
+                fitted = estimator.fit(encoded)
         finally:
             encoded.unpersist()
     finally:

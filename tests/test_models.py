@@ -266,3 +266,81 @@ def test_drivers_by_rounded_strength_then_name(spark):
                 assert [(d.impact, d.feature) for d in got] == [(-v * sign, n) for v, n in want]
     plan = explain.top_drivers(df, names)._jdf.queryExecution().optimizedPlan().toString()
     assert "_pairs" in plan and "_ordered" in plan  # computed once, not once per list and entry
+
+
+# --- Boosted trees ------------------------------------------------------------------------
+
+def encoded_rows(spark, rows, parts=4):
+    """Rows (numbers, codes, label, weight) with the metadata that the assembler writes."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+
+    n, m = len(rows[0][0]), len(rows[0][1])
+    flat = [(*map(float, x), *map(str, c), int(y), float(w)) for x, c, y, w in rows]
+    ddl = ", ".join([*(f"x{i} double" for i in range(n)), *(f"c{i} string" for i in range(m)), "label int", "weight double"])
+    df = spark.createDataFrame(flat, ddl).repartition(parts)
+    encoder = Pipeline(stages=[
+        StringIndexer(inputCols=[f"c{i}" for i in range(m)], outputCols=[f"i{i}" for i in range(m)], stringOrderType="alphabetAsc", handleInvalid="keep"),
+        OneHotEncoder(inputCols=[f"i{i}" for i in range(m)], outputCols=[f"o{i}" for i in range(m)], dropLast=True),
+        VectorAssembler(inputCols=[*(f"x{i}" for i in range(n)), *(f"o{i}" for i in range(m))], outputCol="features")]).fit(df)
+    levels = [len(v) for v in encoder.stages[0].labelsArray]
+    path = shared_dir(spark, "encoded")
+    encoder.transform(df).select("features", "label", "weight").write.parquet(path)
+    return spark.read.parquet(path), n, levels
+
+
+def sample_rows(n, seed, weights=(0.7, 1.9)):
+    rng = np.random.default_rng(seed)
+    x = np.stack([rng.normal(size=n), rng.integers(0, 5, n), np.where(rng.random(n) < 0.7, 0.0, rng.normal(size=n)), np.full(n, 2.0)], axis=1)
+    c = np.stack([rng.integers(0, 12, n), rng.integers(0, 2, n), rng.integers(0, 4, n)], axis=1)
+    y = (x[:, 0] + 0.4 * x[:, 1] + (c[:, 0] % 3) - c[:, 1] + rng.normal(size=n) > 1.5).astype(int)
+    return [(a, b, v, weights[v]) for a, b, v in zip(x, c, y)]
+
+
+@pytest.mark.parametrize("n", [700, 13_000])  # the second takes its candidate splits from a sample of the rows
+def test_boosted_trees_score_as_those_of_spark(spark, monkeypatch, n):
+    """Equal scores of the rows they were fitted on. Where two splits part these rows alike, rounding may pick either."""
+    from pyspark.ml.functions import vector_to_array
+
+    from leadlake.operators import boost
+
+    monkeypatch.setattr(boost, "_CHECKPOINT", 3)
+    df, numbers, levels = encoded_rows(spark, sample_rows(n, n))
+    estimator = train.classifier(train.TREES, 1.0, Settings(training=Training(gbt_trees=8, gbt_step=0.3, gbt_depth=4)))
+    theirs, ours = estimator.fit(df), boost.fit_trees(df, numbers, levels, estimator)
+    assert ours.treeWeights == theirs.treeWeights and ours.numFeatures == theirs.numFeatures and ours.getMaxDepth() == 4
+    both = theirs.transform(df).select("features", vector_to_array("rawPrediction")[1].alias("a"))
+    both = ours.transform(both).select("a", vector_to_array("rawPrediction")[1].alias("b"))
+    assert both.agg(F.max(F.abs(F.col("a") - F.col("b")))).first()[0] < 1e-8
+
+
+def test_boosted_trees_do_not_depend_on_the_order_of_rows(spark):
+    from leadlake.operators import boost
+
+    rows = sample_rows(900, 5)
+    estimator = train.classifier(train.TREES, 1.0, QUICK)
+    shown = {boost.fit_trees(df, numbers, levels, estimator).toDebugString.split("\n", 1)[1]
+             for df, numbers, levels in (encoded_rows(spark, rows, 1), encoded_rows(spark, rows[::-1], 7))}
+    assert len(shown) == 1
+
+
+def test_boosted_trees_of_one_class_or_equal_rows_are_leaves(spark):
+    from leadlake.operators import boost
+
+    estimator = train.classifier(train.TREES, 1.0, QUICK)
+    for rows in ([(a, b, 1, 1.0) for a, b, _, _ in sample_rows(40, 1)], [((1.0,), (0,), i % 2, 1.0) for i in range(10)], sample_rows(1, 2)):
+        df, numbers, levels = encoded_rows(spark, rows)
+        model = boost.fit_trees(df, numbers, levels, estimator)
+        assert model.totalNumNodes == 5
+    with pytest.raises(ValueError):
+        boost.fit_trees(df.limit(0), numbers, levels, estimator)
+    with pytest.raises(ValueError):
+        boost.fit_trees(df.withColumn("label", F.lit(2)), numbers, levels, estimator)
+
+
+def test_train_model_grows_its_trees_from_histograms(table, monkeypatch):
+    from pyspark.ml.classification import GBTClassifier
+
+    monkeypatch.setattr(GBTClassifier, "_fit", lambda *a: pytest.fail("a pass over whole vectors for each level"))
+    parts = assign_split(train.labelled(table), "customer_id").filter("split = 'train'")
+    assert train.fit_model(parts, "post_call", train.TREES, QUICK).classifier.getNumTrees == 5
