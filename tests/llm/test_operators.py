@@ -295,6 +295,24 @@ def test_a_stated_context_is_held_from_the_first_turn():
             assert len(short.turns) == min(i + 1, context or 0)
 
 
+def test_the_own_template_is_given_every_prefix_whole(monkeypatch):
+    turns = [("u" if i % 2 else "assistant", f"text {i} <|x \\ {chat.PROBE if i == 7 else ''}") for i in range(120)]
+    seen = []
+    plain = chat.render
+    monkeypatch.setattr(chat, "render", lambda given: (seen.append(len(given)), plain(given))[1])
+    spans = chat.successive(chat.render)
+    found = [spans.add(turn) for turn in turns]
+    assert set(seen) == set(range(len(turns) + 1)) and len(spans.turns) == len(turns)
+    whole = plain(turns)
+    assert "".join(f["piece"] for f in found) == whole
+    assert [plain(turns[:i + 1]) for i in range(120)] == [whole[:f["end"]] for f in found]
+    assert all(chat.unescape(whole[f["text_start"]:f["text_end"]]) == text and f["rewritten_from"] == -1 for f, (_, text) in zip(found, turns))
+    # were the own template to rewrite history, it would show
+    monkeypatch.setattr(chat, "render", lambda given: ("many:" if len(given) > 3 else "") + plain(given))
+    spans = chat.successive(chat.render)
+    assert [spans.add(turn)["rewritten_from"] for turn in turns[:5]] == [-1, -1, -1, 0, -1]
+
+
 # --- Decontamination ---------------------------------------------------------------------
 
 def test_leaks_within_edits(spark, prose):
