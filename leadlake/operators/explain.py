@@ -16,10 +16,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadlake.operators.forest import Forest, forest, indexed
+from leadlake.operators.forest import tree_nodes as _tree_nodes
 from leadlake.operators.train import LOGISTIC, TrainedModel
-from leadlake.session import shared_dir
 
-MAX_TREE_NODES = 2_000_000
 #: Splits of one group of leaves; its tables have two to that power entries.
 _GROUP_BITS = 9
 
@@ -43,28 +43,6 @@ def linear_attributions(trained: TrainedModel, df: DataFrame, name: str = "attri
 
 # --- Trees ----------------------------------------------------------------------
 
-def _tree_nodes(spark: SparkSession, model) -> dict[int, dict[int, tuple]]:
-    """Nodes of every tree, read back from the saved form of the classifier:
-    {tree: {id: (prediction, cover, left, right, feature, low interval of the left child)}}."""
-    path = shared_dir(spark, "trees")
-    model.write().save(path)
-    rows = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
-    trees: dict[int, dict[int, tuple]] = {}
-    for r in rows:
-        low = None
-        if r.leftChild >= 0:
-            at = r.split.leftCategoriesOrThreshold
-            if r.split.numCategories < 0:
-                low = (-np.inf, at[0])
-            elif r.split.numCategories == 2 and len(at) == 1:  # a 0/1 input: the left side holds one of the two
-                low = (-np.inf, 0.5) if at[0] == 0.0 else (0.5, np.inf)
-            else:
-                raise ValueError("only numeric and 0/1 inputs can be attributed")
-        trees.setdefault(r.treeID, {})[r.id] = (
-            r.prediction, r.impurityStats[0], r.leftChild, r.rightChild, r.split.featureIndex, low)
-    return trees
-
-
 def _tree_paths(trees: dict[int, dict[int, tuple]], weights: Sequence[float]) -> list[tuple]:
     """One entry per leaf: (tree weight * leaf value, [(feature, cover share, lower, upper)...]).
 
@@ -190,14 +168,14 @@ def _table_shap(x: np.ndarray, tables: LeafTables) -> np.ndarray:
     return phi.T + _tree_shap(x, tables.paths) if tables.paths else np.ascontiguousarray(phi.T)
 
 
-def _leaf_table(trained: TrainedModel, spark: SparkSession) -> tuple[list[tuple], float]:
-    """Leaf paths on the log-odds scale and the margin of an unknown row. The ensemble's size is checked first."""
-    model = trained.classifier
-    if model.totalNumNodes > MAX_TREE_NODES:
-        raise ValueError(f"{model.totalNumNodes} tree nodes are too many to ship to every task")
+def _leaf_table(trained: TrainedModel, spark: SparkSession) -> tuple[Forest, list[tuple], float]:
+    """The ensemble, its leaf paths on the log-odds scale and the margin of an unknown row."""
+    known = forest(spark, trained.model)
+    if known is None:
+        raise ValueError("tree attribution needs boosted trees")
     # The classifier's probability is 1 / (1 + exp(-2 * raw)), so log-odds are twice the raw sum.
-    paths = [(2.0 * v, c) for v, c in _tree_paths(_tree_nodes(spark, model), model.treeWeights)]
-    return paths, float(sum(v * np.prod([c[1] for c in conds]) if conds else v for v, conds in paths))
+    paths = [(2.0 * v, c) for v, c in _tree_paths(dict(enumerate(known.trees)), known.weights)]
+    return known, paths, float(sum(v * np.prod([c[1] for c in conds]) if conds else v for v, conds in paths))
 
 
 def tree_attributions(trained: TrainedModel, df: DataFrame, key: str, name: str = "attributions") -> DataFrame:
@@ -206,19 +184,18 @@ def tree_attributions(trained: TrainedModel, df: DataFrame, key: str, name: str
     A saved ensemble is small (trees x nodes) and its size is checked; it travels to the tasks once, rows
     are never gathered.
     """
-    paths, base = _leaf_table(trained, df.sparkSession)
-    shared = df.sparkSession.sparkContext.broadcast(leaf_tables(paths))
-    encoded = trained.model.transform(df).select(
-        F.col(key), vector_to_array("features").alias("x"),
-        F.log(vector_to_array("probability")[1] / vector_to_array("probability")[0]).alias("margin"),
-    )
+    known, paths, base = _leaf_table(trained, df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast((known, leaf_tables(paths)))
+    inputs = [f"_{i}" for i in range(len(known.inputs))]
+    encoded = indexed(trained.model, df).select(F.col(key), *[F.col(c).alias(i) for i, (c, _) in zip(inputs, known.inputs)])
     key_type = encoded.schema[key].dataType.simpleString()
 
     def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ensemble, tables = shared.value
         for batch in batches:
             if len(batch):
-                phi = _table_shap(np.stack(batch["x"].to_numpy()), shared.value)
-                yield pd.DataFrame({key: batch[key], name: list(phi), "base_margin": base, "margin": batch["margin"]})
+                x = ensemble.features([batch[i] for i in inputs])
+                yield pd.DataFrame({key: batch[key], name: list(_table_shap(x, tables)), "base_margin": base, "margin": 2.0 * ensemble.raw(x)})
 
     return encoded.mapInPandas(
         attribute, f"`{key}` {key_type}, `{name}` array<double>, base_margin double, margin double"
@@ -229,24 +206,27 @@ def explained(trained: TrainedModel, df: DataFrame, probability: str = "probabil
     """Input columns, the probability of a yes and what drove it, row by row: ``attributions`` (log-odds, with ``base_margin``
     they add up to ``margin``), ``positive_drivers`` and ``negative_drivers``. Nothing is joined or gathered, so it works on
     streams as on batches; a linear model stays in expressions, trees see one Arrow column."""
-    encoded, odds = trained.model.transform(df), vector_to_array("probability")
     if trained.model_type == LOGISTIC:
+        encoded, odds = trained.model.transform(df), vector_to_array("probability")
         weights = [float(w) for w in trained.classifier.coefficients]
         base = float(trained.classifier.intercept) + float(np.dot(weights, trained.background))
         pairs = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(m).alias("m")) for w, m in zip(weights, trained.background)])
         values = F.zip_with(vector_to_array("features"), pairs, lambda x, p: p["w"] * (x - p["m"]))
-        margin = vector_to_array("rawPrediction")[1]
+        rows = encoded.select(*df.columns, odds[1].alias(probability), values.alias("attributions"),
+                              F.lit(base).alias("base_margin"), vector_to_array("rawPrediction")[1].alias("margin"))
     else:
-        paths, base = _leaf_table(trained, df.sparkSession)
-        shared = df.sparkSession.sparkContext.broadcast(leaf_tables(paths))
-
-        @F.pandas_udf("array<double>")
-        def shapley(x: pd.Series) -> pd.Series:
-            return pd.Series(list(_table_shap(np.stack(x.to_numpy()), shared.value)) if len(x) else [], dtype="object")
-
-        values, margin = shapley(vector_to_array("features")), F.log(odds[1] / odds[0])
-    rows = encoded.select(*df.columns, odds[1].alias(probability), values.alias("attributions"),
-                          F.lit(base).alias("base_margin"), margin.alias("margin"))
+        known, paths, base = _leaf_table(trained, df.sparkSession)
+        shared = df.sparkSession.sparkContext.broadcast((known, leaf_tables(paths)))
+
+        @F.pandas_udf("phi array<double>, margin double")
+        def shapley(*columns: pd.Series) -> pd.DataFrame:
+            ensemble, tables = shared.value
+            x = ensemble.features(columns)
+            return pd.DataFrame({"phi": pd.Series(list(_table_shap(x, tables)) if len(x) else [], dtype="object"), "margin": 2.0 * ensemble.raw(x)})
+
+        told = indexed(trained.model, df).select(*df.columns, shapley(*[F.col(c) for c, _ in known.inputs]).alias("_told"))
+        rows = told.select(*df.columns, (1.0 / (1.0 + F.exp(-F.col("_told.margin")))).alias(probability), F.col("_told.phi").alias("attributions"),
+                           F.lit(base).alias("base_margin"), F.col("_told.margin").alias("margin"))
     return top_drivers(rows, trained.feature_names, k)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from multiprocessing.pool import ThreadPool
 
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -19,6 +20,7 @@ from leadlake.config import DEFAULT, Settings
 from leadlake.functions.encode import target_flag
 from leadlake.operators.boost import fit_trees
 from leadlake.operators.evaluate import best_thresholds, evaluate, threshold_curve
+from leadlake.operators.forest import forest, indexed
 from leadlake.operators.prep import Scaler, add_class_weight, assign_split, class_weights, model_columns, smote_points
 
 LOGISTIC, TREES = "logistic_regression", "gradient_boosting"
@@ -94,7 +96,17 @@ def labelled(features: DataFrame) -> DataFrame:
 
 
 def add_probability(model: PipelineModel, df: DataFrame, name: str = "probability_yes") -> DataFrame:
-    """Input columns plus the probability of a yes."""
+    """Input columns plus the probability of a yes. Trees are asked batch by batch, from the columns before the assembler."""
+    known = forest(df.sparkSession, model)
+    if known is not None:
+        shared = df.sparkSession.sparkContext.broadcast(known)
+
+        @F.pandas_udf("double")
+        def raw(*columns: pd.Series) -> pd.Series:
+            return pd.Series(shared.value.raw(shared.value.features(columns)))
+
+        odds = F.exp(-2.0 * raw(*[F.col(c) for c, _ in known.inputs]))
+        return indexed(model, df).select(*df.columns, (1.0 / (1.0 + odds)).alias(name))
     scored = model.transform(df)
     return scored.select(*df.columns, vector_to_array("probability")[1].alias(name))
 

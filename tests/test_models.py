@@ -344,3 +344,19 @@ def test_train_model_grows_its_trees_from_histograms(table, monkeypatch):
     monkeypatch.setattr(GBTClassifier, "_fit", lambda *a: pytest.fail("a pass over whole vectors for each level"))
     parts = assign_split(train.labelled(table), "customer_id").filter("split = 'train'")
     assert train.fit_model(parts, "post_call", train.TREES, QUICK).classifier.getNumTrees == 5
+
+
+def test_trees_score_by_batches_as_the_pipeline_does(trees, held_out):
+    from pyspark.errors import PythonException
+    from pyspark.ml.functions import vector_to_array
+
+    rows = held_out.withColumn("job", F.when(F.col("age") % 2 == 0, F.lit("never seen")).otherwise(F.col("job")))
+    theirs = trees.model.transform(rows).select("interaction_id", vector_to_array("probability")[1].alias("a"))
+    scored = train.add_probability(trees.model, rows, "b")
+    assert scored.columns == [*rows.columns, "b"]
+    assert "UDF(UDF(" not in scored._jdf.queryExecution().optimizedPlan().toString()  # no vectors, and each row meets the trees once
+    both = scored.join(theirs, "interaction_id")
+    assert both.count() == rows.count() and both.agg(F.max(F.abs(F.col("a") - F.col("b")))).first()[0] < 1e-12
+    assert train.add_probability(trees.model, rows.limit(0), "b").count() == 0
+    with pytest.raises(PythonException, match="missing"):
+        train.add_probability(trees.model, rows.withColumn("age", F.lit(None).cast("int")), "b").collect()
